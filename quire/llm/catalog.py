@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, quality_rules
+from . import html_text, line_dedup, media, packing, quality_rules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": line_dedup.op1_line_dedup,
+        "op2_html_text": html_text.op2_html_text,
         "op3_quality_rules": quality_rules.op3_quality_rules,
+        "op5_media_columns": media.op5_media_columns,
+        "op8_packing": packing.op8_packing,
     }
 
 
