@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -18,12 +20,14 @@ def ship(spark: SparkSession) -> None:
     app = spark.sparkContext.applicationId
     if app in _SHIPPED or str(package.parent) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
         return
-    with tempfile.TemporaryDirectory() as d:
-        path = f"{d}/{package.name}.zip"
-        with zipfile.ZipFile(path, "w") as z:
-            for f in sorted(package.rglob("*.py")):
-                z.write(f, f.relative_to(package.parent))
-        spark.sparkContext.addPyFile(path)  # copied by Spark
+    # The driver serves this file to the executors for as long as it lives.
+    folder = tempfile.mkdtemp(prefix="quire-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = f"{folder}/{package.name}.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    spark.sparkContext.addPyFile(path)
     _SHIPPED.add(app)
 
 
