@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_text, line_dedup, media, packing, quality_rules
+from . import html_text, line_dedup, media, near_dedup, packing, quality_rules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_quality_rules": quality_rules.op3_quality_rules,
         "op5_media_columns": media.op5_media_columns,
         "op8_packing": packing.op8_packing,
+        "op9_near_dedup": near_dedup.op9_near_dedup,
     }
 
 

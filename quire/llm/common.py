@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 #: ASCII white space as the operators' contracts define it.
 WS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -35,6 +37,7 @@ class Workspace:
     """
 
     def __init__(self, spark: SparkSession):
+        ship(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark)}/quire-{uuid.uuid4().hex}"
         self.n = 0
