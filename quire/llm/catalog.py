@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_text, line_dedup, media, near_dedup, packing, quality_rules
+from . import html_text, line_dedup, media, near_dedup, packing, quality_rules, suffix_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_media_columns": media.op5_media_columns,
         "op8_packing": packing.op8_packing,
         "op9_near_dedup": near_dedup.op9_near_dedup,
+        "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
     }
 
 
