@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import LAST_ID, Workspace, ascii_lower, key128, shuffle_partitions, strip, text_of
@@ -65,10 +65,10 @@ class Runs:
                 self.ws.drop(path)
 
 
-def keyed(docs: DataFrame) -> DataFrame:
+def keyed(docs: DataFrame, *keep: Column) -> DataFrame:
     """id: doc_id, a null one last; row: tells rows of one doc_id apart by their text."""
     text = text_of()
-    return docs.select("doc_id", text.alias("text"), F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), F.xxhash64(text).alias("row"))
+    return docs.select("doc_id", *keep, text.alias("text"), F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), F.xxhash64(text).alias("row"))
 
 
 def lines_of(rows: DataFrame, min_chars: int) -> DataFrame:
@@ -97,8 +97,21 @@ def line_dedup(spark: SparkSession, docs: DataFrame, *, min_chars: int = 10, bat
     Repeated rows: rows with equal doc_id are one document, each row is returned. A null doc_id counts
     as the largest. An empty table gives an empty result. Very long texts are split line by line.
     """
-    ws = Workspace(spark)
     rows = keyed(docs)
+    return assemble(rows, dropped(spark, rows, min_chars=min_chars, batches=batches, fanout=fanout))
+
+
+def dedup_columns(spark: SparkSession, docs: DataFrame, *, min_chars: int = 10, batches: int = 4, fanout: int = 2) -> DataFrame:
+    """The rows of docs with all their columns, text (null stays null) and n_chars after line_dedup."""
+    rows = keyed(docs, F.struct(*[F.col(c) for c in docs.columns]).alias("whole"))
+    found = assemble(rows, dropped(spark, rows, min_chars=min_chars, batches=batches, fanout=fanout), "whole")
+    new = {"text": F.when(F.col("whole.text").isNotNull(), F.col("text")), "n_chars": F.when(F.col("whole.text").isNotNull(), F.char_length("text").cast("long"))}
+    return found.select(*[(new[c] if c in new else F.col(f"whole.{c}")).alias(c) for c in docs.columns])
+
+
+def dropped(spark: SparkSession, rows: DataFrame, *, min_chars: int, batches: int, fanout: int) -> DataFrame:
+    """(id, row, pos): the sorted positions of the lines that the rows (of keyed) lose."""
+    ws = Workspace(spark)
     runs, drops = Runs(ws, fanout), []
     low = None
     cuts = bounds(rows, batches)
@@ -127,13 +140,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, *, min_chars: int = 10, bat
     gone = drops[0]
     for d in drops[1:]:
         gone = gone.unionByName(d)
-    return assemble(rows, gone)
+    return gone
 
 
-def assemble(rows: DataFrame, drops: DataFrame) -> DataFrame:
+def assemble(rows: DataFrame, drops: DataFrame, *keep: str) -> DataFrame:
     """The rows' texts without the lines at drops.pos (sorted)."""
     joined = rows.join(drops.withColumnRenamed("pos", "gone"), ["id", "row"], "left").select(
-        "doc_id", "text", F.coalesce("gone", F.array().cast("array<int>")).alias("gone"), F.split("text", "\n").alias("lines")
+        "doc_id", *keep, "text", F.coalesce("gone", F.array().cast("array<int>")).alias("gone"), F.split("text", "\n").alias("lines")
     )
     n = F.size("lines")
     # Flags from the gaps between dropped positions: linear in the number of lines.
@@ -144,6 +157,7 @@ def assemble(rows: DataFrame, drops: DataFrame) -> DataFrame:
     kept = F.array_join(F.zip_with("lines", F.slice(stays, F.lit(1), n), lambda x, s: F.when(s, x)), "\n")  # skips nulls
     return joined.select(
         "doc_id",
+        *keep,
         n.cast("long").alias("n_lines"),
         F.size("gone").cast("long").alias("n_dropped"),
         F.when(F.size("gone") == 0, F.col("text")).otherwise(kept).alias("text"),
