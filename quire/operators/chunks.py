@@ -1,0 +1,114 @@
+"""Size-bounded chunks of page texts: by pages with overlap, by characters, by tokens; and splits of what is too large."""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..functions.numbers import estimated_tokens
+
+CHUNK = "doc_id long, chunk int, total int, start_page int, end_page int, text string"
+
+
+def page_texts(lines: DataFrame) -> DataFrame:
+    """(doc_id, page, text): a [PAGE n] head and the page's lines."""
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("source_order", "text"))), lambda x: x["text"]), "\n")
+    return lines.groupBy("doc_id", "page").agg(body.alias("body")).select("doc_id", "page", F.concat(F.lit("[PAGE "), F.col("page").cast("string"), F.lit("]\n"), F.col("body")).alias("text"))
+
+
+def page_chunks(pages: DataFrame, per_chunk: int = 3, overlap: int = 1) -> DataFrame:
+    """per_chunk pages each, with overlap pages around as context: bounds, estimated tokens and text, all by windows."""
+    overlap = max(0, min(overlap, per_chunk - 1))
+    order = Window.partitionBy("doc_id").orderBy("page")
+    ranked = pages.withColumn("rank", F.row_number().over(order) - 1)
+    target = F.floor(F.col("rank") / per_chunk).cast("int")
+    # A page is in its own chunk and, near its edges, in the neighbours'.
+    first, last = F.floor((F.col("rank") - overlap) / per_chunk), F.floor((F.col("rank") + overlap) / per_chunk)
+    size = F.max("rank").over(Window.partitionBy("doc_id"))
+    spread = ranked.withColumns({"target": target, "most": F.floor(size / per_chunk)}).withColumn("chunk", F.explode(F.sequence(F.greatest(first, F.lit(0)), F.least(last, F.col("most")))))
+    own = F.col("chunk") == F.col("target")
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", "text"))), lambda x: x["text"]), "\n")
+    out = spread.groupBy("doc_id", "chunk").agg(
+        F.min(F.when(own, F.col("page"))).alias("target_start_page"), F.max(F.when(own, F.col("page"))).alias("target_end_page"),
+        F.min("page").alias("context_start_page"), F.max("page").alias("context_end_page"), text.alias("text"),
+    )
+    total = F.count("*").over(Window.partitionBy("doc_id")).cast("int")
+    return out.select("doc_id", (F.col("chunk") + 1).cast("int").alias("chunk"), total.alias("total"), "target_start_page", "target_end_page", "context_start_page", "context_end_page", estimated_tokens(F.col("text")).alias("estimated_tokens"), "text")
+
+
+def split_page(page: int, text: str, most: int) -> list[str]:
+    """A page's parts of most characters with its head each, cut at the last line break of a part's second half."""
+    head = f"[PAGE {page}]\n"
+    body = max(1000, most - len(head))
+    text = text.removeprefix(head)
+    parts = []
+    while len(text) > body:
+        cut = text.rfind("\n", body // 2, body)
+        cut = body if cut < 0 else cut
+        parts.append(head + text[:cut].strip())
+        text = text[cut:].strip()
+    return [*parts, head + text] if text or not parts else parts
+
+
+def pack_pages(pages: list[tuple[int, str]], most: int, overlap: int = 0) -> list[tuple[int, int, str]]:
+    """Greedy: pages in order into chunks of at most max(10000, most) characters; overlap characters of the last parts open the next."""
+    most = max(10_000, most)
+    overlap = min(overlap, most // 2)
+    parts = [(p, t) for p, text in pages for t in (split_page(p, text, most) if len(text) > most else [text])]
+    out: list[tuple[int, int, str]] = []
+    held: list[tuple[int, str]] = []
+    fresh = 0
+    for p, t in parts:
+        if held and fresh and sum(len(x) + 2 for _, x in held) + len(t) > most:
+            out.append((held[0][0], held[-1][0], "\n\n".join(x for _, x in held)))
+            tail: list[tuple[int, str]] = []
+            for q in reversed(held):
+                if sum(len(x) + 2 for _, x in tail) + len(q[1]) > overlap:
+                    break
+                tail.insert(0, q)
+            held, fresh = (tail if sum(len(x) + 2 for _, x in tail) + len(t) <= most else []), 0
+        held.append((p, t))
+        fresh += 1
+    if held and fresh:
+        out.append((held[0][0], held[-1][0], "\n\n".join(x for _, x in held)))
+    return out
+
+
+def pack_tokens(pages: list[tuple[int, str]], limit: int) -> list[tuple[int, int, str]]:
+    """Greedy: pages in order into chunks of at most limit estimated tokens, a page at least."""
+    out, held, used = [], [], 0
+    for p, t in pages:
+        n = max(1, int(len(t) / 2.2)) if t else 0
+        if held and used + n > limit:
+            out.append((held[0][0], held[-1][0], "\n".join(x for _, x in held)))
+            held, used = [], 0
+        held.append((p, t))
+        used += n
+    if held:
+        out.append((held[0][0], held[-1][0], "\n".join(x for _, x in held)))
+    return out
+
+
+def _folded(pages: DataFrame, fold) -> DataFrame:
+    def chunks(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("page")
+        found = fold(list(zip(pdf["page"].tolist(), pdf["text"].tolist(), strict=True)))
+        return pd.DataFrame([(pdf["doc_id"].iloc[0], k, len(found), a, b, t) for k, (a, b, t) in enumerate(found, 1)], columns=[x.split()[0] for x in CHUNK.split(", ")])
+
+    return pages.groupBy("doc_id").applyInPandas(chunks, CHUNK)
+
+
+def char_chunks(pages: DataFrame, most: int = 10_000, overlap: int = 0) -> DataFrame:
+    """pack_pages per document: a fold over its pages."""
+    return _folded(pages, lambda p: pack_pages(p, most, overlap))
+
+
+def token_chunks(pages: DataFrame, limit: int = 4_000) -> DataFrame:
+    return _folded(pages, lambda p: pack_tokens(p, limit))
+
+
+def page_bounds(text):
+    """(least, greatest) page named in a chunk's text, as Column."""
+    n = F.transform(F.regexp_extract_all(text, F.lit(r"\[PAGE (\d+)\]"), F.lit(1)), lambda x: x.try_cast("int"))
+    return F.array_min(n), F.array_max(n)
