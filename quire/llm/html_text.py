@@ -5,7 +5,7 @@ holds are the page's text: nothing is dropped from them, since passages that sev
 are still text. A page without such an element keeps its other visible blocks, less the boilerplate
 that a suffix array over the host's pages finds: the token streams of these blocks are concatenated,
 suffixes sorted, and runs of RUN or more tokens found in PAGES or more distinct pages are covered;
-what is not covered stays.
+blocks that are mostly covered go, the unique ones stay.
 
 A host's pages are dealt to shards of about SHARD pages, so a host that holds a third of all pages
 is many groups; boilerplate is on every page and so in every shard.
@@ -199,21 +199,20 @@ def _unique_runs(pdf: pd.DataFrame) -> pd.DataFrame:
     vocabulary: dict[str, int] = {}
     ids: list[int] = []
     owner: list[int] = []
-    words: list[str | None] = []
+    spans: list[tuple[int, int, int, str]] = []  # page, first token, end, text
     for p, page in enumerate(pdf["blocks"]):
         for block in page:
-            for w in block.split(" "):
-                ids.append(vocabulary.setdefault(w, len(vocabulary)))
-                words.append(w)
-                owner.append(p)
+            words = block.split(" ")
+            spans.append((p, len(ids), len(ids) + len(words), block))
+            ids += [vocabulary.setdefault(w, len(vocabulary)) for w in words]
         ids.append(-1 - p)
-        words.append(None)
-        owner.append(p)
-    gone = covered(np.array(ids, np.int64), np.array(owner, np.int64))
+        owner += [p] * (len(ids) - len(owner))
+    upto = np.concatenate([[0], np.cumsum(covered(np.array(ids, np.int64), np.array(owner, np.int64)))])
     kept: list[list[str]] = [[] for _ in range(len(pdf))]
-    for w, p, c in zip(words, owner, gone.tolist(), strict=True):
-        if w is not None and not c:
-            kept[p].append(w)
+    for p, lo, hi, block in spans:
+        # Runs go on over blocks; a block is boilerplate if most of it is covered, else a unique run.
+        if 2 * (upto[hi] - upto[lo]) < hi - lo:
+            kept[p].append(block)
     rows = [(i, u, " ".join(k)) for i, u, a, k in zip(pdf["page_id"], pdf["url"], pdf["article"], kept, strict=True) if not a]
     return pd.DataFrame(rows, columns=["page_id", "url", "text"])
 
