@@ -4,52 +4,64 @@ from __future__ import annotations
 
 import numpy as np
 
-from .shingles import _BASE, _BYTE, _UNBASE, _powers, mix
+from .shingles import _BASE, _BYTE, _UNBASE, _powers
 
 LENGTH = 50
-GRAM = 24
-#: Grams in a window.
-SPAN = LENGTH - GRAM + 1
-CHUNK = 2 << 20
+GRAM = 20
+#: Positions are kept in so many low bits of a hash; texts of more bytes take a slower way to the same anchors.
+PLACE = 20
+
+_TABLES: dict[int, np.ndarray] = {}
+
+
+def _power_table(base: int, n: int) -> np.ndarray:
+    """The first n powers of base, from a table that grows."""
+    t = _TABLES.get(base)
+    if t is None or len(t) < n:
+        t = _TABLES[base] = _powers(base, max(n, 1 << 17))
+    return t[:n]
 
 
 def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
     """Hash of the gram bytes at each position that has so many."""
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * _powers(_BASE, len(data)), dtype=np.uint64, out=sums[1:])
+    np.cumsum(_BYTE[data] * _power_table(_BASE, len(data)), out=sums[1:])
     h = sums[gram:] - sums[:-gram]
-    h *= _powers(_UNBASE, len(h))
-    return mix(h)
+    h *= _power_table(_UNBASE, len(h))
+    h ^= h >> np.uint64(31)
+    h *= np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(29)
+    return h
 
 
-def least_in_span(h: np.ndarray, span: int = SPAN) -> np.ndarray:
-    """Position of the first least value among h[i : i + span], for each i."""
-    n = len(h) - span + 1
-    at = np.arange(len(h))
+def least_in_span(h: np.ndarray, span: int) -> np.ndarray:
+    """Position of the least of h[i : i + span] without its PLACE low bits, the first of equal ones, for each i."""
+    low = np.uint64((1 << PLACE) - 1)
+    if len(h) > 1 << PLACE:
+        step = (1 << PLACE) - span
+        return np.concatenate([least_in_span(h[a : a + step + span - 1], span) + a for a in range(0, len(h) - span + 1, step)])
+    best = (h & ~low) | np.arange(len(h), dtype=np.uint64)
     width = 1
-    best, where = h, at
-    # Doubling: best[i] is the least of h[i : i + width]; the leftmost wins ties.
     while width < span:
         step = min(width, span - width)
-        m = len(best) - step
-        right = best[step:] < best[:m]
-        where = np.where(right, where[step:], where[:m])
-        best = np.where(right, best[step:], best[:m])
+        best = np.minimum(best[step:], best[:-step])
         width += step
-    return where[:n]
+    return (best & low).astype(np.int64)
 
 
-def anchors(data: np.ndarray, gram: int = GRAM, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(position, first window, last window) of each anchor of one text, and its windows are a range; shorter texts have none.
+def anchors(data: np.ndarray, gram: int = GRAM, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(position, first window, last window, hash) of each anchor of one text; its windows are a range. Shorter texts have none.
 
     Equal windows have their anchors at equal offsets, wherever they are.
     """
     n = len(data) - length + 1
     if n < 1:
         e = np.zeros(0, np.int64)
-        return e, e, e
-    where = least_in_span(gram_hashes(data, gram), length - gram + 1)
-    cut = np.flatnonzero(np.diff(where)) + 1
+        return e, e, e, e.astype(np.uint64)
+    h = gram_hashes(data, gram)
+    where = least_in_span(h, length - gram + 1)
+    cut = np.flatnonzero(where[1:] != where[:-1]) + 1
     first = np.concatenate([[0], cut])
     last = np.concatenate([cut - 1, [n - 1]])
-    return where[first], first, last
+    at = where[first]
+    return at, first, last, h[at]

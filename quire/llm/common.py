@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,9 +64,14 @@ class Workspace:
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark's cleaner delete the shuffle files of plans that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Lets Spark's cleaner delete the shuffle files of plans that nothing refers to any more.
+
+    Twice: what Python lets go of first reaches the JVM, then its collector.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -26,9 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .anchors import GRAM, LENGTH, anchors, gram_hashes
+from .anchors import LENGTH, anchors
 from .common import LAST_ID, Workspace, release, shuffle_partitions
-from .shingles import _BASE, _BYTE, _UNBASE, _powers, mix
 
 #: Contexts of one anchor that are sorted together at most.
 PART = 64
@@ -158,40 +157,25 @@ def _table(columns: dict[str, tuple[list, pa.DataType]]) -> pa.RecordBatch | Non
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(gram, id, row, at) of each anchor."""
+    """(gram, id, at) of each anchor."""
     with np.errstate(over="ignore"):
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
-                out = [], [], [], []
-                for i, row, data in zip(part["id"].to_pylist(), part["row"].to_pylist(), _bytes_of(part["data"]), strict=True):
-                    if len(data) < LENGTH:
-                        continue
-                    at, _, _ = anchors(data)
-                    at = np.unique(at)
-                    out[0].append(gram_hashes(data)[at].view(np.int64))
+                out = [], [], []
+                for i, data in zip(part["id"].to_pylist(), _bytes_of(part["data"]), strict=True):
+                    at, _, _, grams = anchors(data)
+                    out[0].append(grams.view(np.int64))
                     out[1].append(np.full(len(at), i, np.int64))
-                    out[2].append(np.full(len(at), row, np.int64))
-                    out[3].append(at.astype(np.int32))
-                if t := _table(dict(zip(("gram", "id", "row", "at"), zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.int32()), strict=True), strict=True))):
+                    out[2].append(at.astype(np.int32))
+                if t := _table(dict(zip(("gram", "id", "at"), zip(out, (pa.int64(), pa.int64(), pa.int32()), strict=True), strict=True))):
                     yield t
 
 
-def _first_anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(gram, id), a gram once for each text."""
-    with np.errstate(over="ignore"):
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
-                out = [], []
-                for i, data in zip(part["id"].to_pylist(), _bytes_of(part["data"]), strict=True):
-                    if len(data) < LENGTH:
-                        continue
-                    g = np.unique(gram_hashes(data)[np.unique(anchors(data)[0])])
-                    out[0].append(g.view(np.int64))
-                    out[1].append(np.full(len(g), i, np.int64))
-                if t := _table(dict(zip(("gram", "id"), zip(out, (pa.int64(), pa.int64()), strict=True), strict=True))):
-                    yield t
+def _gram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """_anchor_rows without the positions."""
+    for t in _anchor_rows(batches):
+        yield t.select(["gram", "id"])
 
 
 CONTEXTS = "gram long, k1 long, k2 long, id long, row long, first int, n int"
@@ -199,34 +183,30 @@ CONTEXTS = "gram long, k1 long, k2 long, id long, row long, first int, n int"
 
 def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """CONTEXTS of the shared anchors (positions in `at`): 128-bit key of the context, its first window and number of windows."""
+    import xxhash
+
     names = [x.split()[0] for x in CONTEXTS.split(", ")]
     types = [pa.int64()] * 5 + [pa.int32()] * 2
+    key = xxhash.xxh3_128_digest
     with np.errstate(over="ignore"):
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
                 out: list[list[np.ndarray]] = [[] for _ in names]
-                for i, row, data, shared in zip(part["id"].to_pylist(), part["row"].to_pylist(), _bytes_of(part["data"]), part["at"].to_pylist(), strict=True):
-                    at, first, last = anchors(data)
-                    use = np.isin(at, np.array(shared, np.int64))
-                    at, first, last = at[use], first[use], last[use]
-                    keys = []
-                    for table, base, back in ((_BYTE, _BASE, _UNBASE), (_BYTE[::-1], _OTHER, _UNOTHER)):
-                        sums = np.zeros(len(data) + 1, np.uint64)
-                        np.cumsum(table[data] * _powers(base, len(data)), dtype=np.uint64, out=sums[1:])
-                        h = (sums[last + LENGTH] - sums[first]) * _powers(back, len(data))[first]
-                        shape = ((last - first) * 1024 + (at - first)).astype(np.uint64)
-                        keys.append(mix(mix(h) + shape).view(np.int64))
+                for i, row, raw, shared in zip(part["id"].to_pylist(), part["row"].to_pylist(), part["data"].to_pylist(), part["at"], strict=True):
+                    at, first, last, grams = anchors(np.frombuffer(raw, np.uint8))
+                    use = np.isin(at, shared.values.to_numpy())
+                    at, first, last, grams = at[use], first[use], last[use], grams[use]
+                    # The key takes in where the anchor is in the context.
+                    digests = b"".join([key(raw[a:b], seed=s) for a, b, s in zip(first.tolist(), (last + LENGTH).tolist(), (at - first).tolist(), strict=True)])
+                    keys = np.frombuffer(digests, "<i8").reshape(-1, 2)
                     full = lambda v, n=len(at): np.full(n, v, np.int64)
-                    for k, v in enumerate((gram_hashes(data)[at].view(np.int64), *keys, full(i), full(row), first.astype(np.int32), (last - first + 1).astype(np.int32))):
+                    for k, v in enumerate((grams.view(np.int64), keys[:, 0], keys[:, 1], full(i), full(row), first.astype(np.int32), (last - first + 1).astype(np.int32))):
                         out[k].append(v)
                 if t := _table(dict(zip(names, zip(out, types, strict=True), strict=True))):
                     yield t
 
 
-_OTHER = (_BASE * 6364136223846793005 + 1442695040888963406) % 2**64 | 1
-_UNOTHER = pow(_OTHER, -1, 2**64)
-
 EDGES = "gram long, part int, parts int, id long, row long, first int, n int, bytes binary"
 
 
@@ -363,15 +343,17 @@ def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_runs(ws: Workspace, rows: DataFrame) -> DataFrame:
     """(id, row, first, n): runs of windows that a document of smaller id holds. rows: id, row, data."""
     spark = ws.spark
-    grams = rows.select("id", "data").mapInArrow(_first_anchor_rows, "gram long, id long").groupBy("gram").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+    # Rows of one id share their list of places: a place that isn't another row's anchor does nothing there.
+    texts = rows.select("id", "data")
+    grams = texts.mapInArrow(_gram_rows, "gram long, id long").groupBy("gram").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
     shared = ws.write(grams.where("lo < hi").select("gram"), "grams")
     del grams
     release(spark)
-    found = rows.mapInArrow(_anchor_rows, "gram long, id long, row long, at int").join(shared, "gram")
-    places = ws.write(found.groupBy("id", "row").agg(F.collect_list("at").alias("at")), "places")
+    found = texts.mapInArrow(_anchor_rows, "gram long, id long, at int").join(shared, "gram")
+    places = ws.write(found.groupBy("id").agg(F.collect_list("at").alias("at")), "places")
     del found
     release(spark)
-    contexts = ws.write(rows.join(places, ["id", "row"]).mapInArrow(_context_rows, CONTEXTS), "contexts")
+    contexts = ws.write(rows.join(places, "id").mapInArrow(_context_rows, CONTEXTS), "contexts")
     release(spark)
     key = ["gram", "k1", "k2"]
     first = ws.write(contexts.groupBy(*key).agg(F.min("id").alias("lo")), "first")
