@@ -124,13 +124,18 @@ def deep_shallow(data: np.ndarray, starts: np.ndarray, length: int = LENGTH, sha
     raw = data.tobytes()
     edge = np.flatnonzero(np.diff(group, prepend=-1, append=-2))
     sizes = np.diff(edge)
-    for at, n in zip(edge[:-1][sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
+    # Groups whose members agree with their first to the full length need no trie.
+    many = np.flatnonzero(sizes[np.searchsorted(edge, group)] > 1)
+    mixed = np.zeros(len(order) + 1, bool)
+    for depth in [*range(shallow, length - 8, 8), length - 8]:
+        differs = words_at(data, starts[order[many]], depth) != words_at(data, starts[order[group[many]]], depth)
+        mixed[group[many[differs]]] = True
+    use = mixed[edge[:-1]]
+    for at, n in zip(edge[:-1][use].tolist(), sizes[use].tolist(), strict=True):
         members = order[at : at + n].tolist()
         leaves: dict[bytes, list[int]] = {}
         for m, s in zip(members, starts[order[at : at + n]].tolist(), strict=True):
             leaves.setdefault(raw[s + shallow : s + length], []).append(m)
-        if len(leaves) == 1:
-            continue
         trie = BlindTrie()
         for rest in leaves:
             trie.add(rest)
@@ -178,16 +183,16 @@ def _gram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield t.select(["gram", "id"])
 
 
-CONTEXTS = "gram long, k1 long, k2 long, id long, row long, first int, n int"
+CONTEXTS = "gram long, k1 long, id long, row long, first int, n int"
 
 
 def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """CONTEXTS of the shared anchors (positions in `at`): 128-bit key of the context, its first window and number of windows."""
+    """CONTEXTS of the shared anchors (positions in `at`): a key of the context beside that of its anchor, its first window and number of windows."""
     import xxhash
 
     names = [x.split()[0] for x in CONTEXTS.split(", ")]
-    types = [pa.int64()] * 5 + [pa.int32()] * 2
-    key = xxhash.xxh3_128_digest
+    types = [pa.int64()] * 4 + [pa.int32()] * 2
+    key = xxhash.xxh3_64_intdigest
     with np.errstate(over="ignore"):
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
@@ -198,10 +203,9 @@ def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     use = np.isin(at, shared.values.to_numpy())
                     at, first, last, grams = at[use], first[use], last[use], grams[use]
                     # The key takes in where the anchor is in the context.
-                    digests = b"".join([key(raw[a:b], seed=s) for a, b, s in zip(first.tolist(), (last + LENGTH).tolist(), (at - first).tolist(), strict=True)])
-                    keys = np.frombuffer(digests, "<i8").reshape(-1, 2)
+                    keys = np.array([key(raw[a:b], seed=s) for a, b, s in zip(first.tolist(), (last + LENGTH).tolist(), (at - first).tolist(), strict=True)], np.uint64).view(np.int64)
                     full = lambda v, n=len(at): np.full(n, v, np.int64)
-                    for k, v in enumerate((grams.view(np.int64), keys[:, 0], keys[:, 1], full(i), full(row), first.astype(np.int32), (last - first + 1).astype(np.int32))):
+                    for k, v in enumerate((grams.view(np.int64), keys, full(i), full(row), first.astype(np.int32), (last - first + 1).astype(np.int32))):
                         out[k].append(v)
                 if t := _table(dict(zip(names, zip(out, types, strict=True), strict=True))):
                     yield t
@@ -217,10 +221,11 @@ def _edge_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo in range(0, batch.num_rows, 500):
             part = batch.slice(lo, 500)
             out = []
-            for i, row, data, edges in zip(part["id"].to_pylist(), part["row"].to_pylist(), part["data"].to_pylist(), part["edges"].to_pylist(), strict=True):
-                for e in edges:
-                    parts = -(-e["contexts"] // PART)
-                    out.append((e["gram"], (e["k1"] % parts) if parts > 1 else 0, parts, i, row, e["first"], e["n"], data[e["first"] : e["first"] + e["n"] - 1 + LENGTH]))
+            for i, row, data, edges in zip(part["id"].to_pylist(), part["row"].to_pylist(), part["data"].to_pylist(), part["edges"], strict=True):
+                fields = [edges.values.field(k).to_pylist() for k in ("gram", "k1", "contexts", "first", "n")]
+                for gram, k1, contexts, first, n in zip(*fields, strict=True):
+                    parts = -(-contexts // PART)
+                    out.append((gram, (k1 % parts) if parts > 1 else 0, parts, i, row, first, n, data[first : first + n - 1 + LENGTH]))
             if out:
                 types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
@@ -355,7 +360,7 @@ def repeated_runs(ws: Workspace, rows: DataFrame) -> DataFrame:
     release(spark)
     contexts = ws.write(rows.join(places, "id").mapInArrow(_context_rows, CONTEXTS), "contexts")
     release(spark)
-    key = ["gram", "k1", "k2"]
+    key = ["gram", "k1"]  # 128 bits together
     first = ws.write(contexts.groupBy(*key).agg(F.min("id").alias("lo")), "first")
     several = first.groupBy("gram").agg(F.count("*").alias("contexts")).where("contexts > 1")
     known = first.join(several, "gram", "left")
