@@ -25,7 +25,7 @@ SHAPES = {
     "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\.?[0-9])",
     "date": r"(?<![0-9./\-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9/]|[.\-][0-9])",
-    "phone": r"(?<![0-9+])\+[0-9]{1,3}(?:[ .\-]?\(?[0-9]{1,4}\)?){2,6}(?![0-9])|(?<![0-9])\([0-9]{3}\) ?[0-9]{3}[ .\-][0-9]{4}(?![0-9])|(?<![0-9.\-])[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4}(?![0-9])",
+    "phone": r"(?<![0-9+])\+[0-9]{1,3} ?\([0-9]{2,4}\) ?[0-9]{3}[ .\-][0-9]{4}(?![0-9])|(?<![0-9+])\+[0-9]{1,3}(?:[ .\-]?\(?[0-9]{1,4}\)?){2,6}(?![0-9])|(?<![0-9])\([0-9]{3}\) ?[0-9]{3}[ .\-][0-9]{4}(?![0-9])|(?<![0-9.\-])[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4}(?![0-9])",
     "ssn": r"(?<![0-9\-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9\-])",
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ \-][0-9]{4}){3}|[0-9]{4}[ \-][0-9]{6}[ \-][0-9]{5})(?![0-9])",
 }
