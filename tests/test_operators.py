@@ -14,7 +14,7 @@ def test_layout_grammars(spark):
 
 
 def test_headers_and_bounds(spark):
-    rows = [(1, p * 10 + k, p, k, k / 10, (k + 1) / 10, "Head line" if k == 0 else f"- {p} -" if k == 9 else f"text {p} {k}") for p in (1, 2, 3) for k in range(10)]
+    rows = [(1, p * 10 + k, p, k, k / 10, (k + 1) / 10, "Head line" if k == 0 else f"- {p} -" if k == 9 else f"text {chr(97 + p)}{chr(97 + k)}") for p in (1, 2, 3) for k in range(10)]
     d = spark.createDataFrame(rows, "doc_id long, line_index int, page int, source_order int, rel_y0 double, rel_y1 double, text string")
     kept = lines.remove_headers_footers(d)
     assert kept.count() == 24 and kept.where("text like 'Head%' or text like '-%'").count() == 0
@@ -47,17 +47,16 @@ def test_toc_levels(spark):
     assert toc.validate(spark.createDataFrame([(1, 0, "x", " ", "1"), (1, 1, "9", "B", "z"), (1, 2, "2", "b ", "1")], "doc_id long, pos long, level string, chapter string, page string"), 6).collect()[0].asDict() == {"doc_id": 1, "pos": 1, "level": 6, "chapter": "B", "page": 1}
 
 
-class Flaky:
-    def complete(self, prompt):
-        if len(prompt) > 4000:
-            raise RuntimeError("503 unavailable")
-        return '{"n": 1}'
-
-
 def test_models(spark):
+    class Flaky:
+        def complete(self, prompt):
+            if len(prompt) > 4000:
+                raise RuntimeError("503 unavailable")
+            return '{"n": 1}'
+
     ship(spark)
     d = spark.createDataFrame([(1, "1", "line\n" * 1500), (2, "1", "short")], "doc_id long, chunk string, text string")
-    got = {(r.doc_id, r.chunk): r.error for r in models.ask(d, _flaky, tries=1).collect()}
+    got = {(r.doc_id, r.chunk): r.error for r in models.ask(d, Flaky, tries=1).collect()}
     assert got == {(1, "1.1"): None, (1, "1.2"): None, (2, "1"): None}
     calls = []
     with pytest.raises(RuntimeError):
@@ -65,10 +64,6 @@ def test_models(spark):
     assert len(calls) == 3 and models.provider_name(" GPT ") == "openai"
 
 
-def _flaky():
-    return Flaky()
-
-
 def test_stream(spark, tmp_path):
     src = tmp_path / "in"
     spark.createDataFrame([(1, "u", "<h1>A</h1><p>b")], "page_id long, url string, html string").write.parquet(str(src))
