@@ -1,8 +1,10 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Tokens (words) are summed per cell of source, language and topic. Raking scales the cells until their
-token marginals meet the targets; a cell's scale over its size, calibrated so that expected tokens meet
-the budget, is the probability with which its documents are kept. A document's draw is a hash of its id, so
+token marginals meet the targets; a cell's scale over its size, times one factor for all cells, is the
+probability with which its documents are kept. The factor is the largest that needs no probability over 1
+and expects no more tokens than the budget, so what is kept has the raked shares: where a cell is lifted by
+more than 1 / budget, less than the budget is kept. A document's draw is a hash of its id, so
 a sample is the same wherever and whenever it is made.
 
 Topics come from spherical k-means over hashed words of a bounded sample, fitted in one task.
@@ -141,22 +143,13 @@ def rake(cells: pd.DataFrame, targets: dict[str, dict]) -> pd.DataFrame:
 
 
 def calibrated(ratio: np.ndarray, tokens: np.ndarray, budget: float) -> float:
-    """c for which probabilities min(1, c * ratio) keep `budget` tokens as expected, or as many as the ratios allow."""
-    order = np.argsort(-ratio)
-    r, t = ratio[order], tokens[order].astype(float)
-    full = np.concatenate([[0.0], np.cumsum(t)])  # tokens of the first k cells, kept whole
-    rest = np.concatenate([np.cumsum((r * t)[::-1])[::-1], [0.0]])
-    for k in range(len(r)):
-        if r[k] <= 0:
-            break
-        c = (budget - full[k]) / rest[k]
-        if c * r[k] <= 1:  # cell k is the first that isn't kept whole
-            return max(c, 0.0)
-    return float(1 / r[r > 0].min()) if (r > 0).any() else 0.0
+    """The largest c for which no probability c * ratio is over 1 and `budget` tokens at most are expected."""
+    expected, most = float((ratio * tokens).sum()), float(ratio.max(initial=0.0))
+    return min(budget / expected, 1 / most) if expected > 0 else 0.0
 
 
 def probabilities(cells: pd.DataFrame, targets: dict[str, dict], budget: float) -> pd.DataFrame:
-    """AXES, weight (the cell's raked share) and probability."""
+    """AXES, weight (the cell's raked share) and probability, whose expected tokens are shared as the weights are."""
     cells = rake(cells, targets)
     tokens = cells["tokens"].to_numpy()
     ratio = cells["weight"].to_numpy() / np.maximum(tokens, 1) if len(cells) else np.zeros(0)
@@ -187,14 +180,9 @@ def rake_distributed(ws: Workspace, cells: DataFrame, targets: dict[str, dict],
         if worst < CLOSE:
             break
     cells = cells.withColumn("ratio", F.col("weight") / F.greatest("tokens", F.lit(1)))
-    low, high = 0.0, float(total or 1) * 1e9
-    for _ in range(80):  # bisection on the expected tokens
-        mid = (low + high) / 2
-        kept = cells.agg(F.sum(F.least(F.lit(1.0), F.col("ratio") * mid) * F.col("tokens"))).first()[0] or 0.0
-        low, high = (mid, high) if kept < budget * total else (low, mid)
-        if high - low <= 1e-9 * high:
-            break
-    return ws.write(cells.select(*AXES, "tokens", "weight", F.least(F.lit(1.0), F.col("ratio") * high).alias("probability")), "probabilities")
+    expected, most = cells.agg(F.sum(F.col("ratio") * F.col("tokens")), F.max("ratio")).first()
+    c = min(budget * total / expected, 1 / most) if expected else 0.0
+    return ws.write(cells.select(*AXES, "tokens", "weight", F.least(F.lit(1.0), F.col("ratio") * c).alias("probability")), "probabilities")
 
 
 def _all():

@@ -347,6 +347,22 @@ def test_raking():
     assert mixing.probabilities(cells.iloc[:0], want, 0.3).empty
 
 
+@pytest.mark.parametrize("hot", [1, 400])
+def test_mixture_meets_targets_at_the_budget(hot):
+    """One cell of source a is `hot` times the others' size."""
+    import pandas as pd
+
+    rng = random.Random(3)
+    cells = pd.DataFrame([(s, g, k, rng.randrange(1, 1000) * (hot if (s, g, k) == ("a", "en", 0) else 1)) for s in "abcd" for g in ("en", "de", "es") for k in range(4)], columns=["source", "lang", "topic", "tokens"])
+    p = mixing.probabilities(cells, {}, mixing.BUDGET)
+    kept = p["probability"] * p["tokens"]
+    assert p["probability"].between(0, 1).all() and 0 < kept.sum() <= mixing.BUDGET * p["tokens"].sum() * (1 + 1e-9)
+    assert p["probability"].max() > 1 - 1e-9 or kept.sum() > mixing.BUDGET * p["tokens"].sum() * (1 - 1e-9)
+    for axis in mixing.AXES:
+        want = mixing.tempered(p.groupby(axis)["tokens"].sum() / p["tokens"].sum())
+        assert ((kept.groupby(p[axis]).sum() / kept.sum() - want).abs() < 1e-4).all()
+
+
 def test_mixing(spark, docs, edge, empty):
     a = {r.doc_id: r for r in mixing.mix(spark, docs).collect()}
     b = {r.doc_id: r for r in mixing.mix(spark, docs, local_cells=0).collect()}
