@@ -7,7 +7,9 @@ and expects no more tokens than the budget, so what is kept has the raked shares
 more than 1 / budget, less than the budget is kept. A document's draw is a hash of its id, so
 a sample is the same wherever and whenever it is made.
 
-Topics come from spherical k-means over hashed words of a bounded sample, fitted in one task.
+Topics come from spherical k-means over the hashed words of all documents. Each document's vector is written
+once, in whole numbers; a round sums vectors by nearest centre where they are read and merges the sums by
+groupBy. Products and sums of whole numbers are exact, so the centres don't depend on how rows are dealt.
 """
 
 from __future__ import annotations
@@ -24,9 +26,11 @@ from .common import LAST_ID, Workspace, release
 from .shingles import _words
 
 AXES = ("source", "lang", "topic")
+KEYS = ["doc_id", "source", "lang", "row"]
 TOPICS = 8
-#: Documents that topics are fitted on at most: those whose hashed doc_id is least. Words are hashed to so many sums.
-SAMPLE, WIDTH = 4_000, 1_024
+#: Words are hashed to so many sums, whose vector is scaled to length UNIT and rounded.
+WIDTH, UNIT = 1_024, 32_767
+#: Rounds of k-means at most; it ends when the centres stay.
 ROUNDS = 12
 #: Targets that aren't given: each marginal's own shares to this power, which lifts the small ones.
 TEMPER = 0.7
@@ -53,58 +57,99 @@ def word_sums(text: bytes) -> tuple[np.ndarray, int]:
     return (sums / size if size else sums), len(words)
 
 
-def centres_of(vectors: np.ndarray, topics: int = TOPICS, rounds: int = ROUNDS) -> np.ndarray:
-    """Centres of spherical k-means; the first ones are spread out, in order of the rows."""
-    if not len(vectors):
-        return np.zeros((topics, WIDTH), np.float32)
-    chosen = [0]
-    near = vectors @ vectors[0]
-    while len(chosen) < min(topics, len(vectors)):
-        chosen.append(int(near.argmin()))
-        near = np.maximum(near, vectors @ vectors[chosen[-1]])
-    centres = np.zeros((topics, WIDTH))
-    centres[: len(chosen)] = vectors[chosen]
-    for _ in range(rounds):
-        best = (vectors @ centres.T).argmax(axis=1)
-        for k in range(topics):
-            if (own := vectors[best == k]).size:
-                total = own.sum(axis=0)
-                centres[k] = total / max(np.linalg.norm(total), 1e-12)
-    return centres.astype(np.float32)
-
-
-def _fit(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values(["doc_id", "data"])
-    centres = centres_of(np.stack([word_sums(t)[0] for t in pdf["data"]]))
-    return pd.DataFrame({"centres": [centres.ravel().tolist()]})
-
-
-def fit_topics(docs: DataFrame, *, sample: int = SAMPLE) -> np.ndarray:
-    """Topic centres from at most `sample` documents."""
-    some = docs.where("doc_id is not null and text is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    data = docs.where("text is not null").select("doc_id", F.col("text").cast("binary").alias("data")).join(F.broadcast(some), "doc_id")
-    found = data.groupBy(F.lit(0).alias("all")).applyInPandas(_fit, "centres array<float>").collect()
-    return np.array(found[0]["centres"], np.float32).reshape(TOPICS, WIDTH) if found else np.zeros((TOPICS, WIDTH), np.float32)
-
-
-def _assign(centres: np.ndarray, names: list[str]):
+def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 500):
+            part = batch.slice(at, 500)
+            sums = [word_sums(t) for t in part["_data"].to_pylist()]
+            vectors = [np.rint(v * UNIT).astype("<i2").tobytes() for v, _ in sums]
+            yield pa.RecordBatch.from_arrays([*[part[c] for c in KEYS], pa.array([n for _, n in sums], pa.int64()), pa.array(vectors, pa.binary())], [*KEYS, "tokens", "vector"])
+
+
+def vectors(docs: DataFrame) -> DataFrame:
+    """doc_id, source, lang, row, tokens and vector of each row; null source, language and text count as ''."""
+    data = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
+    rows = docs.select(F.col("doc_id").cast("long"), *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("source", "lang")], F.xxhash64(data).alias("row"), data.alias("_data"))
+    return rows.mapInArrow(_vectors, "doc_id long, source string, lang string, row long, tokens long, vector binary")
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Pieces of the batches and their vectors. Doubles hold the products and sums of these whole numbers exactly."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 500):
+            part = batch.slice(at, 500)
+            yield part, np.frombuffer(b"".join(part["vector"].to_pylist()), "<i2").reshape(-1, WIDTH).astype(float)
+
+
+def _race(centres: np.ndarray):
+    """Of each partition the row that is the first in a race: chances are as the distances from the centres so far."""
+
+    def race(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = None
+        for part, v in _parts(batches):
+            far = 1 - (v @ centres.T).max(axis=1) / UNIT**2 if len(centres) else np.ones(len(v))
+            lot = part["lot"].to_numpy(zero_copy_only=False)
+            time = np.where(far > 1e-3, -np.log1p(-lot) / np.maximum(far, 1e-3), np.inf)  # rounding keeps copies of a centre within 1e-3
+            k = int(np.lexsort((part["row"].to_numpy(zero_copy_only=False), time))[0])
+            own = (float(time[k]), part["row"][k].as_py(), part["vector"][k].as_py())
+            best = own if best is None else min(best, own)
+        if best is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in best], ["time", "row", "vector"])
+
+    return race
+
+
+def _sums(centres: np.ndarray):
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(centres.shape)
+        for _, v in _parts(batches):
+            total += np.eye(len(centres))[(v @ centres.T).argmax(axis=1)].T @ v
+        slots = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int32()), pa.array(total.ravel()[slots].astype(np.int64))], ["slot", "total"])
+
+    return sums
+
+
+def fit_topics(vectors: DataFrame, *, topics: int = TOPICS, rounds: int = ROUNDS) -> np.ndarray:
+    """Topic centres of all vectors with tokens: rows of length UNIT, fewer than `topics` if fewer texts differ."""
+    some = vectors.where("tokens > 0")
+    centres = np.zeros((0, WIDTH))
+    for k in range(topics):
+        lots = some.select("row", "vector", (F.shiftrightunsigned(F.xxhash64(F.lit(SEED + 1 + k), "doc_id", "row"), 11) / F.lit(float(2**53))).alias("lot"))
+        first = lots.mapInArrow(_race(centres), "time double, row long, vector binary").agg(F.min(F.struct("time", "row", "vector")).alias("x")).first()["x"]
+        if first is None or first["time"] == float("inf"):
+            break
+        centres = np.vstack([centres, np.frombuffer(first["vector"], "<i2").astype(float)])
+    for _ in range(rounds if len(centres) else 0):
+        total = np.zeros(centres.size)
+        for slot, x in some.select("vector").mapInArrow(_sums(centres), "slot int, total long").groupBy("slot").agg(F.sum("total")).collect():
+            total[slot] = x
+        total = total.reshape(centres.shape)
+        size = np.linalg.norm(total, axis=1, keepdims=True)
+        new = np.where(size > 0, np.rint(total / np.maximum(size, 1) * UNIT), centres)
+        if (new == centres).all():
+            break
+        centres = new
+    return centres
+
+
+def _assign(centres: np.ndarray):
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                sums = [word_sums(t) for t in part["_data"].to_pylist()]
-                topic = (np.stack([s[0] for s in sums]).astype(np.float32) @ centres.T).argmax(axis=1)
-                yield pa.RecordBatch.from_arrays([*[part[c] for c in names], pa.array(topic, pa.int32()), pa.array([s[1] for s in sums], pa.int64())], [*names, "topic", "tokens"])
+        for part, v in _parts(batches):
+            topic = (v @ centres.T).argmax(axis=1) if len(centres) else np.zeros(len(v))
+            yield pa.RecordBatch.from_arrays([*[part[c] for c in KEYS], pa.array(topic.astype(np.int32)), part["tokens"]], [*KEYS, "topic", "tokens"])
 
     return assign
 
 
-def measured(docs: DataFrame, centres: np.ndarray) -> DataFrame:
-    """doc_id, source, lang, row, topic and tokens of each row; null source, language and text count as ''."""
-    data = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
-    names = ["doc_id", "source", "lang", "row"]
-    rows = docs.select(F.col("doc_id").cast("long"), *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("source", "lang")], F.xxhash64(data).alias("row"), data.alias("_data"))
-    return rows.mapInArrow(_assign(centres, names), "doc_id long, source string, lang string, row long, topic int, tokens long")
+def measured(ws: Workspace, docs: DataFrame) -> DataFrame:
+    """doc_id, source, lang, row, topic and tokens of each row, written; null source, language and text count as ''."""
+    path = ws.path("vectors")
+    vectors(docs).write.parquet(path)
+    found = ws.spark.read.parquet(path)
+    out = ws.write(found.mapInArrow(_assign(fit_topics(found)), "doc_id long, source string, lang string, row long, topic int, tokens long"), "measured")
+    ws.drop(path)
+    return out
 
 
 # --- raking ----------------------------------------------------------------------------------
@@ -206,7 +251,7 @@ def mix(spark: SparkSession, docs: DataFrame, *, targets: dict[str, dict] | None
     """
     ws = Workspace(spark)
     targets = targets or {}
-    m = ws.write(measured(docs, fit_topics(docs)), "measured")
+    m = measured(ws, docs)
     cells = ws.write(m.where("tokens > 0").groupBy(*AXES).agg(F.sum("tokens").alias("tokens")), "cells")
     if cells.limit(local_cells + 1).count() <= local_cells:
         found = probabilities(cells.toPandas(), targets, budget)

@@ -363,6 +363,19 @@ def test_mixture_meets_targets_at_the_budget(hot):
         assert ((kept.groupby(p[axis]).sum() / kept.sum() - want).abs() < 1e-4).all()
 
 
+def test_topics_are_fitted_on_all_documents(spark):
+    """Eight vocabularies, one of which only the documents beyond the first 4,000 by hash have."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import Window
+
+    ids = spark.range(4_600).select(F.col("id").alias("doc_id"), F.row_number().over(Window.orderBy(F.xxhash64("id"), "id")).alias("n"))
+    kind = F.when(F.col("n") > 4_000, 7).otherwise(F.col("n") % 7)
+    words = F.array([F.lit(" ".join(f"k{k}w{i}" for i in range(40))) for k in range(8)])
+    d = ids.select("doc_id", words[kind.cast("int")].alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source")).repartition(5)
+    found = {(r.kind, r.topic) for r in mixing.mix(spark, d).join(ids, "doc_id").select(kind.alias("kind"), "topic").distinct().collect()}
+    assert len(found) == len({k for k, _ in found}) == len({t for _, t in found}) == 8
+
+
 def test_mixing(spark, docs, edge, empty):
     a = {r.doc_id: r for r in mixing.mix(spark, docs).collect()}
     b = {r.doc_id: r for r in mixing.mix(spark, docs, local_cells=0).collect()}
