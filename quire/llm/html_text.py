@@ -8,11 +8,13 @@ suffixes sorted, and runs of RUN or more tokens found in PAGES or more distinct
 blocks that are mostly covered go, the unique ones stay.
 
 A host's pages are dealt to shards of about SHARD pages, so a host that holds a third of all pages
-is many groups; boilerplate is on every page and so in every shard.
+is many groups. Each shard's suffix array counts the pages of its distinct runs; the counts are summed
+over the host by the runs' hashes before anything is covered, so shards don't change the result.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
@@ -170,49 +172,86 @@ def suffix_ranks(tokens: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray
     return order, rank
 
 
-def covered(tokens: np.ndarray, pages: np.ndarray, run: int = RUN, least: int = PAGES) -> np.ndarray:
-    """Whether each token lies in a run of `run` tokens that `least` distinct pages hold. Negative tokens end streams."""
-    out = np.zeros(len(tokens), bool)
+def runs_of(tokens: np.ndarray, pages: np.ndarray, run: int = RUN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts of all runs of `run` tokens, group of equal runs of each, distinct pages of each group). Negative tokens end streams."""
+    none = np.zeros(0, np.int64)
     if len(tokens) < run:
-        return out
+        return none, none, none
     order, rank = suffix_ranks(tokens, run)
     ends = np.cumsum(tokens < 0)
     whole = np.zeros(len(tokens), bool)
     whole[: len(tokens) - run + 1] = (ends[run - 1 :] == np.concatenate([[0], ends[: len(tokens) - run]])) if len(tokens) > run else (ends[run - 1 :] == 0)
     order = order[whole[order]]
     if not len(order):
-        return out
-    pairs = np.unique(np.stack([rank[order], pages[order]]), axis=1)
-    groups, n = np.unique(pairs[0], return_counts=True)
-    starts = order[np.isin(rank[order], groups[n >= least])]
-    depth = np.zeros(len(tokens) + 1, np.int64)
+        return none, none, none
+    groups, of = np.unique(rank[order], return_inverse=True)
+    pairs = np.unique(np.stack([of, pages[order]]), axis=1)
+    return order, of, np.bincount(pairs[0], minlength=len(groups))
+
+
+def spread(starts: np.ndarray, n: int, run: int = RUN) -> np.ndarray:
+    """Whether each of n tokens lies in a run that starts at one of `starts`."""
+    depth = np.zeros(n + 1, np.int64)
     np.add.at(depth, starts, 1)
     np.add.at(depth, starts + run, -1)
     return np.cumsum(depth[:-1]) > 0
 
 
-UNIQUE = "page_id long, url string, text string"
+def covered(tokens: np.ndarray, pages: np.ndarray, run: int = RUN, least: int = PAGES) -> np.ndarray:
+    """Whether each token lies in a run of `run` tokens that `least` distinct pages hold. Negative tokens end streams."""
+    starts, of, n = runs_of(tokens, pages, run)
+    return spread(starts[n[of] >= least], len(tokens), run)
 
 
-def _unique_runs(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The pages without an article, each with the runs that the shard's suffix array leaves uncovered."""
+def _streams(pdf: pd.DataFrame) -> tuple[list[str], np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+    """(words, their ids, their pages, (page, first token, end) of each block); a negative id ends each page."""
     vocabulary: dict[str, int] = {}
+    flat: list[str] = []
     ids: list[int] = []
     owner: list[int] = []
-    spans: list[tuple[int, int, int, str]] = []  # page, first token, end, text
+    spans: list[tuple[int, int, int]] = []
     for p, page in enumerate(pdf["blocks"]):
         for block in page:
             words = block.split(" ")
-            spans.append((p, len(ids), len(ids) + len(words), block))
+            spans.append((p, len(ids), len(ids) + len(words)))
             ids += [vocabulary.setdefault(w, len(vocabulary)) for w in words]
+            flat += words
         ids.append(-1 - p)
+        flat.append("")
         owner += [p] * (len(ids) - len(owner))
-    upto = np.concatenate([[0], np.cumsum(covered(np.array(ids, np.int64), np.array(owner, np.int64)))])
+    return flat, np.array(ids, np.int64), np.array(owner, np.int64), spans
+
+
+def _named(flat: list[str], starts: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """64-bit hash of each group's run, the same in every shard."""
+    one = starts[np.unique(of, return_index=True)[1]]
+    return np.array([int.from_bytes(hashlib.blake2b(" ".join(flat[at : at + RUN]).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True) for at in one], np.int64)
+
+
+RUNS = "host string, shard long, run long, pages long"
+
+
+def _evidence(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A shard's distinct runs, each with the number of its pages."""
+    flat, ids, owner, _ = _streams(pdf)
+    starts, of, n = runs_of(ids, owner)
+    return pd.DataFrame({"host": pdf["host"].iloc[0], "shard": pdf["shard"].iloc[0], "run": _named(flat, starts, of), "pages": n}, columns=["host", "shard", "run", "pages"])
+
+
+UNIQUE = "page_id long, url string, text string"
+
+
+def _unique_runs(pdf: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+    """The pages without an article, each with what the host's known runs leave uncovered."""
+    flat, ids, owner, spans = _streams(pdf)
+    starts, of, _ = runs_of(ids, owner)
+    hit = np.isin(_named(flat, starts, of), known["run"].to_numpy(np.int64))
+    upto = np.concatenate([[0], np.cumsum(spread(starts[hit[of]], len(ids)))])
     kept: list[list[str]] = [[] for _ in range(len(pdf))]
-    for p, lo, hi, block in spans:
+    for p, lo, hi in spans:
         # Runs go on over blocks; a block is boilerplate if most of it is covered, else a unique run.
         if 2 * (upto[hi] - upto[lo]) < hi - lo:
-            kept[p].append(block)
+            kept[p].append(" ".join(flat[lo:hi]))
     rows = [(i, u, " ".join(k)) for i, u, a, k in zip(pdf["page_id"], pdf["url"], pdf["article"], kept, strict=True) if not a]
     return pd.DataFrame(rows, columns=["page_id", "url", "text"])
 
@@ -231,7 +270,10 @@ def main_text(spark: SparkSession, pages: DataFrame) -> DataFrame:
     rest = ws.write(parsed.where("not article or size(blocks) > 0").select("page_id", "url", "host", "article", "blocks"), "blocks")
     sizes = rest.groupBy("host").agg(F.ceil(F.count("*") / SHARD).alias("shards"))
     dealt = rest.join(sizes, "host").withColumn("shard", F.pmod(F.xxhash64("page_id"), F.col("shards")))
-    return direct.unionByName(dealt.groupBy("host", "shard").applyInPandas(_unique_runs, UNIQUE))
+    runs = ws.write(dealt.groupBy("host", "shard").applyInPandas(_evidence, RUNS), "runs")
+    often = runs.groupBy("host", "run").agg(F.sum("pages").alias("n")).where(F.col("n") >= PAGES).select("host", "run")
+    known = runs.join(often, ["host", "run"]).select("host", "shard", "run")
+    return direct.unionByName(dealt.groupBy("host", "shard").cogroup(known.groupBy("host", "shard")).applyInPandas(_unique_runs, UNIQUE))
 
 
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

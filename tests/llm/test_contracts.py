@@ -115,6 +115,15 @@ def test_suffix_boilerplate(spark):
     assert html_text.main_text(spark, d.where("false")).count() == 0
 
 
+def test_boilerplate_of_few_pages_of_a_large_host(spark):
+    """A notice on 4 pages of a host of 3,000, which is dealt to 12 shards."""
+    notice = "members of the rowing club meet on friday evenings only"
+    page = lambda i: " ".join(f"own{i}word{k}" for k in range(12))
+    rows = [(i, f"http://h.x/{i}", f"<div>{page(i)}</div>" + f"<div>{notice}</div>" * (i % 750 == 0)) for i in range(3_000)]
+    got = html_text.main_text(spark, spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {r.page_id: r.text for r in got.collect()} == {i: page(i) for i in range(3_000)}
+
+
 # --- media ------------------------------------------------------------------------------------------
 
 
