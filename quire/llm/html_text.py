@@ -4,8 +4,10 @@ Each page is parsed once into blocks. Blocks inside an article or main element t
 holds are the page's text: nothing is dropped from them, since passages that several articles share
 are still text. A page without such an element keeps its other visible blocks, less the boilerplate
 that a suffix array over the host's pages finds: the token streams of these blocks are concatenated,
-suffixes sorted, and runs of RUN or more tokens found in PAGES or more distinct pages are covered;
-blocks that are mostly covered go, the unique ones stay.
+suffixes sorted, and runs of RUN or more tokens found in PAGES or more distinct pages are covered.
+Covered tokens go, all others stay. A run that goes on over a block's edge covers of a block all or
+nothing: the few words that it shares with the next block by chance stay. Pages of a host whose blocks
+are all equal are one page to the arrays; if there are PAGES or more, the one of least id keeps the text.
 
 A host's pages are dealt to shards of about SHARD pages, so a host that holds a third of all pages
 is many groups. Each shard's suffix array counts the pages of its distinct runs; the counts are summed
@@ -238,42 +240,54 @@ def _evidence(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"host": pdf["host"].iloc[0], "shard": pdf["shard"].iloc[0], "run": _named(flat, starts, of), "pages": n}, columns=["host", "shard", "run", "pages"])
 
 
-UNIQUE = "page_id long, url string, text string"
+UNIQUE = "host string, content long, text string"
 
 
 def _unique_runs(pdf: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-    """The pages without an article, each with what the host's known runs leave uncovered."""
+    """The contents of pages without an article, each with the tokens that the host's known runs leave uncovered."""
     flat, ids, owner, spans = _streams(pdf)
     starts, of, _ = runs_of(ids, owner)
     hit = np.isin(_named(flat, starts, of), known["run"].to_numpy(np.int64))
-    upto = np.concatenate([[0], np.cumsum(spread(starts[hit[of]], len(ids)))])
+    starts = starts[hit[of]]
+    first, end = np.array([x[1:] for x in spans], np.int64).reshape(-1, 2).T
+    block = np.searchsorted(first, starts, "right") - 1
+    anywhere = spread(starts, len(ids))
+    within = spread(starts[starts + RUN <= end[block]], len(ids))
     kept: list[list[str]] = [[] for _ in range(len(pdf))]
     for p, lo, hi in spans:
-        # Runs go on over blocks; a block is boilerplate if most of it is covered, else a unique run.
-        if 2 * (upto[hi] - upto[lo]) < hi - lo:
-            kept[p].append(" ".join(flat[lo:hi]))
-    rows = [(i, u, " ".join(k)) for i, u, a, k in zip(pdf["page_id"], pdf["url"], pdf["article"], kept, strict=True) if not a]
-    return pd.DataFrame(rows, columns=["page_id", "url", "text"])
+        if not anywhere[lo:hi].all():
+            kept[p] += [w for w, gone in zip(flat[lo:hi], within[lo:hi], strict=True) if not gone]
+    rows = [(h, c, " ".join(k)) for h, c, a, k in zip(pdf["host"], pdf["content"], pdf["article"], kept, strict=True) if not a]
+    return pd.DataFrame(rows, columns=["host", "content", "text"])
 
 
 def main_text(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """Per row of pages (page_id, url, html; others are ignored): page_id, url, text.
 
     Null or empty html: empty text. A null url is host ''. Very long pages are parsed whole. Repeated
-    rows are repeated in the result and count as one page each for the suffix arrays. Blocks of equal
-    text all stay inside an article. An empty table gives an empty result.
+    rows are repeated in the result. Without an article they count as copies of one page, of which one
+    row keeps the text from PAGES rows on; with one, they count as a page each for the suffix arrays.
+    Blocks of equal text all stay inside an article. An empty table gives an empty result.
     """
     ws = Workspace(spark)
     parsed = pages.select(F.col("page_id").cast("long"), "url", F.col("html").cast("string").alias("html")).mapInPandas(_parse, PARSED)
     # Parsed twice: the articles' texts then never move, only what the suffix arrays read does.
     direct = parsed.where("article").select("page_id", "url", "text")
-    rest = ws.write(parsed.where("not article or size(blocks) > 0").select("page_id", "url", "host", "article", "blocks"), "blocks")
-    sizes = rest.groupBy("host").agg(F.ceil(F.count("*") / SHARD).alias("shards"))
-    dealt = rest.join(sizes, "host").withColumn("shard", F.pmod(F.xxhash64("page_id"), F.col("shards")))
+    rest = ws.write(parsed.where("not article or size(blocks) > 0").select("page_id", "url", "host", "article", "blocks", F.xxhash64("blocks").alias("content"), F.monotonically_increasing_id().alias("line")), "blocks")
+    bare = rest.where("not article").drop("article")
+    # Pages with an article count one by one, the others by content.
+    contents = bare.groupBy("host", "content").agg(F.first("blocks").alias("blocks"), F.count("*").alias("copies"), F.min(F.struct(F.col("page_id").isNull(), "page_id", "line")).alias("holder"))
+    contents = ws.write(contents.withColumn("holder", F.col("holder.line")), "contents")
+    rows = contents.select("host", F.lit(False).alias("article"), "content", "blocks").unionByName(rest.where("article").select("host", "article", F.xxhash64("content", "line").alias("content"), "blocks"))
+    sizes = rows.groupBy("host").agg(F.ceil(F.count("*") / SHARD).alias("shards"))
+    dealt = rows.join(sizes, "host").withColumn("shard", F.pmod(F.xxhash64("content"), F.col("shards")))
     runs = ws.write(dealt.groupBy("host", "shard").applyInPandas(_evidence, RUNS), "runs")
     often = runs.groupBy("host", "run").agg(F.sum("pages").alias("n")).where(F.col("n") >= PAGES).select("host", "run")
     known = runs.join(often, ["host", "run"]).select("host", "shard", "run")
-    return direct.unionByName(dealt.groupBy("host", "shard").cogroup(known.groupBy("host", "shard")).applyInPandas(_unique_runs, UNIQUE))
+    texts = dealt.groupBy("host", "shard").cogroup(known.groupBy("host", "shard")).applyInPandas(_unique_runs, UNIQUE)
+    texts = texts.join(contents.select("host", "content", "copies", "holder"), ["host", "content"])
+    text = F.when((F.col("copies") < PAGES) | (F.col("line") == F.col("holder")), F.col("text")).otherwise("").alias("text")
+    return direct.unionByName(bare.select("page_id", "url", "host", "content", "line").join(texts, ["host", "content"]).select("page_id", "url", text))
 
 
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

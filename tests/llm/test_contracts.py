@@ -124,6 +124,17 @@ def test_boilerplate_of_few_pages_of_a_large_host(spark):
     assert {r.page_id: r.text for r in got.collect()} == {i: page(i) for i in range(3_000)}
 
 
+def test_unique_runs_of_a_block_stay(spark):
+    """A block's covered runs go and its own words stay, however much of it is covered; one of equal pages keeps its text."""
+    notice = " ".join(f"notice{k}" for k in range(20))
+    own = lambda i: f"thing{i} is told on page {i}"
+    long = lambda i: " ".join(f"page{i}word{k}" for k in range(60))
+    rows = [(i, f"http://h.x/{i}", f"<div>{notice} {own(i)}</div>") for i in range(4)] + [(i, f"http://h.x/{i}", f"<div>{long(i)} {notice}</div>") for i in range(4, 8)]
+    rows += [(i, f"http://h.x/{i}", f"<div>{long(99)}</div>") for i in (12, 10, 11)] + [(i, f"http://h.x/{i}", f"<div>{long(98)}</div>") for i in (13, 14)]
+    got = {r.page_id: r.text for r in html_text.main_text(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: own(i) for i in range(4)} | {i: long(i) for i in range(4, 8)} | {10: long(99), 11: "", 12: "", 13: long(98), 14: long(98)}
+
+
 # --- media ------------------------------------------------------------------------------------------
 
 
