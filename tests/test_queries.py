@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from quire import catalog
@@ -14,7 +15,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
 
 def rows(df):
     cols = sorted(df.columns)
-    plain = lambda v: "" if v is None or v != v else repr(float(v)) if isinstance(v, (int, float)) and not isinstance(v, bool) else str(v)
+    plain = lambda v: "" if v is None or v is pd.NA or v is pd.NaT or v != v else repr(float(v)) if isinstance(v, (int, float)) and not isinstance(v, bool) else str(v)
     return cols, sorted(tuple(plain(v.item() if hasattr(v, "item") else v) for v in r) for r in df[cols].itertuples(index=False))
 
 
