@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import gc
+import atexit
+import contextlib
 import tempfile
-import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,26 +15,32 @@ from ..session import ship
 #: ASCII white space as the operators' contracts define it.
 WS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Spark's setting that deletes an execution's shuffle files when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: A null id counts as the largest.
 LAST_ID = 2**63 - 1
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (spark.checkpoint.dir); a local one only where none is set, as in tests."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if where:
-        return where.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quire-"))
-        current = spark.sparkContext.getCheckpointDir()
-    return current.rstrip("/")
+    """The folder all executors share: spark.checkpoint.dir.
+
+    Unset, a session of one process (local) gets a folder of its own; on a cluster that is an error.
+    """
+    sc = spark.sparkContext
+    where = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not where:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="quire-"))
+        where = sc.getCheckpointDir()
+    return where.rstrip("/")
 
 
 class Workspace:
     """Written tables of one operator call in the shared folder.
 
-    A written table cuts lineage: a lost executor costs a read of the table, not what made it.
+    A written table cuts lineage: a lost executor costs a read of the table, not what made it. What is
+    left when the driver's process ends is deleted then; `done` deletes a table that has no reader any more.
     """
 
     def __init__(self, spark: SparkSession):
@@ -42,16 +48,35 @@ class Workspace:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/quire-{uuid.uuid4().hex}"
         self.n = 0
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
+        atexit.register(self._at_exit)
 
     def path(self, name: str) -> str:
         self.n += 1
         return f"{self.root}/{self.n:03d}-{name}"
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
-        """df as a written table; its shuffle files may then go."""
+        """df as a written table; the shuffle files that made it go at once."""
         path = self.path(name)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        before = self.spark.conf.get(CLEANUP, "false")
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(CLEANUP, before)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = out, path
+        return out
+
+    def done(self, *tables: DataFrame) -> None:
+        """Deletes tables that `write` gave: nothing reads them any more."""
+        for t in tables:
+            self.drop(self.paths.pop(id(t))[1])
+
+    def keep_only(self, *tables: DataFrame) -> None:
+        """Deletes what `write` gave but for these tables."""
+        keep = {id(t) for t in tables}
+        self.done(*[t for k, (t, _) in list(self.paths.items()) if k not in keep])
 
     def drop(self, path: str) -> None:
         jvm = self.spark.sparkContext._jvm
@@ -60,18 +85,13 @@ class Workspace:
 
     def drop_all(self) -> None:
         """Deletes every written table: call it when no result of the operator is needed any more."""
+        self.paths.clear()
         self.drop(self.root)
+        atexit.unregister(self._at_exit)
 
-
-def release(spark: SparkSession) -> None:
-    """Lets Spark's cleaner delete the shuffle files of plans that nothing refers to any more.
-
-    Twice: what Python lets go of first reaches the JVM, then its collector.
-    """
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.2)
+    def _at_exit(self) -> None:
+        with contextlib.suppress(Exception):  # the JVM may have gone first
+            self.drop(self.root)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

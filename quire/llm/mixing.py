@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LAST_ID, Workspace, release
+from .common import LAST_ID, Workspace
 from .shingles import _words
 
 AXES = ("source", "lang", "topic")
@@ -259,7 +259,6 @@ def mix(spark: SparkSession, docs: DataFrame, *, targets: dict[str, dict] | None
         table = F.broadcast(spark.createDataFrame(rows, "source string, lang string, topic int, weight double, probability double"))
     else:
         table = rake_distributed(ws, cells, targets, budget).drop("tokens")
-    release(spark)
     m = m.join(table, list(AXES), "left").withColumn("draw", draw(F.col("doc_id")))
     zero = lambda c: F.when(F.col("tokens") > 0, F.coalesce(c, F.lit(0.0))).otherwise(0.0).alias(c)
     m = m.select("doc_id", "row", *AXES, "tokens", zero("weight"), zero("probability"), "draw")

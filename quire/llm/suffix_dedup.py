@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .anchors import LENGTH, anchors
-from .common import LAST_ID, Workspace, release, shuffle_partitions
+from .common import LAST_ID, Workspace, shuffle_partitions
 
 #: Contexts of one anchor that are sorted together at most.
 PART = 64
@@ -352,28 +352,23 @@ def repeated_runs(ws: Workspace, rows: DataFrame) -> DataFrame:
     texts = rows.select("id", "data")
     grams = texts.mapInArrow(_gram_rows, "gram long, id long").groupBy("gram").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
     shared = ws.write(grams.where("lo < hi").select("gram"), "grams")
-    del grams
-    release(spark)
+
     found = texts.mapInArrow(_anchor_rows, "gram long, id long, at int").join(shared, "gram")
     places = ws.write(found.groupBy("id").agg(F.collect_list("at").alias("at")), "places")
-    del found
-    release(spark)
+
     contexts = ws.write(rows.join(places, "id").mapInArrow(_context_rows, CONTEXTS), "contexts")
-    release(spark)
     key = ["gram", "k1"]  # 128 bits together
     first = ws.write(contexts.groupBy(*key).agg(F.min("id").alias("lo")), "first")
     several = first.groupBy("gram").agg(F.count("*").alias("contexts")).where("contexts > 1")
     known = first.join(several, "gram", "left")
     # Later holders of a context lose its windows; its first holder's are sorted where the anchor has other contexts.
     held = ws.write(contexts.join(known, key).where("id > lo or contexts > 1").select("id", "row", "first", "n", "gram", "k1", F.when(F.col("id") == F.col("lo"), F.col("contexts")).alias("contexts")), "held")
-    del contexts, first, several, known
-    release(spark)
+
     inside = held.where("contexts is null").select("id", "row", "first", "n")
     edge = F.struct("gram", "k1", "contexts", "first", "n")
     edges = held.where("contexts is not null").groupBy("id", "row").agg(F.collect_list(edge).alias("edges"))
     bytes_ = rows.join(edges, ["id", "row"]).mapInArrow(_edge_rows, EDGES)
     dealt = ws.write(bytes_.repartition(shuffle_partitions(spark), "gram", "part").sortWithinPartitions("gram", "part").mapInArrow(_sort_edges, SORTED), "sorted")
-    release(spark)
     met = dealt.where("k1 is not null")
     least = met.groupBy("k1", "k2").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
     late = met.join(least.select("k1", "k2", "lo"), ["k1", "k2"]).where("id > lo")
@@ -383,7 +378,6 @@ def repeated_runs(ws: Workspace, rows: DataFrame) -> DataFrame:
 
 def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Per row of docs (doc_id, text; others are ignored): doc_id, n_bytes, n_removed, n_spans, kept (the remaining bytes).
-
     Null text: empty. Texts under LENGTH bytes lose nothing. Repeated rows: rows with equal doc_id are one
     document and don't remove each other. A null doc_id counts as the largest. An empty table gives an empty
     result. Very long texts are handled whole, row by row. Ties don't arise: the smallest id keeps.
@@ -393,7 +387,6 @@ def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"), F.xxhash64(data).alias("row"), data.alias("data"))
     runs = repeated_runs(ws, rows.select("id", "row", "data"))
     gathered = ws.write(runs.groupBy("id", "row").agg(F.collect_set(F.struct("first", "n")).alias("runs")), "runs")
-    release(spark)
     return rows.join(gathered, ["id", "row"], "left").select("doc_id", "data", "runs").mapInArrow(_cut_rows, KEPT)
 
 
