@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from .shingles import _BASE, _BYTE, _UNBASE, _powers
+from .shingles import _BASE, _BYTE, _UNBASE, _powers, mix
 
 LENGTH = 50
 GRAM = 20
@@ -49,19 +49,40 @@ def least_in_span(h: np.ndarray, span: int) -> np.ndarray:
     return (best & low).astype(np.int64)
 
 
-def anchors(data: np.ndarray, gram: int = GRAM, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(position, first window, last window, hash) of each anchor of one text; its windows are a range. Shorter texts have none.
+def anchors(data: np.ndarray, ends: np.ndarray, gram: int = GRAM, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(position, first window, last window, hash) of each anchor of the texts that data holds one after another up to `ends`.
 
-    Equal windows have their anchors at equal offsets, wherever they are.
+    An anchor's windows are a range. Texts shorter than length have none. Equal windows have their anchors at
+    equal offsets, wherever they are.
     """
-    n = len(data) - length + 1
-    if n < 1:
-        e = np.zeros(0, np.int64)
-        return e, e, e, e.astype(np.uint64)
+    none = np.zeros(0, np.int64)
+    if len(data) < length:
+        return none, none, none, none.astype(np.uint64)
     h = gram_hashes(data, gram)
     where = least_in_span(h, length - gram + 1)
+    whole = np.ones(len(data), bool)  # windows that end in the text they start in
+    for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+        whole[max(a, b - length + 1) : b] = False
+    windows = np.flatnonzero(whole[: len(where)])
+    if not len(windows):
+        return none, none, none, none.astype(np.uint64)
+    where = where[windows]
     cut = np.flatnonzero(where[1:] != where[:-1]) + 1
     first = np.concatenate([[0], cut])
-    last = np.concatenate([cut - 1, [n - 1]])
+    last = np.concatenate([cut - 1, [len(windows) - 1]])
     at = where[first]
-    return at, first, last, h[at]
+    return at, windows[first], windows[last], h[at]
+
+
+class Prefix:
+    """Hashes of any substrings of data."""
+
+    def __init__(self, data: np.ndarray):
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_BYTE[data] * _power_table(_BASE, len(data)), out=self.sums[1:])
+        self.back = _power_table(_UNBASE, len(data) + 1)
+
+    def hashes(self, starts: np.ndarray, ends: np.ndarray, salt: np.ndarray | int = 0) -> np.ndarray:
+        """64-bit hashes of data[start:end] and salt."""
+        h = (self.sums[ends] - self.sums[starts]) * self.back[starts]
+        return mix(h ^ mix(np.asarray(salt, np.uint64) + np.uint64(0x9E3779B97F4A7C15)))

@@ -8,10 +8,10 @@ A byte goes if a LENGTH-byte string over it also starts in a document of smaller
 2. The context of a shared anchor is the text that its windows span. A document that holds a
    context after another one (by id) loses all windows of it: the inside of a shared passage.
 3. What is left are contexts in the first document to hold them whose anchor has other contexts as
-   well: the edges of passages. Their windows are suffixes, sorted by `deep_shallow`; suffixes with
-   LENGTH bytes in common are one class, and all but the class's smallest document lose that window.
-   An anchor with more than PART contexts is dealt to parts; the first holders of each part's classes
-   meet in an aggregation of their keys.
+   well: the edges of passages. One copy of each such context is sorted: its windows are suffixes, sorted
+   by `deep_shallow`; suffixes with LENGTH bytes in common are one class, and all but the class's smallest
+   document lose that window, wherever it has the context. An anchor with more than PART contexts is dealt
+   to parts; the windows that are first in their part meet in an aggregation of their hashes.
 
 Hot anchors, contexts and passages: aggregations combine before the shuffle, joins are plain sort-merge
 joins that Spark splits, and no group over PART contexts is ever in one task.
@@ -26,15 +26,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .anchors import LENGTH, anchors
+from .anchors import GRAM, LENGTH, Prefix, anchors
 from .common import LAST_ID, Workspace, shuffle_partitions
 
 #: Contexts of one anchor that are sorted together at most.
-PART = 64
+PART = 2_048
 #: Depth to which multikey quicksort goes before blind tries take over.
 SHALLOW = 32
 #: Contexts whose suffixes are sorted at once.
 BLOCK = 8_000
+#: Bytes of texts that are hashed at once; a longer text is hashed alone.
+CHUNK = 1 << 17
 
 
 # --- deep-shallow sorting ---------------------------------------------------------------------
@@ -151,92 +153,107 @@ def deep_shallow(data: np.ndarray, starts: np.ndarray, length: int = LENGTH, sha
 # --- stages ----------------------------------------------------------------------------------
 
 
-def _bytes_of(column: pa.Array) -> Iterator[np.ndarray]:
-    for x in column:
-        yield np.frombuffer(x.as_buffer() or b"", np.uint8)
+def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(low, high, bytes, ends): the batch's texts low to high, one after another, with where each ends."""
+    column = batch["data"]
+    offsets = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4).astype(np.int64)
+    raw = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    low = 0
+    while low < len(column):
+        high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + CHUNK, "right")) - 1)
+        yield low, high, raw[offsets[low] : offsets[high]], offsets[low + 1 : high + 1] - offsets[low]
+        low = high
 
 
-def _table(columns: dict[str, tuple[list, pa.DataType]]) -> pa.RecordBatch | None:
-    arrays = {k: pa.array(np.concatenate(v) if v else [], t) for k, (v, t) in columns.items()}
-    return pa.RecordBatch.from_arrays(list(arrays.values()), list(arrays)) if len(next(iter(arrays.values()))) else None
+def _batch(names: str, *columns: np.ndarray) -> pa.RecordBatch:
+    """Columns of a schema string; numbers take their types from it."""
+    fields = [x.split() for x in names.split(", ")]
+    kinds = {"long": pa.int64(), "int": pa.int32()}
+    arrays = [c if isinstance(c, pa.Array) else pa.array((c.view(np.int64) if c.dtype == np.uint64 else c), kinds[t]) for (_, t), c in zip(fields, columns, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, [n for n, _ in fields])
 
 
-def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(gram, id, at) of each anchor."""
+GRAMS = "gram long, id long"
+PLACES = "gram long, id long, row long, place long"
+
+
+def _gram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """GRAMS: the anchors of each text."""
     with np.errstate(over="ignore"):
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
-                out = [], [], []
-                for i, data in zip(part["id"].to_pylist(), _bytes_of(part["data"]), strict=True):
-                    at, _, _, grams = anchors(data)
-                    out[0].append(grams.view(np.int64))
-                    out[1].append(np.full(len(at), i, np.int64))
-                    out[2].append(at.astype(np.int32))
-                if t := _table(dict(zip(("gram", "id", "at"), zip(out, (pa.int64(), pa.int64(), pa.int32()), strict=True), strict=True))):
-                    yield t
+            for low, high, data, ends in _chunks(batch):
+                at, _, _, grams = anchors(data, ends)
+                if len(at):
+                    yield _batch(GRAMS, grams, batch["id"].to_numpy()[low:high][np.searchsorted(ends, at, "right")])
 
 
-def _gram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """_anchor_rows without the positions."""
-    for t in _anchor_rows(batches):
-        yield t.select(["gram", "id"])
+def _place_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """PLACES: the anchors with where they are: position in the text, windows before it (5 bits), windows (6 bits)."""
+    with np.errstate(over="ignore"):
+        for batch in batches:
+            for low, high, data, ends in _chunks(batch):
+                at, first, last, grams = anchors(data, ends)
+                if len(at):
+                    of = np.searchsorted(ends, at, "right")
+                    start = np.concatenate([[0], ends[:-1]])[of]
+                    place = (at - start) << 11 | (at - first) << 6 | (last - first + 1)
+                    yield _batch(PLACES, grams, *(batch[c].to_numpy()[low:high][of] for c in ("id", "row")), place)
 
 
 CONTEXTS = "gram long, k1 long, id long, row long, first int, n int"
 
 
-def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """CONTEXTS of the shared anchors (positions in `at`): a key of the context beside that of its anchor, its first window and number of windows."""
-    import xxhash
+def _lists(column: pa.ListArray) -> tuple[np.ndarray, pa.Array]:
+    """(offsets, values) of a list column, the first offset 0."""
+    offsets = column.offsets.to_numpy().astype(np.int64)
+    return offsets - offsets[0], column.values.slice(offsets[0], offsets[-1] - offsets[0])
 
-    names = [x.split()[0] for x in CONTEXTS.split(", ")]
-    types = [pa.int64()] * 4 + [pa.int32()] * 2
-    key = xxhash.xxh3_64_intdigest
+
+def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """CONTEXTS at the shared places: a hash of the context beside that of its anchor, its first window and number of windows."""
     with np.errstate(over="ignore"):
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
-                out: list[list[np.ndarray]] = [[] for _ in names]
-                for i, row, raw, shared in zip(part["id"].to_pylist(), part["row"].to_pylist(), part["data"].to_pylist(), part["at"], strict=True):
-                    at, first, last, grams = anchors(np.frombuffer(raw, np.uint8))
-                    use = np.isin(at, shared.values.to_numpy())
-                    at, first, last, grams = at[use], first[use], last[use], grams[use]
-                    # The key takes in where the anchor is in the context.
-                    keys = np.array([key(raw[a:b], seed=s) for a, b, s in zip(first.tolist(), (last + LENGTH).tolist(), (at - first).tolist(), strict=True)], np.uint64).view(np.int64)
-                    full = lambda v, n=len(at): np.full(n, v, np.int64)
-                    for k, v in enumerate((grams.view(np.int64), keys, full(i), full(row), first.astype(np.int32), (last - first + 1).astype(np.int32))):
-                        out[k].append(v)
-                if t := _table(dict(zip(names, zip(out, types, strict=True), strict=True))):
-                    yield t
-
-
-EDGES = "gram long, part int, parts int, id long, row long, first int, n int, bytes binary"
-
-
-def _edge_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """EDGES: the bytes that an edge context's windows span."""
-    names = [x.split()[0] for x in EDGES.split(", ")]
-    for batch in batches:
-        for lo in range(0, batch.num_rows, 500):
-            part = batch.slice(lo, 500)
-            out = []
-            for i, row, data, edges in zip(part["id"].to_pylist(), part["row"].to_pylist(), part["data"].to_pylist(), part["edges"], strict=True):
-                fields = [edges.values.field(k).to_pylist() for k in ("gram", "k1", "contexts", "first", "n")]
-                for gram, k1, contexts, first, n in zip(*fields, strict=True):
-                    parts = -(-contexts // PART)
-                    out.append((gram, (k1 % parts) if parts > 1 else 0, parts, i, row, first, n, data[first : first + n - 1 + LENGTH]))
-            if out:
-                types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
+            counts, places = _lists(batch["places"])
+            places = places.to_numpy()
+            for low, high, data, ends in _chunks(batch):
+                mine = places[counts[low] : counts[high]]
+                of = np.repeat(np.arange(high - low), np.diff(counts[low : high + 1]))
+                start = np.concatenate([[0], ends[:-1]])[of]
+                at, before, n = start + (mine >> 11), (mine >> 6) & 31, mine & 63
+                first = at - before
+                p = Prefix(data)
+                # The key takes in where the anchor is in the context.
+                yield _batch(CONTEXTS, p.hashes(at, at + GRAM), p.hashes(first, first + n - 1 + LENGTH, before + 1), *(batch[c].to_numpy()[low:high][of] for c in ("id", "row")), first - start, n)
+
+
+EDGES = "gram long, k1 long, part int, parts int, id long, n int, bytes binary"
 
 
-SORTED = "id long, row long, first int, n int, k1 long, k2 long"
+def _edge_rows(part: int):
+    """EDGES: the bytes that an edge context's windows span. An anchor's contexts are dealt to parts of about `part`."""
+
+    def edge_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts, edges = _lists(batch["edges"])
+            ids = np.repeat(batch["id"].to_numpy(), np.diff(counts))
+            gram, k1, contexts, first, n = (edges.field(k).to_numpy() for k in range(5))
+            parts = -(-contexts // part)
+            end = first + n - 1 + LENGTH
+            for low in range(0, batch.num_rows, 500):
+                high = min(low + 500, batch.num_rows)
+                cut = slice(counts[low], counts[high])
+                raw = [data[a:b] for d, data in enumerate(batch["data"].slice(low, 500).to_pylist(), low) for a, b in zip(first[counts[d] : counts[d + 1]].tolist(), end[counts[d] : counts[d + 1]].tolist(), strict=True)]
+                yield _batch(EDGES, gram[cut], k1[cut], k1[cut] % parts[cut], parts[cut], ids[cut], n[cut], pa.array(raw, pa.binary()))
+
+    return edge_rows
+
+
+SORTED = "gram long, k1 long, id long, step int, n int, h1 long, h2 long"
 
 
 def _sort_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of edge contexts in order of (gram, part): runs of windows to remove (k1 null), and of anchors with several
-    parts the windows that are first in theirs, with the key of their bytes."""
+    """Of edge contexts in order of (gram, part): runs of windows to remove (h1 null), and of anchors with several
+    parts the windows that are first in theirs, with hashes of their bytes."""
     held: list[pa.RecordBatch] = []
     rows = 0
 
@@ -258,9 +275,10 @@ def _sort_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if rows:
             yield pa.Table.from_batches(held)
 
-    for t in blocks():
-        for lo, hi in _group_cuts(t, BLOCK):
-            yield from _sort_block(t.slice(lo, hi - lo))
+    with np.errstate(over="ignore"):
+        for t in blocks():
+            for lo, hi in _group_cuts(t, BLOCK):
+                yield from _sort_block(t.slice(lo, hi - lo))
 
 
 def _group_cuts(t: pa.Table, most: int) -> Iterator[tuple[int, int]]:
@@ -275,8 +293,6 @@ def _group_cuts(t: pa.Table, most: int) -> Iterator[tuple[int, int]]:
 
 
 def _sort_block(t: pa.Table) -> Iterator[pa.RecordBatch]:
-    import xxhash
-
     texts = t["bytes"].to_pylist()
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     data = np.frombuffer(b"".join(texts), np.uint8)
@@ -285,99 +301,96 @@ def _sort_block(t: pa.Table) -> Iterator[pa.RecordBatch]:
     step = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
     starts = (np.cumsum(sizes) - sizes)[owner] + step
     order, same = deep_shallow(data, starts)
-    ids = t["id"].to_numpy()
+    gram, k1, ids, parts = (t[c].to_numpy() for c in ("gram", "k1", "id", "parts"))
     sorted_ids = ids[owner[order]]
     heads = np.flatnonzero(same == np.arange(len(same)))
     least = np.minimum.reduceat(sorted_ids, heads)[np.searchsorted(heads, same)]
     gone = np.zeros(len(owner), bool)
     gone[order] = sorted_ids > least
-    first, rows, parts = t["first"].to_numpy().astype(np.int64), t["row"].to_numpy(), t["parts"].to_numpy()
     # Runs of windows of one context.
     run = np.flatnonzero(gone & ~(np.concatenate([[False], gone[:-1]]) & np.concatenate([[False], owner[1:] == owner[:-1]])))
     end = np.flatnonzero(gone & ~(np.concatenate([gone[1:], [False]]) & np.concatenate([owner[1:] == owner[:-1], [False]]))) + 1
-    o = owner[run]
-    none = pa.nulls(len(run), pa.int64())
-    names = [x.split()[0] for x in SORTED.split(", ")]
     if len(run):
-        yield pa.RecordBatch.from_arrays([pa.array(ids[o]), pa.array(rows[o]), pa.array((first[o] + step[run]).astype(np.int32)), pa.array((end - run).astype(np.int32)), none, none], names)
-    open_ = np.flatnonzero(~gone & (parts[owner] > 1))
-    if len(open_):
-        raw = data.tobytes()
-        keys = np.array([divmod(xxhash.xxh3_128_intdigest(raw[s : s + LENGTH]), 2**64) for s in starts[open_].tolist()], np.uint64).view(np.int64)
-        o = owner[open_]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids[o]), pa.array(rows[o]), pa.array((first[o] + step[open_]).astype(np.int32)), pa.array(np.ones(len(o), np.int32)), pa.array(keys[:, 0]), pa.array(keys[:, 1])], names
-        )
+        o, none = owner[run], pa.nulls(len(run), pa.int64())
+        yield _batch(SORTED, gram[o], k1[o], ids[o], step[run], end - run, none, none)
+    if len(open_ := np.flatnonzero(~gone & (parts[owner] > 1))):
+        o, s = owner[open_], starts[open_]
+        # Hashes of the window's bytes forwards and backwards.
+        yield _batch(SORTED, gram[o], k1[o], ids[o], step[open_], np.ones(len(o), np.int64), Prefix(data).hashes(s, s + LENGTH), Prefix(data[::-1]).hashes(len(data) - s - LENGTH, len(data) - s))
 
 
 KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
 
-def cut(data: bytes, runs: list[tuple[int, int]]) -> tuple[bytes, int, int]:
-    """(data without the bytes of the runs' windows, bytes removed, maximal runs removed); runs: (first window, number)."""
-    kept, at, removed, spans = [], 0, 0, 0
-    end = -1
-    for a, n in sorted(runs):
-        b = a + n - 1 + LENGTH
-        if a > end:
-            spans += 1
-            if end >= 0:
-                at = end
-            kept.append(data[at:a])
-            removed += b - a
-            end = b
-        elif b > end:
-            removed += b - end
-            end = b
-    kept.append(data[max(end, 0) :])
-    return b"".join(kept), removed, spans
+def cut(data: bytes, runs: np.ndarray) -> tuple[bytes, int, int]:
+    """(data without the bytes of the runs' windows, bytes removed, maximal runs removed); a run is first window * 64 + number."""
+    if not len(runs):
+        return data, 0, 0
+    runs = np.sort(runs)
+    first, end = runs >> 6, (runs >> 6) + (runs & 63) - 1 + LENGTH
+    reach = np.maximum.accumulate(end)
+    new = np.flatnonzero(np.concatenate([[True], first[1:] > reach[:-1]]))
+    starts, ends = first[new].tolist(), reach[np.concatenate([new[1:] - 1, [len(runs) - 1]])].tolist()
+    kept = b"".join([data[a:b] for a, b in zip([0, *ends], [*starts, len(data)], strict=True)])
+    return kept, len(data) - len(kept), len(starts)
 
 
 def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [x.split()[0] for x in KEPT.split(", ")]
     for batch in batches:
+        counts, runs = _lists(batch["runs"])
+        runs = runs.to_numpy()
         for lo in range(0, batch.num_rows, 1000):
             part = batch.slice(lo, 1000)
             out = []
-            for i, data, runs in zip(part["doc_id"].to_pylist(), part["data"].to_pylist(), part["runs"].to_pylist(), strict=True):
-                kept, removed, spans = cut(data, [(r["first"], r["n"]) for r in runs or ()])
-                out.append((i, len(data), removed, spans, kept))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (*[pa.int64()] * 4, pa.binary()), strict=True)], names)
-
-
-def repeated_runs(ws: Workspace, rows: DataFrame) -> DataFrame:
-    """(id, row, first, n): runs of windows that a document of smaller id holds. rows: id, row, data."""
-    spark = ws.spark
-    # Rows of one id share their list of places: a place that isn't another row's anchor does nothing there.
-    texts = rows.select("id", "data")
-    grams = texts.mapInArrow(_gram_rows, "gram long, id long").groupBy("gram").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-    shared = ws.write(grams.where("lo < hi").select("gram"), "grams")
+            for k, data in enumerate(part["data"].to_pylist(), lo):
+                kept, removed, spans = cut(data, runs[counts[k] : counts[k + 1]])
+                out.append((len(data), removed, spans, kept))
+            columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (*[pa.int64()] * 3, pa.binary()), strict=True)]
+            yield pa.RecordBatch.from_arrays([part["doc_id"], *columns], names)
 
-    found = texts.mapInArrow(_anchor_rows, "gram long, id long, at int").join(shared, "gram")
-    places = ws.write(found.groupBy("id").agg(F.collect_list("at").alias("at")), "places")
 
-    contexts = ws.write(rows.join(places, "id").mapInArrow(_context_rows, CONTEXTS), "contexts")
+def repeated_runs(ws: Workspace, rows: DataFrame, part: int) -> DataFrame:
+    """(id, row, run): runs of windows that a document of smaller id holds, as cut takes them. rows: id, row, data."""
+    n = shuffle_partitions(ws.spark)
+    grams = rows.select("id", "data").mapInArrow(_gram_rows, GRAMS).groupBy("gram").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+    shared = ws.write(grams.where("lo < hi").select("gram"), "grams")
+    found = rows.mapInArrow(_place_rows, PLACES).join(shared, "gram")
+    places = ws.write(found.groupBy("id", "row").agg(F.collect_set("place").alias("places")), "places")
+    ws.done(shared)
+    contexts = ws.write(rows.join(places, ["id", "row"]).mapInArrow(_context_rows, CONTEXTS), "contexts")
+    ws.done(places)
     key = ["gram", "k1"]  # 128 bits together
     first = ws.write(contexts.groupBy(*key).agg(F.min("id").alias("lo")), "first")
     several = first.groupBy("gram").agg(F.count("*").alias("contexts")).where("contexts > 1")
     known = first.join(several, "gram", "left")
     # Later holders of a context lose its windows; its first holder's are sorted where the anchor has other contexts.
-    held = ws.write(contexts.join(known, key).where("id > lo or contexts > 1").select("id", "row", "first", "n", "gram", "k1", F.when(F.col("id") == F.col("lo"), F.col("contexts")).alias("contexts")), "held")
-
-    inside = held.where("contexts is null").select("id", "row", "first", "n")
-    edge = F.struct("gram", "k1", "contexts", "first", "n")
-    edges = held.where("contexts is not null").groupBy("id", "row").agg(F.collect_list(edge).alias("edges"))
-    bytes_ = rows.join(edges, ["id", "row"]).mapInArrow(_edge_rows, EDGES)
-    dealt = ws.write(bytes_.repartition(shuffle_partitions(spark), "gram", "part").sortWithinPartitions("gram", "part").mapInArrow(_sort_edges, SORTED), "sorted")
-    met = dealt.where("k1 is not null")
-    least = met.groupBy("k1", "k2").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
-    late = met.join(least.select("k1", "k2", "lo"), ["k1", "k2"]).where("id > lo")
-    cols = ["id", "row", "first", "n"]
-    return inside.unionByName(dealt.where("k1 is null").select(*cols)).unionByName(late.select(*cols))
-
-
-def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    edge = F.col("id") == F.col("lo")
+    held = contexts.join(known, key).where("id > lo or contexts > 1")
+    held = ws.write(held.select("id", "row", "first", "n", *[F.when(edge, F.col(c)).alias(c) for c in (*key, "contexts")]), "held")
+    ws.done(contexts, first)
+    run = lambda first, n: (F.col(first).cast("long") * 64 + F.col(n)).alias("run")
+    inside = held.where("contexts is null").select("id", "row", run("first", "n"))
+    edges = held.where("contexts is not null")
+    # One copy of each context: its first document may hold it often.
+    one = edges.groupBy(*key).agg(F.min(F.struct("id", "row", "contexts", "first", "n")).alias("x")).select(*key, "x.*")
+    listed = one.groupBy("id", "row").agg(F.collect_list(F.struct(*key, "contexts", "first", "n")).alias("edges"))
+    dealt = rows.join(listed, ["id", "row"]).mapInArrow(_edge_rows(part), EDGES).repartition(n, "gram", "part").sortWithinPartitions("gram", "part")
+    dealt = ws.write(dealt.mapInArrow(_sort_edges, SORTED), "sorted")
+    met = dealt.where("h1 is not null")
+    least = met.groupBy("h1", "h2").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
+    late = met.join(least.select("h1", "h2", "lo"), ["h1", "h2"]).where("id > lo")
+    gone = dealt.where("h1 is null").select(*key, "step", "n").unionByName(late.select(*key, "step", "n"))
+    outer = edges.select(*key, "id", "row", "first").join(gone, key).select("id", "row", (F.col("first") + F.col("step")).alias("first"), "n")
+    gathered = inside.unionByName(outer.select("id", "row", run("first", "n"))).groupBy("id", "row").agg(F.collect_set("run").alias("runs"))
+    out = ws.write(gathered, "runs")
+    ws.done(held, dealt)
+    return out
+
+
+def remove_repeats(spark: SparkSession, docs: DataFrame, *, part: int = PART) -> DataFrame:
     """Per row of docs (doc_id, text; others are ignored): doc_id, n_bytes, n_removed, n_spans, kept (the remaining bytes).
+
     Null text: empty. Texts under LENGTH bytes lose nothing. Repeated rows: rows with equal doc_id are one
     document and don't remove each other. A null doc_id counts as the largest. An empty table gives an empty
     result. Very long texts are handled whole, row by row. Ties don't arise: the smallest id keeps.
@@ -385,9 +398,10 @@ def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
     ws = Workspace(spark)
     data = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"), F.xxhash64(data).alias("row"), data.alias("data"))
-    runs = repeated_runs(ws, rows.select("id", "row", "data"))
-    gathered = ws.write(runs.groupBy("id", "row").agg(F.collect_set(F.struct("first", "n")).alias("runs")), "runs")
-    return rows.join(gathered, ["id", "row"], "left").select("doc_id", "data", "runs").mapInArrow(_cut_rows, KEPT)
+    runs = repeated_runs(ws, rows.select("id", "row", "data"), part)
+    none = F.array().cast("array<long>")
+    found = rows.join(runs, ["id", "row"], "left").select(F.col("doc_id").cast("long").alias("doc_id"), "data", F.coalesce("runs", none).alias("runs"))
+    return found.mapInArrow(_cut_rows, KEPT)
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
