@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import struct
 import sys
 import zlib
@@ -29,6 +30,9 @@ from .common import Workspace, shuffle_partitions
 SIZE = 2048
 EOS = 1
 
+#: Up to so many slots or ranges (under 100 bytes each) are broadcast; beyond, a join shuffles.
+BROADCAST_ROWS = 200_000
+
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -51,18 +55,21 @@ def byte_ranks(path: str) -> dict[bytes, int]:
 class ByteTokenizer:
     """Ids of a text as little-endian 32-bit bytes: those of `tokenizers` with the byte-level vocabulary at path.
 
-    tiktoken merges the same vocabulary several times as fast. Special tokens' strings in a text are
-    ordinary text.
+    tiktoken merges the same vocabulary several times as fast; a text that holds the string of an added
+    token, which has an id of its own, is left to `tokenizers`.
     """
 
     def __init__(self, path: str):
         import public_tokenizers
         import tiktoken
+        from tokenizers import Tokenizer
 
+        self.whole = Tokenizer.from_file(path)
+        self.added = re.compile("|".join(re.escape(t.content) for t in self.whole.get_added_tokens_decoder().values()) or r"(?!)")
         self.encode = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_ranks(path), special_tokens={}).encode_ordinary
 
     def ids(self, text: str) -> bytes:
-        found = array("I", self.encode(text))
+        found = array("I", self.whole.encode(text, add_special_tokens=False).ids if self.added.search(text) else self.encode(text))
         if sys.byteorder != "little":
             found.byteswap()
         return found.tobytes()
@@ -182,9 +189,10 @@ def pack(spark: SparkSession, rows: DataFrame, ws: Workspace, *, size: int = SIZ
     table = slots(shortest_pack_first(histogram, size))
     shift = spark.createDataFrame(starts, "part long, length long, shift long")
     where = spark.createDataFrame(table, "slot_length long, low long, high long, sequence long, slot_offset long")
-    ranked = placed.join(F.broadcast(shift), ["part", "length"]).withColumn("rank", F.col("at") + F.col("shift"))
+    sent = lambda df, rows: F.broadcast(df) if len(rows) <= BROADCAST_ROWS else df
+    ranked = placed.join(sent(shift, starts), ["part", "length"]).withColumn("rank", F.col("at") + F.col("shift"))
     fits = (F.col("length") == F.col("slot_length")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))
-    return ranked.join(F.broadcast(where), fits).select(
+    return ranked.join(sent(where, table), fits).select(
         *[F.col(c) for c in rows.columns], (F.col("sequence") + F.col("rank") - F.col("low")).alias("sequence_id"), F.col("slot_offset").alias("offset")
     )
 

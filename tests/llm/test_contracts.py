@@ -164,21 +164,14 @@ def test_packing(spark, docs, edge, empty):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(packing.vocabulary())
-    t.encode_special_tokens = True
-    for d in (docs, edge.where("doc_id is not null").dropDuplicates(["doc_id"])):
+    added = spark.createDataFrame([(1, "one<|endoftext|>two"), (None, "<|endoftext|>"), (2, " <|endoftext|>\n" * 3), (3, "<|endoftext |>")], "doc_id long, text string")
+    for d in (docs, edge, added):
         got = packing.pack_documents(spark, d).collect()
-        by = {}
-        for r in got:
-            by.setdefault(r.doc_id, []).append(r)
+        want = []
         for i, text in texts(d):
             ids = [*t.encode(text or "", add_special_tokens=False).ids, 1]
-            raw = struct.pack(f"<{len(ids)}I", *ids)
-            at = 0
-            for r in sorted(by.pop(i), key=lambda r: r.start):
-                assert (r.start, r.doc_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(raw[4 * at : 4 * (at + r.length)]))
-                at += r.length
-            assert at == len(ids)
-        assert not by
+            want += [(i, at, len(ids[at : at + 2048]), zlib.crc32(struct.pack(f"<{len(ids[at : at + 2048])}I", *ids[at : at + 2048])), len(ids)) for at in range(0, len(ids), 2048)]
+        assert counted((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in got) == counted(want)
         bins = {}
         for r in got:
             bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
@@ -289,6 +282,19 @@ def test_suffix_dedup(spark, docs, edge, empty):
     assert suffix_dedup.remove_repeats(spark, empty).count() == 0
 
 
+def test_suffix_dedup_of_many_rows_of_one_id(spark):
+    """Rows of one id and of none, a text of one line repeated that another shares, a hot context beside many others."""
+    line = "this line of more than fifty characters stands here again and again\n"
+    rows = [(7, f"row {i} of the document with number seven, which has as many rows as that, {i % 11}") for i in range(600)]
+    rows += [(None, f"a row without any id, but with text that others of its kind have as well {i % 7}") for i in range(300)]
+    rows += [(3, line * 40 + "the end"), (5, "a start" + line * 25), (6, line), (8, line[:55])]
+    rows += [(1000 + i, f"{i * 7919 % 10007} and then the passage that stands in all of these texts {i * 104729 % 10007}") for i in range(400)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for part in (8, suffix_dedup.PART):
+        got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.remove_repeats(spark, d, part=part).collect()]
+        assert counted(got) == counted(brute_repeats(texts(d)))
+
+
 def test_deep_shallow():
     import numpy as np
 
