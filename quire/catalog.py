@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import books
 from . import oracles as O
 from .functions import numbers as N
 from .functions import predicates as P
@@ -477,8 +478,8 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return _QUERIES | books.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return _SQL | books.SQL

@@ -85,3 +85,44 @@ hierarchy AS (
 
 def query(select: str, *parts: str) -> str:
     return "WITH " + ",".join(parts) + "\n" + select
+
+
+#: Documents as books: 6 lines a page, styles and numbering by the line's place.
+BOOK_LINES = f"""
+book_lines AS (
+  SELECT doc_id, p AS line_index, p // 6 + 1 AS page, p % 6 + 1 AS source_order, (10 + p * 7 % 4 * 2)::DOUBLE AS s, ((10 + p * 7 % 4 * 2) / 10)::DOUBLE AS r, (40 + 16 * (p % 3))::DOUBLE AS x, (50 + 120 * (p % 6))::DOUBLE AS y,
+    (p % 5 = 0)::INT AS b, (p % 7 = 3)::INT AS i, 'f' || p % 2 + 1 AS f,
+    CASE p % 8 WHEN 0 THEN '제' || p // 8 + 1 || '장 ' || t WHEN 2 THEN p // 8 + 1 || '.' || p % 3 + 1 || ' ' || t WHEN 5 THEN 'Figure ' || p || '. ' || t WHEN 6 THEN '(' || p % 9 + 1 || ') ' || t ELSE t END AS text
+  FROM (SELECT doc_id, k - 1 AS p, {clean("l[k]")} AS t FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS k FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))) WHERE t <> ''
+)"""
+
+#: Every other line as an entry: as it is, cut, continued or unknown; some pages are wrong, some have the line's number or a reason.
+BOOK_TOC = """
+book_toc AS (
+  SELECT doc_id, line_index // 2 AS pos, line_index // 2 % 4 + 1 AS level, CASE line_index // 2 % 5 WHEN 1 THEN text[:length(text) // 2 + 1] WHEN 2 THEN text || ' and more' WHEN 3 THEN 'Unknown ' || line_index ELSE text END AS chapter,
+    CASE WHEN line_index // 2 % 7 = 0 THEN page + 1 ELSE page END AS page, CASE WHEN line_index // 2 % 6 = 0 THEN source_order END AS source_order, CASE WHEN line_index // 2 % 3 = 0 THEN 'because ' || line_index END AS level_reason
+  FROM book_lines WHERE line_index % 2 = 0
+)"""
+
+#: The same entries with the layout that some of them have already.
+BOOK_STYLED = """
+book_styled AS (
+  SELECT doc_id, pos, level, chapter, page, level_reason, CASE WHEN pos % 3 <> 1 THEN (40 + pos % 5)::DOUBLE END AS x, CASE WHEN pos % 3 <> 1 THEN (50 + 60 * (pos % 13))::DOUBLE END AS y,
+    CASE WHEN pos % 3 <> 1 THEN (10 + level)::DOUBLE END AS font_size, CASE WHEN pos % 3 <> 1 THEN (1 + level / 10)::DOUBLE END AS size_ratio, CASE WHEN pos % 3 = 0 THEN chapter WHEN pos % 3 = 2 THEN chapter || ' tail' END AS layout_text,
+    CASE WHEN pos % 3 <> 1 THEN page END AS layout_page, CASE WHEN pos % 3 <> 1 THEN pos % 2 END AS bold, CASE WHEN pos % 3 <> 1 THEN 0 END AS italic, CASE WHEN pos % 9 = 0 THEN pos * 2 END AS source_order, CASE WHEN pos % 4 = 2 THEN pos END AS merge_order
+  FROM book_toc
+)"""
+
+
+def title_score(t: str, w: str, text: str, font: str, ratio: str, y: str) -> str:
+    """Score of a line (key w) for a title (key t), as functions.numbers.title_line_score has it; null if there is none."""
+    cover = f"CASE WHEN {t} = {w} THEN 1.0::DOUBLE WHEN contains({t}, {w}) OR contains({w}, {t}) THEN least(length({t}), length({w})) / greatest(length({t}), length({w})) END"
+    size, scale = f"coalesce({font}, 0.0)", f"coalesce(nullif({ratio}, 0.0), 1.0)"
+    listing = f"({like(clean(text), '[·ㆍ.]{3,}\\s*\\d+\\s*$')} OR {like(clean(text), '\\S\\s+\\d{1,4}$')})"
+    weak = f"(coalesce({font} <= 10.5, false) OR coalesce({ratio} <= 1.05, false))"
+    parts = [
+        f"CASE WHEN {t} = {w} THEN 300.0 ELSE 45.0 END", f"{size} * 3", f"{scale} * 20", f"({cover}) * 200", f"- CASE WHEN {listing} THEN 180.0 ELSE 0.0 END",
+        f"- CASE WHEN coalesce({weak} AND ({y} <= 65 OR {y} >= 735), false) THEN 80.0 ELSE 0.0 END", f"- CASE WHEN {size} <= 10.5 AND {scale} <= 1.05 THEN 20.0 ELSE 0.0 END",
+        f"- CASE WHEN {t} <> {w} AND ({cover}) < 0.5 THEN 100.0 ELSE 0.0 END", f"- CASE WHEN length({w}) < greatest(4, floor(length({t}) * 0.25)) THEN 25.0 ELSE 0.0 END",
+    ]
+    return f"CASE WHEN length({t}) > 0 AND length({w}) > 0 AND ({cover}) >= 0.25 THEN ({' + '.join(parts).replace('+ -', '-')})::DOUBLE END"
