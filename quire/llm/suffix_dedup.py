@@ -42,20 +42,19 @@ CHUNK = 1 << 17
 # --- deep-shallow sorting ---------------------------------------------------------------------
 
 
-def words_at(data: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
-    """The 8 bytes at each start + depth as big-endian numbers; bytes past the end are 0."""
-    w = np.zeros(len(starts), np.uint64)
+def words_of(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each position on as a big-endian number; bytes past the end are 0."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
+    w = np.zeros(len(data), np.uint64)
     for k in range(8):
-        at = starts + (depth + k)
-        b = np.where(at < len(data), data[np.minimum(at, len(data) - 1)], 0)
-        w = (w << np.uint64(8)) | b.astype(np.uint64)
+        w = (w << np.uint64(8)) | padded[k : k + len(data)]
     return w
 
 
-def multikey_quicksort(data: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+def multikey_quicksort(words: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """(order, group): starts sorted by their first `depth` bytes (a multiple of 8), equal ones in one group.
 
-    Keys are 8 bytes. Each pass quicksorts by the next key within the groups that all earlier keys
+    Keys are the 8-byte words. Each pass quicksorts by the next key within the groups that all earlier keys
     left equal, all groups at once; groups of one are settled and leave the work.
     """
     order = np.arange(len(starts))
@@ -64,8 +63,8 @@ def multikey_quicksort(data: np.ndarray, starts: np.ndarray, depth: int) -> tupl
     for d in range(0, depth, 8):
         if not len(live):
             break
-        w = words_at(data, starts[order[live]], d)
-        by = np.lexsort((w, group[live]))
+        w = words[starts[order[live]] + d]
+        by = np.lexsort((w, group[live])) if d else np.argsort(w, kind="stable")
         order[live], w, g = order[live][by], w[by], group[live]
         new = np.concatenate([[True], (g[1:] != g[:-1]) | (w[1:] != w[:-1])])
         group[live] = live[np.maximum.accumulate(np.where(new, np.arange(len(live)), 0))]
@@ -121,7 +120,8 @@ class BlindTrie:
 def deep_shallow(data: np.ndarray, starts: np.ndarray, length: int = LENGTH, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
     """(order, same): the suffixes at starts sorted by their first `length` bytes, and for each place in order
     the place of the first suffix with the same ones. Each start has length bytes."""
-    order, group = multikey_quicksort(data, starts, shallow)
+    words = words_of(data)
+    order, group = multikey_quicksort(words, starts, shallow)
     same = group.copy()
     raw = data.tobytes()
     edge = np.flatnonzero(np.diff(group, prepend=-1, append=-2))
@@ -130,7 +130,7 @@ def deep_shallow(data: np.ndarray, starts: np.ndarray, length: int = LENGTH, sha
     many = np.flatnonzero(sizes[np.searchsorted(edge, group)] > 1)
     mixed = np.zeros(len(order) + 1, bool)
     for depth in [*range(shallow, length - 8, 8), length - 8]:
-        differs = words_at(data, starts[order[many]], depth) != words_at(data, starts[order[group[many]]], depth)
+        differs = words[starts[order[many]] + depth] != words[starts[order[group[many]]] + depth]
         mixed[group[many[differs]]] = True
     use = mixed[edge[:-1]]
     for at, n in zip(edge[:-1][use].tolist(), sizes[use].tolist(), strict=True):
