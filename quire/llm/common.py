@@ -55,13 +55,13 @@ class Workspace:
         self.n += 1
         return f"{self.root}/{self.n:03d}-{name}"
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
-        """df as a written table; the shuffle files that made it go at once."""
+    def write(self, df: DataFrame, name: str, *, by: str | None = None, codec: str = "snappy") -> DataFrame:
+        """df as a written table, in folders by a column; the shuffle files that made it go at once."""
         path = self.path(name)
         before = self.spark.conf.get(CLEANUP, "false")
         self.spark.conf.set(CLEANUP, "true")
         try:
-            df.write.parquet(path)
+            df.write.parquet(path, partitionBy=by, compression=codec)
         finally:
             self.spark.conf.set(CLEANUP, before)
         out = self.spark.read.schema(df.schema).parquet(path)
@@ -98,6 +98,17 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def own(columns: list[str], *names: str) -> list[str]:
+    """The names, lengthened where columns (case doesn't count) have them."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        out.append(n)
+    return out
+
+
 def let(value: Column, body) -> Column:
     """body(v) with v bound to value, computed once."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -23,7 +23,7 @@ KEYS = ["h1", "h2"]
 
 
 class Runs:
-    """The levelled runs: written tables of (h1, h2), bucketed and sorted by key."""
+    """The levelled runs: written tables of (h1, h2), bucketed and sorted by key; `close` deletes them."""
 
     def __init__(self, ws: Workspace, fanout: int):
         self.ws, self.spark, self.fanout = ws, ws.spark, fanout
@@ -79,14 +79,58 @@ def lines_of(rows: DataFrame, min_chars: int) -> DataFrame:
     return lines.select("id", "row", "pos", key.alias("key")).where(F.char_length("key") >= min_chars).select("id", "row", "pos", h1.alias("h1"), h2.alias("h2"))
 
 
-def bounds(rows: DataFrame, batches: int) -> list[int]:
+def bounds(docs: DataFrame, batches: int) -> list[int]:
     """Upper ids of the batches but the last."""
     if batches < 2:
         return []
-    cuts = rows.agg(F.percentile_approx("id", [i / batches for i in range(1, batches)])).first()[0]
+    cuts = docs.agg(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)])).first()[0]
     return sorted(set(cuts or []))
 
 
+class LineIndex:
+    """The lines of all batches so far. Each batch loses the lines that earlier ones have and adds its own as a run.
+
+    Within a batch, lines stay in the smallest doc_id that holds them. Close it, or use it in a with
+    statement: its runs are tables of the session's catalogue. Results stay readable after that.
+    """
+
+    def __init__(self, spark: SparkSession, *, min_chars: int = 10, fanout: int = 2):
+        self.ws, self.min_chars = Workspace(spark), min_chars
+        self.runs = Runs(self.ws, fanout)
+
+    def __enter__(self) -> LineIndex:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
+
+    def close(self) -> None:
+        self.runs.close()
+
+    def drop(self, lines: DataFrame) -> DataFrame:
+        """(id, row, pos): the sorted positions of the lines that a batch's rows lose. lines: as lines_of gives them."""
+        keys = lines.groupBy(*KEYS).agg(F.min("id").alias("first"), F.max("id").alias("last"))
+        seen = F.lit(False)
+        for i, run in enumerate(self.runs.tables()):
+            keys = keys.join(run.withColumn(f"in{i}", F.lit(True)), KEYS, "left")
+            seen = seen | F.coalesce(F.col(f"in{i}"), F.lit(False))
+        keys = self.ws.write(keys.select(*KEYS, "first", "last", seen.alias("seen")), "keys")
+        lost = keys.where("seen or first < last")
+        gone = lines.join(lost, KEYS).where("seen or id > first").groupBy("id", "row").agg(F.array_sort(F.collect_set("pos")).alias("pos"))
+        gone = self.ws.write(gone, "drops")
+        self.runs.add(keys.where("not seen"))
+        self.ws.done(keys)
+        return gone
+
+    def add(self, docs: DataFrame) -> DataFrame:
+        """The next batch: what line_dedup returns, for docs against themselves and all batches before."""
+        rows = keyed(docs)
+        lines = self.ws.write(lines_of(rows, self.min_chars), "lines")
+        gone = self.drop(lines)
+        self.ws.done(lines)
+        return assemble(rows, gone)
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, *, min_chars: int = 10, batches: int = 4, fanout: int = 2) -> DataFrame:
     """Per row of docs (columns doc_id, text; others are ignored): doc_id, n_lines, n_dropped, text.
 
@@ -98,49 +142,32 @@ def line_dedup(spark: SparkSession, docs: DataFrame, *, min_chars: int = 10, bat
     as the largest. An empty table gives an empty result. Very long texts are split line by line.
     """
     rows = keyed(docs)
-    return assemble(rows, dropped(spark, rows, min_chars=min_chars, batches=batches, fanout=fanout))
+    return assemble(rows, dropped(spark, docs, rows, min_chars=min_chars, batches=batches, fanout=fanout))
 
 
 def dedup_columns(spark: SparkSession, docs: DataFrame, *, min_chars: int = 10, batches: int = 4, fanout: int = 2) -> DataFrame:
     """The rows of docs with all their columns, text (null stays null) and n_chars after line_dedup."""
     rows = keyed(docs, F.struct(*[F.col(c) for c in docs.columns]).alias("whole"))
-    found = assemble(rows, dropped(spark, rows, min_chars=min_chars, batches=batches, fanout=fanout), "whole")
+    found = assemble(rows, dropped(spark, docs, rows, min_chars=min_chars, batches=batches, fanout=fanout), "whole")
     new = {"text": F.when(F.col("whole.text").isNotNull(), F.col("text")), "n_chars": F.when(F.col("whole.text").isNotNull(), F.char_length("text").cast("long"))}
     return found.select(*[(new[c] if c in new else F.col(f"whole.{c}")).alias(c) for c in docs.columns])
 
 
-def dropped(spark: SparkSession, rows: DataFrame, *, min_chars: int, batches: int, fanout: int) -> DataFrame:
-    """(id, row, pos): the sorted positions of the lines that the rows (of keyed) lose."""
-    ws = Workspace(spark)
-    runs, drops = Runs(ws, fanout), []
-    low = None
-    cuts = bounds(rows, batches)
-    for high in [*cuts, None]:
-        inside = F.lit(True)
-        if low is not None:
-            inside = inside & (F.col("id") > low)
-        if high is not None:
-            inside = inside & (F.col("id") <= high)
-        lines = lines_of(rows.where(inside), min_chars)
-        keys = lines.groupBy(*KEYS).agg(F.min("id").alias("first"), F.max("id").alias("last"))
-        seen = F.lit(False)
-        for i, run in enumerate(runs.tables()):
-            keys = keys.join(run.withColumn(f"in{i}", F.lit(True)), KEYS, "left")
-            seen = seen | F.coalesce(F.col(f"in{i}"), F.lit(False))
-        keys = ws.write(keys.select(*KEYS, "first", "last", seen.alias("seen")), "keys")
-        lost = keys.where("seen or first < last")
-        drops.append(ws.write(
-            lines.join(lost, KEYS).where("seen or id > first").groupBy("id", "row").agg(F.array_sort(F.collect_set("pos")).alias("pos")),
-            "drops",
-        ))
-        if high is not None:  # the last batch's run has no reader
-            runs.add(keys.where("not seen"))
-        low = high
-    runs.close()
-    gone = drops[0]
-    for d in drops[1:]:
-        gone = gone.unionByName(d)
-    return gone
+def dropped(spark: SparkSession, docs: DataFrame, rows: DataFrame, *, min_chars: int, batches: int, fanout: int) -> DataFrame:
+    """(id, row, pos): the sorted positions of the lines that the rows (docs, keyed) lose."""
+    with LineIndex(spark, min_chars=min_chars, fanout=fanout) as index:
+        cuts = bounds(docs, batches)
+        batch = F.lit(0)
+        for c in cuts:
+            batch = batch + (F.col("id") > c).cast("int")
+        # Texts are read once; a batch then reads its own lines.
+        lines = index.ws.write(lines_of(rows, min_chars).withColumn("batch", batch), "lines", by="batch")
+        gone = [index.drop(lines.where(F.col("batch") == k).drop("batch")) for k in range(len(cuts) + 1)]
+        index.ws.done(lines)
+    out = gone[0]
+    for g in gone[1:]:
+        out = out.unionByName(g)
+    return out
 
 
 def assemble(rows: DataFrame, drops: DataFrame, *keep: str) -> DataFrame:
