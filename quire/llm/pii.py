@@ -12,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import let, text_of
+from .common import let, own, text_of
 
-KEY = "quire-pseudonyms"
+#: The session's setting that holds op4's key.
+KEY_SETTING = "spark.quire.pii.key"
 ROUNDS = 10
 
 #: The shapes looked for, in order of precedence.
@@ -29,6 +30,11 @@ SHAPES = {
     "ssn": r"(?<![0-9\-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9\-])",
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ \-][0-9]{4}){3}|[0-9]{4}[ \-][0-9]{6}[ \-][0-9]{5})(?![0-9])",
 }
+#: Country calling codes of one and of two digits; all others have three.
+SHORT_CODES = r"^(?:1|7)"
+TWO_DIGIT_CODES = r"^(?:20|27|30|31|32|33|34|36|39|40|41|43|44|45|46|47|48|49|51|52|53|54|55|56|57|58|60|61|62|63|64|65|66|81|82|84|86|90|91|92|93|94|95|98)"
+#: Steps of a cycle walk at most: of the numbers that a permutation gives, over 87 % are in the domain.
+WALK = 64
 #: Phone numbers have so many digits.
 PHONE_DIGITS = (8, 15)
 #: Dates are permuted among the days of these years.
@@ -152,12 +158,20 @@ def _date(m: Column, key: Column) -> Column:
 
 
 def _phone(m: Column, key: Column) -> Column:
-    """The country code stays."""
-    code = F.length(F.regexp_extract(m, r"^\+([0-9]{1,3})[ .(\-]", 1))
-    new = lambda d: let(code, lambda c: F.concat(F.substring(d, F.lit(1), c), feistel_digits(F.substring(d, c + 1, F.length(d)), key, "phone")))
+    """The country code after a + stays; separators don't change what the digits become."""
+    code = lambda d: F.when(~m.startswith("+"), 0).when(d.rlike(SHORT_CODES), 1).when(d.rlike(TWO_DIGIT_CODES), 2).otherwise(3)
+    new = lambda d: let(code(d), lambda c: F.concat(F.substring(d, F.lit(1), c), feistel_digits(F.substring(d, c + 1, F.length(d)), key, "phone")))
     return let(_only_digits(m), lambda d: F.when(F.length(d).between(*PHONE_DIGITS), _filled(m, new(d))).otherwise(m))
 
 
+def _ssn(m: Column, key: Column) -> Column:
+    """Cycle-walking: steps of the permutation until an area, group and serial that are given out come up."""
+    valid = lambda d: ~d.rlike("^(?:000|666|9)|^...00|0000$")
+    step = lambda d: feistel_digits(d, key, "ssn")
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), step(_only_digits(m)), lambda d, _: F.when(valid(d), d).otherwise(step(d)))
+    return _filled(m, walked)
+
+
 def _email(m: Column, key: Column) -> Column:
     return F.concat(F.lit("user-"), F.substring(F.sha2(F.concat_ws(":", key, F.lit("email"), F.lower(m)), 256), 1, 16), F.lit("@pseudonym.invalid"))
 
@@ -169,8 +183,7 @@ def _secret(m: Column, key: Column) -> Column:
     return let(value, lambda v: F.replace(m, v, new(v)))
 
 
-_OTHER = {"email": _email, "secret": _secret, "iban": _iban, "ip": _ip, "date": _date, "phone": _phone, "card": _card}
-_OTHER["ssn"] = lambda m, key: _filled(m, feistel_digits(_only_digits(m), key, "ssn"))
+_OTHER = {"email": _email, "secret": _secret, "iban": _iban, "ip": _ip, "date": _date, "phone": _phone, "ssn": _ssn, "card": _card}
 
 
 def _kind(m: Column) -> Column:
@@ -191,31 +204,34 @@ def _replaced(m: Column, key: Column) -> Column:
     return let(_kind(m), lambda k: F.struct(k.alias("kind"), choose(k).alias("new")))
 
 
-def pseudonymize(docs: DataFrame, *, key: str = KEY) -> DataFrame:
+def pseudonymize(docs: DataFrame, *, key: str) -> DataFrame:
     """docs (doc_id, text and others) with text pseudonymized, and n_found and n_<kind> columns of what changed.
 
-    Columns of docs with one of those names are replaced. Null text stays null. Texts without any of the
-    shapes, empty ones included, stay as they are. Values that fail validation stay. Repeated rows and equal
-    values change alike. An empty table gives an empty result. Very long texts are split at their matches.
+    Columns of docs with one of those names are replaced; any others keep their values, whatever their names. Null
+    text stays null. Texts without any of the shapes, empty ones included, stay as they are. Values that fail
+    validation stay. Repeated rows and equal values change alike. An empty table gives an empty result. Very long
+    texts are split at their matches.
     """
     k = F.lit(key)
     counted = ["n_found", *[f"n_{x}" for x in KINDS]]
-    rest = [F.col(c) for c in docs.columns if c not in (*counted, "text")]
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in (*counted, "text")]
+    m, n, c = own(docs.columns, "matches", "pseudonyms", "changed")
     # Most texts have no digit and no @: only the others are searched for the shapes.
     may = F.col("text").rlike(r"[0-9@]|eyJ|sk-|gh[pousr]_") | F.lower("text").rlike("token|secret|passw|api[_-]?key|pwd")
-    found = docs.select(*rest, "text", F.when(may, F.regexp_extract_all("text", F.lit(PATTERN), 0)).alias("_m"))
-    news = F.when(F.size("_m") > 0, F.transform("_m", lambda m: _replaced(m, k)))
-    found = found.select(*rest, "text", "_m", news.alias("_n"))
+    found = docs.select(*rest, "text", F.when(may, F.regexp_extract_all("text", F.lit(PATTERN), 0)).alias(m))
+    news = F.when(F.size(m) > 0, F.transform(m, lambda x: _replaced(x, k)))
+    found = found.select(*rest, "text", m, news.alias(n))
     gaps = F.split("text", PATTERN, -1)
-    fill = F.concat(F.transform("_n", lambda n: n["new"]), F.array(F.lit("")))
-    text = F.when(F.size("_n") > 0, F.array_join(F.flatten(F.zip_with(gaps, fill, lambda g, n: F.array(g, n))), "")).otherwise(F.col("text"))
-    changed = F.filter(F.zip_with("_m", "_n", lambda m, n: F.when(m != n["new"], n["kind"])), lambda x: x.isNotNull())
-    found = found.select(*rest, text.alias("text"), F.coalesce(changed, F.array().cast("array<int>")).alias("_c"))
-    number = lambda i: F.size(F.filter("_c", lambda x: x == i)).cast("long")
-    order = [*[c for c in docs.columns if c not in counted], F.size("_c").cast("long").alias("n_found"), *[number(i).alias(f"n_{x}") for i, x in enumerate(KINDS)]]
+    fill = F.concat(F.transform(n, lambda x: x["new"]), F.array(F.lit("")))
+    text = F.when(F.size(n) > 0, F.array_join(F.flatten(F.zip_with(gaps, fill, lambda g, x: F.array(g, x))), "")).otherwise(F.col("text"))
+    changed = F.filter(F.zip_with(m, n, lambda x, y: F.when(x != y["new"], y["kind"])), lambda x: x.isNotNull())
+    found = found.select(*rest, text.alias("text"), F.coalesce(changed, F.array().cast("array<int>")).alias(c))
+    number = lambda i: F.size(F.filter(c, lambda x: x == i)).cast("long")
+    order = [*[F.col(f"`{x}`") for x in docs.columns if x not in counted], F.size(c).cast("long").alias("n_found"), *[number(i).alias(f"n_{x}") for i, x in enumerate(KINDS)]]
     return found.select(*order)
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key is the session's; the query's own tables are made up, so where none is set a fixed one does."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", text_of().alias("text"))
-    return pseudonymize(docs)
+    return pseudonymize(docs, key=spark.conf.get(KEY_SETTING, "made-up tables"))
