@@ -1,9 +1,10 @@
 """Quality classifier: ordinal cumulative-link regression on graded ratings.
 
 P(grade <= k) = sigmoid(threshold_k - w.x): one weight vector over hashed text for all grades, and
-ordered thresholds. x marks which hashed words and style marks a text has. The model is fitted on a
-bounded sample of rated documents in one task; every document of the table is then scored whole,
-in numpy over Arrow batches. A score is the expected grade and the probability of the top grade.
+ordered thresholds. x marks which hashed words and style marks a text has. The sample of rated documents
+is bounded; its features are taken where the texts are and counted by groupBy, and only what each text has of
+the chosen ones meets in the one task that fits. Every document of the table is then scored whole, in
+numpy over Arrow batches. A score is the expected grade and the probability of the top grade.
 """
 
 from __future__ import annotations
@@ -23,11 +24,11 @@ from .shingles import _BASE, _BYTE, _LOWER, _SPACE, _UNBASE, _powers, mix
 SAMPLE = 8_000
 #: Words are hashed to so many bits: a long text then meets no feature by chance.
 BITS = 40
-#: Hashed features with weights, at most: those in so many of the sample's documents whose frequency in a grade is so many
-#: standard deviations from that in all.
-FEATURES, LEAST_DOCS, LEAST_SPREAD = 1_024, 8, 8.0
+#: Hashed features with weights, at most: of those in so many of the sample's documents, the ones whose frequency in a
+#: grade differs most from that in all, if by so many standard deviations of one document: an effect, whatever the sample's size.
+FEATURES, LEAST_DOCS, LEAST_EFFECT = 1_024, 8, 0.4
 GRADES = 3
-STEPS, RATE, DECAY = 400, 0.05, 2e-4
+STEPS, RATE, PENALTY = 400, 0.05, 1e-3
 #: A document is selected from this probability of the top grade on.
 TAIL = 0.5
 #: Bytes featurized at once.
@@ -99,76 +100,102 @@ def features(texts: list[bytes]) -> Iterator[np.ndarray]:
         yield from _group(group)
 
 
-def sketch_key(found: np.ndarray) -> tuple:
-    """The three least hashed words: most near copies have them in common."""
-    return tuple(found[found >= STYLE][:3].tolist())
+def fit(owner: np.ndarray, found: np.ndarray, ids: np.ndarray, grades: np.ndarray, *, grades_n: int = GRADES) -> tuple[np.ndarray, np.ndarray]:
+    """(weights of ids, thresholds): penalized maximum likelihood by Adam, a fixed number of full steps.
 
-
-def fit(rows: list[np.ndarray], grades: np.ndarray, *, grades_n: int = GRADES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(features used, their weights, thresholds): penalized maximum likelihood by Adam, a fixed number of full steps.
-
-    Near copies count once in the choice of features, else the words of one text that was copied would look telling.
+    Row `owner` of grades has feature `found`, for each pair of them; ids are sorted.
     """
-    ids, which = np.unique(np.concatenate(rows) if rows else np.zeros(0, np.int64), return_inverse=True)
-    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    n = len(grades)
     share = np.array([max((grades == g).sum(), 1) for g in range(grades_n)])
-    once = np.zeros(len(rows), bool)
-    once[list({(sketch_key(x), g): k for k, (x, g) in enumerate(zip(rows, grades.tolist(), strict=True))}.values())] = True
-    seen = np.array([max((grades[once] == g).sum(), 1) for g in range(grades_n)])
-    table = np.stack([np.bincount(which, (grades[owner] == g) & once[owner], len(ids)) for g in range(grades_n)]) if len(ids) else np.zeros((grades_n, 0))
-    # Spread of a feature's frequency over the grades, in standard deviations.
-    rate = (table + 0.5) / (seen[:, None] + 1)
-    overall = table.sum(axis=0) / max(once.sum(), 1)
-    score = np.abs((rate - overall) / np.sqrt((overall * (1 - overall) + 1e-6) / seen[:, None])).max(axis=0) if len(ids) else np.zeros(0)
-    score[table.sum(axis=0) < LEAST_DOCS] = 0
-    use = np.sort(np.argsort(-score, kind="stable")[:FEATURES])
-    use = use[score[use] >= LEAST_SPREAD]
-    column = np.full(len(ids), -1)
-    column[use] = np.arange(len(use))
-    keep = column[which] >= 0
-    r, c = owner[keep], column[which][keep]
-    weight = (len(rows) / (grades_n * share))[grades] if len(rows) else np.zeros(0)  # grades count alike
-    w, gaps = np.zeros(len(use)), np.concatenate([[-1.0], np.zeros(grades_n - 2)])  # thresholds: gaps[0], then + exp(gaps[k])
-    m1, m2 = np.zeros(len(use) + len(gaps)), np.zeros(len(use) + len(gaps))
+    at = np.minimum(np.searchsorted(ids, found), max(len(ids) - 1, 0))
+    keep = ids[at] == found if len(ids) else np.zeros(len(found), bool)
+    r, c = owner[keep], at[keep]
+    weight = (n / (grades_n * share))[grades] if n else np.zeros(0)  # grades count alike
+    w, gaps = np.zeros(len(ids)), np.concatenate([[-1.0], np.zeros(grades_n - 2)])  # thresholds: gaps[0], then + exp(gaps[k])
+    m1, m2 = np.zeros(len(ids) + len(gaps)), np.zeros(len(ids) + len(gaps))
     sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-    for step in range(1, STEPS + 1 if len(rows) else 1):
+    for step in range(1, STEPS + 1 if n else 1):
         t = np.cumsum(np.concatenate([gaps[:1], np.exp(gaps[1:])]))
-        z = np.bincount(r, w[c], len(rows))
+        z = np.bincount(r, w[c], n)
         upper = np.where(grades < grades_n - 1, sig(t[np.minimum(grades, grades_n - 2)] - z), 1.0)
         lower = np.where(grades > 0, sig(t[np.maximum(grades - 1, 0)] - z), 0.0)
         p = np.maximum(upper - lower, 1e-9)
         du, dl = upper * (1 - upper) * weight / p, lower * (1 - lower) * weight / p
-        dz = (du - dl) / len(rows)  # of the loss
-        gw = np.bincount(c, dz[r], len(use)) + DECAY * w
+        dz = (du - dl) / n  # of the loss
+        gw = np.bincount(c, dz[r], len(ids)) + PENALTY * w
         gt = np.zeros(grades_n - 1)
-        np.add.at(gt, np.minimum(grades, grades_n - 2), np.where(grades < grades_n - 1, -du, 0) / len(rows))
-        np.add.at(gt, np.maximum(grades - 1, 0), np.where(grades > 0, dl, 0) / len(rows))
+        np.add.at(gt, np.minimum(grades, grades_n - 2), np.where(grades < grades_n - 1, -du, 0) / n)
+        np.add.at(gt, np.maximum(grades - 1, 0), np.where(grades > 0, dl, 0) / n)
         tail = np.cumsum(gt[::-1])[::-1]
         g = np.concatenate([gw, tail[:1], tail[1:] * np.exp(gaps[1:])])
         m1, m2 = 0.9 * m1 + 0.1 * g, 0.999 * m2 + 0.001 * g * g
         move = RATE * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.999**step)) + 1e-8)
-        w, gaps = w - move[: len(use)], gaps - move[len(use) :]
-    return ids[use], w, np.cumsum(np.concatenate([gaps[:1], np.exp(gaps[1:])]))
+        w, gaps = w - move[: len(ids)], gaps - move[len(ids) :]
+    return w, np.cumsum(np.concatenate([gaps[:1], np.exp(gaps[1:])]))
+
+
+RATED = "doc_id long, row long, grade int, least array<long>, found array<long>"
+
+
+def _featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """RATED: the features of rated texts; least: the three least hashed words, which most near copies have in common."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 200):
+            part = batch.slice(at, 200)
+            found = list(features(part["data"].to_pylist()))
+            lists = [pa.array(x, pa.list_(pa.int64())) for x in ([f[f >= STYLE][:3] for f in found], found)]
+            yield pa.RecordBatch.from_arrays([*(part[c] for c in ("doc_id", "row", "grade")), *lists], [x.split()[0] for x in RATED.split(", ")])
+
 
+MODEL = "weights array<double>, thresholds array<double>"
 
-MODEL = "ids array<long>, weights array<double>, thresholds array<double>, n_rated long"
 
+def _fitter(ids: np.ndarray):
+    def fit_group(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["doc_id", "row", "grade"])  # the order of arrival doesn't matter
+        owner = np.repeat(np.arange(len(pdf)), [len(x) for x in pdf["found"]])
+        w, t = fit(owner, np.concatenate(pdf["found"].tolist()).astype(np.int64), ids, pdf["grade"].to_numpy())
+        return pd.DataFrame({"weights": [w.tolist()], "thresholds": [t.tolist()]})
 
-def _fit_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values(["doc_id", "data"])  # the order of arrival doesn't matter
-    ids, w, t = fit(list(features(pdf["data"].tolist())), pdf["grade"].to_numpy())
-    return pd.DataFrame({"ids": [ids.tolist()], "weights": [w.tolist()], "thresholds": [t.tolist()], "n_rated": [len(pdf)]})
+    return fit_group
+
+
+def chosen(rows: DataFrame) -> np.ndarray:
+    """The ids of the features of rows (RATED) that get weights, sorted: at most FEATURES of them.
+
+    Near copies of one grade count once, else the words of one text that was copied would look telling.
+    """
+    once = rows.groupBy("least", "grade").agg(F.min(F.struct("doc_id", "row")).alias("x")).select("grade", "x.*")
+    once = rows.join(once, ["grade", "doc_id", "row"], "left_semi")
+    sizes = {r["grade"]: r["count"] for r in once.groupBy("grade").count().collect()}
+    total = max(sum(sizes.values()), 1)
+    has = lambda g: F.sum((F.col("grade") == g).cast("int"))
+    counts = once.select("grade", F.explode(F.array_distinct("found")).alias("id")).groupBy("id").agg(F.count("*").alias("docs"), *[has(g).alias(f"n{g}") for g in range(GRADES)])
+    overall = F.col("docs") / total
+    effects = [F.abs((F.col(f"n{g}") + 0.5) / (sizes.get(g, 0) + 1) - overall) / F.sqrt(overall * (1 - overall) + 1e-6) for g in range(GRADES)]
+    effect = counts.where(F.col("docs") >= LEAST_DOCS).select("id", F.greatest(*effects).alias("effect")).where(F.col("effect") >= LEAST_EFFECT)
+    best = effect.orderBy(F.desc("effect"), "id").limit(FEATURES)
+    return np.sort(np.array([r["id"] for r in best.collect()], np.int64))
 
 
 def train(spark: SparkSession, docs: DataFrame, rated: DataFrame, *, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The model from at most `sample` rows of rated (doc_id, grade) and their texts; null grades don't count."""
+    """(features, sorted, their weights, thresholds) from at most `sample` of the rated (doc_id, grade) with their texts.
+
+    Null grades don't count; equal texts of one doc_id and grade count once.
+    """
+    ws = Workspace(spark)
     some = rated.where("doc_id is not null and grade is not null").select("doc_id", "grade").distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "grade").limit(sample)
-    data = docs.where("text is not null").select("doc_id", F.col("text").cast("binary").alias("data"))
-    joined = data.join(F.broadcast(some), "doc_id")  # at most `sample` short rows
-    found = joined.groupBy(F.lit(0).alias("all")).applyInPandas(_fit_group, MODEL).collect()
+    data = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), F.col("text").cast("binary").alias("data"))
+    rows = data.join(F.broadcast(some), "doc_id").select("doc_id", "row", "grade", "data").mapInArrow(_featurize, RATED).dropDuplicates(["doc_id", "row", "grade"])
+    rows = ws.write(rows.orderBy(F.xxhash64("doc_id", "row"), "doc_id", "row", "grade").limit(sample), "rated")
+    ids = chosen(rows)
+    keep = F.array(*[F.lit(int(i)) for i in ids]) if len(ids) else F.array().cast("array<long>")
+    narrow = rows.select("doc_id", "row", "grade", F.array_intersect("found", keep).alias("found"))
+    found = narrow.groupBy(F.lit(0).alias("all")).applyInPandas(_fitter(ids), MODEL).collect()
+    ws.done(rows)
     if not found:
         return np.zeros(0, np.int64), np.zeros(0), np.array([0.0] * (GRADES - 1))
-    return np.array(found[0]["ids"], np.int64), np.array(found[0]["weights"]), np.array(found[0]["thresholds"])
+    return ids, np.array(found[0]["weights"]), np.array(found[0]["thresholds"])
 
 
 SCORES = "doc_id long, expected_grade double, tail_probability double"
