@@ -14,6 +14,7 @@ groupBy. Products and sums of whole numbers are exact, so the centres don't depe
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -144,11 +145,9 @@ def _assign(centres: np.ndarray):
 
 def measured(ws: Workspace, docs: DataFrame) -> DataFrame:
     """doc_id, source, lang, row, topic and tokens of each row, written; null source, language and text count as ''."""
-    path = ws.path("vectors")
-    vectors(docs).write.parquet(path)
-    found = ws.spark.read.parquet(path)
+    found = ws.write(vectors(docs), "vectors")
     out = ws.write(found.mapInArrow(_assign(fit_topics(found)), "doc_id long, source string, lang string, row long, topic int, tokens long"), "measured")
-    ws.drop(path)
+    ws.done(found)
     return out
 
 
@@ -184,6 +183,8 @@ def rake(cells: pd.DataFrame, targets: dict[str, dict]) -> pd.DataFrame:
             weight = weight * np.where(have > 0, want / np.where(have > 0, have, 1), 0)[codes]
         if worst < CLOSE:
             break
+    else:
+        _warn(worst)
     return cells.assign(weight=weight)
 
 
@@ -209,31 +210,36 @@ def rake_distributed(ws: Workspace, cells: DataFrame, targets: dict[str, dict],
     cells = ws.write(cells.withColumn("weight", F.col("tokens") / F.lit(float(total or 1))), "cells")
     wants = []
     for a in AXES:
-        own = cells.groupBy(a).agg(F.sum("weight").alias("have"))
+        have = cells.groupBy(a).agg(F.sum("weight").alias("have"))
         if a in targets:
-            given = spark.createDataFrame([(k, float(v)) for k, v in targets[a].items()], own.select(a, F.col("have").alias("want")).schema)
-            own = own.join(given, a, "left").withColumn("want", F.coalesce("want", F.lit(0.0)))
+            given = spark.createDataFrame([(k, float(v)) for k, v in targets[a].items()], have.select(a, F.col("have").alias("want")).schema)
+            want = have.join(given, a, "left").withColumn("want", F.coalesce("want", F.lit(0.0)))
         else:
-            own = own.withColumn("want", F.pow("have", F.lit(TEMPER)))
-        wants.append(ws.write(own.withColumn("share", F.sum("want").over(_all())).select(a, (F.col("want") / F.col("share")).alias("want")), "want"))
+            want = have.withColumn("want", F.pow("have", F.lit(TEMPER)))
+        want = ws.write(want, "want")
+        share, all_ = (x or 0.0 for x in want.agg(F.sum("want"), F.sum("have")).first())
+        wants.append(want.select(a, (F.col("want") / share if share > 0 else F.col("have") / (all_ or 1.0)).alias("want")))
     for _ in range(RAKES):
         worst = 0.0
         for a, want in zip(AXES, wants, strict=True):
-            scale = cells.groupBy(a).agg(F.sum("weight").alias("have")).join(want, a)
+            scale = ws.write(cells.groupBy(a).agg(F.sum("weight").alias("have")).join(want, a), "scale")
             worst = max(worst, scale.agg(F.max(F.abs(F.col("have") - F.col("want")))).first()[0] or 0.0)
-            cells = ws.write(cells.join(scale.select(a, F.when(F.col("have") > 0, F.col("want") / F.col("have")).otherwise(0.0).alias("_s")), a).withColumn("weight", F.col("weight") * F.col("_s")).drop("_s"), "cells")
+            factor = scale.select(a, F.when(F.col("have") > 0, F.col("want") / F.col("have")).otherwise(0.0).alias("_s"))
+            new = ws.write(cells.join(factor, a).withColumn("weight", F.col("weight") * F.col("_s")).drop("_s"), "cells")
+            ws.done(cells, scale)
+            cells = new
         if worst < CLOSE:
             break
+    else:
+        _warn(worst)
     cells = cells.withColumn("ratio", F.col("weight") / F.greatest("tokens", F.lit(1)))
     expected, most = cells.agg(F.sum(F.col("ratio") * F.col("tokens")), F.max("ratio")).first()
     c = min(budget * total / expected, 1 / most) if expected else 0.0
     return ws.write(cells.select(*AXES, "tokens", "weight", F.least(F.lit(1.0), F.col("ratio") * c).alias("probability")), "probabilities")
 
 
-def _all():
-    from pyspark.sql import Window
-
-    return Window.partitionBy(F.lit(0))
+def _warn(worst: float) -> None:
+    warnings.warn(f"after {RAKES} rounds of raking a marginal still misses its target by {worst:.3g}: the targets can't all be met", stacklevel=3)
 
 
 def draw(*key: Column) -> Column:
