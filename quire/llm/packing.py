@@ -205,7 +205,10 @@ def pack_documents(spark: SparkSession, docs: DataFrame, *, path: str | None = N
     start. An empty table gives an empty result.
     """
     ws = Workspace(spark)
-    return pack(spark, ws.write(pieces(docs, path=path, size=size), "pieces"), ws, size=size)
+    cut = ws.write(pieces(docs, path=path, size=size), "pieces")
+    packed = pack(spark, cut, ws, size=size)
+    ws.done(cut)
+    return packed
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

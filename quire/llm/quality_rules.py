@@ -151,17 +151,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame) -> DataFrame:
 def quality_filter(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The rows of docs that the rules keep, with all their columns."""
     ws = Workspace(spark)
-    names = docs.columns
-    m = measured(docs)
-    fences = thresholds(ws, m)
-    # The text stays where it is: the thresholds come to it.
-    small = fences.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
-    row = docs.select("doc_id", "text", "lang", "source", F.struct(*[F.col(c) for c in names]).alias("whole"))
-    judged = measured(row, "whole").join(F.broadcast(fences) if small else fences, ["lang", "source"], "left")
-    fine = ~F.col("base_failed")
-    for r in RATES:
-        fine = fine & F.coalesce(F.col(r) <= F.col(f"max_{r}"), F.lit(True))
-    return judged.where(fine).select("whole.*")
+    # Counted once, beside the row: the text is written with its rates instead of being counted or moved again.
+    row = docs.select("doc_id", "text", "lang", "source", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"))
+    return with_verdict(ws, ws.write(measured(row, "whole"), "measured")).where("kept").select("whole.*")
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

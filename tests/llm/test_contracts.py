@@ -56,6 +56,20 @@ def test_line_dedup(spark, docs, edge, empty, batches):
     assert line_dedup.line_dedup(spark, empty, batches=batches).count() == 0
 
 
+def test_line_index_takes_batch_after_batch(spark, docs):
+    """Five batches in order of doc_id, compacted on the way, give what one batch of all gives; no table is left."""
+    rows = sorted(texts(docs))
+    with line_dedup.LineIndex(spark) as index:
+        got = []
+        for k in range(5):
+            part = rows[k * len(rows) // 5 : (k + 1) * len(rows) // 5]
+            got += [(r.doc_id, r.n_lines, r.n_dropped, r.text) for r in index.add(spark.createDataFrame(part, "doc_id long, text string")).collect()]
+        assert index.runs.compactions == 3 and [len(level) for level in index.runs.levels] == [1, 0, 1]
+    assert counted(got) == counted(brute_lines(rows))
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("quire_run_")]
+
+
+
 # --- quality rules ------------------------------------------------------------------------------
 
 
@@ -83,29 +97,117 @@ def test_quality_rules(spark, docs, edge, empty):
 # --- page text ------------------------------------------------------------------------------------
 
 
+def kinds(page):
+    """(article's blocks, other blocks, marked blocks)."""
+    found = html_text.blocks(page)
+    return tuple([t for k, t in found if k == kind] for kind in (html_text.ARTICLE, html_text.OTHER, html_text.MARKED))
+
+
 def test_page_blocks():
     page = (
         '<html><head><title>T</title><style>p{}</style></head><body><header>H</header><div class="cookieBanner">c</div><main><h1>A &amp; B</h1><p>one <b>two</b>three<p>four<br>five'
         '<div class="ad-slot">x</div><form>f</form><aside>s</aside><section id="comments"><article>mine</article></section></main><p>tail</p><footer>&copy; F</footer>'
     )
-    assert html_text.blocks(page) == (["A & B", "one twothree", "four", "five"], ["tail"], True)
-    assert html_text.blocks("a < b&nbsp;c <script>'</p>'</script>d<a href=\"x") == ([], ["a < b c d"], False)
-    assert html_text.blocks("") == ([], [], False)
+    assert kinds(page) == (["A & B", "one twothree", "four", "five"], ["tail"], ["H", "c", "x", "f", "s", "mine", "© F"])
+    assert kinds("a < b&nbsp;c <script>'</p>'</script>d<a href=\"x") == ([], ["a < b c d"], [])
+    assert html_text.blocks("") == []
     assert html_text.host_of("https://u@A.b:8/c?d") == "a.b:8" and html_text.host_of(None) == ""
 
 
+@pytest.mark.parametrize(("page", "article"), [
+    ('<div class="layout has-sidebar"><article>text</article></div>', ["text"]),
+    ('<main><div class="comments-open post">text</div></main>', ["text"]),
+    ('<main><section id="related-work">text</section></main>', ["text"]),
+    ('<main><h2 id="discussion">text</h2></main>', ["text"]),
+    ('<main><p title="once hidden now shown">text</p><p hidden>gone</p></main>', ["text"]),
+    ('<form id="f"><main>text</main></form>', ["text"]),
+    ('<article>text<div class="post-comments"><article>said</article></div></article>', ["text"]),
+    ('<article>text</article><ol class="commentlist"><li><article class="comment">said</article></ol>', ["text"]),
+    ('<article>one<p>two <span style="display: none">gone</span>three</article>', ["one", "two", "three"]),
+])
+def test_marks_leave_the_article_alone(page, article):
+    assert kinds(page)[0] == article
+
+
+def brute_pages(rows):
+    """(page_id, text): runs by dictionaries over a host's distinct pages."""
+    parsed = [(i, html_text.host_of(u), html_text.blocks(h or "")) for i, u, h in rows]
+    hosts = {}
+    for i, host, page in parsed:
+        hosts.setdefault(host, {}).setdefault(tuple(page), []).append(LAST if i is None else i)
+    out = []
+
+    def runs(page):
+        words = [(w, k) for k, (_, t) in enumerate(page) for w in t.split(" ")]
+        return [(a, tuple(low(w) for w, _ in words[a : a + 8]), [k for _, k in words[a : a + 8]]) for a in range(len(words) - 7)], [k for _, k in words]
+
+    for i, host, page in parsed:
+        own = hosts[host]
+        article = any(k == 0 for k, _ in page)
+        kind = 0 if article else 1
+        anywhere, outer = {}, {}
+        for n, other in enumerate(own):
+            for _, r, of in runs(other)[0]:
+                anywhere.setdefault(r, set()).add(n)
+                if other[of[0]][0] and other[of[-1]][0]:
+                    outer.setdefault(r, set()).add(n)
+        found, of = runs(tuple(page))
+        bad = [(a, ks) for a, r, ks in found if (len(anywhere[r]) >= max(3, len(own) / 2) if article else len(outer.get(r, ())) >= 3)]
+        any_ = {a + k for a, _ in bad for k in range(8)}
+        within = {a + k for a, ks in bad if ks[0] == ks[-1] for k in range(8)}
+        kept, cut, total, at = [], 0, 0, 0
+        for b, (k, t) in enumerate(page):
+            words = t.split(" ")
+            at0, at = at, at + len(words)
+            if k != kind:
+                continue
+            gone = any_ if all(x in any_ for x in range(at0, at)) else within
+            left = [w for x, w in enumerate(words, at0) if x not in gone]
+            total, cut = total + len(words), cut + len(words) - len(left)
+            kept += [" ".join(left)] if left else []
+        text = " ".join(t for k, t in page if k == kind) if article and 2 * cut > total else " ".join(kept)
+        copies = own[tuple(page)]
+        out.append((i, "" if not article and len(copies) >= 3 and min(copies) != (LAST if i is None else i) else text))
+    return out
+
+
+def made_pages():
+    """Hosts with and without articles, with notices on some or most pages, inside and outside articles, and copies."""
+    rng = random.Random(8)
+    say = lambda n: " ".join(rng.choice("abcdefghijkl") + rng.choice("xyz") for _ in range(n))
+    notices = [say(14) for _ in range(4)]
+    rows = []
+    for i in range(160):
+        host, bare = f"h{i % 5}.x", i % 3 == 0
+        parts = [f"<nav>{notices[0]}</nav>"] + [f"<p>{say(rng.randrange(1, 30))}</p>" for _ in range(3)]
+        parts += [f"<p>{rng.choice(notices)} {say(3)}</p>"] if rng.random() < 0.5 else []
+        parts += [f"<div>{notices[1]}</div>"] if i % 5 < 2 else []
+        rng.shuffle(parts)
+        rows.append((i, f"http://{host}/{i}", "".join(parts) if bare else f"<div class='menu'>{notices[2]}</div><article>{''.join(parts)}</article>"))
+    rows += [(200 + k, "http://h0.x/c", rows[0][2]) for k in range(3)] + [(300 + k, "http://h1.x/c", rows[1][2]) for k in range(5)]
+    return rows + [(None, None, None), (9, None, ""), (400, "http://h2.x", "<article></article>"), (401, "http://h2.x", "<article>" + say(20_000) + "</article>")]
+
+
+def test_main_text_against_brute_force(spark):
+    rows = made_pages()
+    d = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    for c in ("host", "kinds", "blocks", "content", "line", "copies", "first", "gone"):
+        d = d.withColumn(c, d["url"])
+    assert counted((r.page_id, r.text) for r in html_text.main_text(spark, d).collect()) == counted(brute_pages(rows))
+
+
 def test_suffix_boilerplate(spark):
     import numpy as np
 
     rng = random.Random(1)
-    streams = [[rng.randrange(6) for _ in range(rng.randrange(40))] + [-1 - p] for p in range(30)]
-    flat = np.array([x for s in streams for x in s])
+    streams = [[rng.randrange(6) for _ in range(rng.randrange(40))] for p in range(30)]
+    flat = np.array([x for s in streams for x in s], np.int64)
     owner = np.repeat(np.arange(30), [len(s) for s in streams])
     seen = {}
     for p, s in enumerate(streams):
-        for k in range(len(s) - 4):
+        for k in range(len(s) - 3):
             seen.setdefault(tuple(s[k : k + 4]), set()).add(p)
-    want = [any(a <= k < a + 4 and len(seen[tuple(s[a : a + 4])]) >= 3 for a in range(len(s) - 4) if True) for s in streams for k in range(len(s))]
+    want = [any(a <= k < a + 4 and len(seen[tuple(s[a : a + 4])]) >= 3 for a in range(len(s) - 3)) for s in streams for k in range(len(s))]
     assert html_text.covered(flat, owner, 4, 3).tolist() == want
     menu = "home about contact imprint privacy terms jobs press"
     rows = [(i, f"http://h.x/{i}", f"<div>{menu}</div><div>page {i} tells of thing{i}</div>") for i in range(5)] + [(9, None, None), (9, None, None)]
@@ -314,7 +416,7 @@ def test_deep_shallow():
 def test_pseudonyms(spark, edge, empty):
     rows = [(1, "a.b@mail.org 4539 1488 0343 6467 2024-02-29"), (2, "A.B@mail.org 4539148803436467, 30.02.2001 4539148803436468 29/02/2024"), (3, None), (4, "+1 (017) 555-7713 10.0.0.255 token = \"0123456789abcdef\""), (5, "plain text, 3 of 4"), (6, "")]
     d = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: r for r in pii.pseudonymize(d).collect()}
+    got = {r.doc_id: r for r in pii.pseudonymize(d, key="k").collect()}
     digits = lambda s: re.sub(r"\D", "", s)
     one, two = got[1].text.split(" "), got[2].text.split(" ")
     assert one[0] == two[0] and "mail.org" not in one[0]
@@ -328,11 +430,94 @@ def test_pseudonyms(spark, edge, empty):
     assert got[3].text is None and got[5].text == rows[4][1] and got[6].text == "" and got[5].n_found == 0
     assert got[4].text.startswith("+1 (") and "555-7713" not in got[4].text and "10.0.0.255" not in got[4].text and "0123456789abcdef" not in got[4].text
     assert (got[1].n_email, got[1].n_card, got[1].n_date, got[4].n_phone, got[4].n_ip, got[4].n_secret) == (1,) * 6
-    assert pii.pseudonymize(edge).count() == edge.count() and pii.pseudonymize(empty).count() == 0
+    assert pii.pseudonymize(edge, key="k").count() == edge.count() and pii.pseudonymize(empty, key="k").count() == 0
     other = pii.pseudonymize(d, key="other").where("doc_id = 1").first().text
     assert other != got[1].text
 
 
+class PlainFeistel:
+    """The permutations in plain Python, from their description: ten rounds over halves, keyed by SHA-256."""
+
+    def __init__(self, key):
+        self.key = key
+
+    def digest(self, *parts):
+        return int(hashlib.sha256(":".join(map(str, (self.key, *parts))).encode()).hexdigest()[:15], 16)
+
+    def digits(self, d, tweak):
+        a, b = d[: len(d) // 2], d[len(d) // 2 :]
+        for i in range(10):
+            m = 10 ** len(a)
+            a, b = b, str((int(a or 0) + self.digest(tweak, i, len(d), b) % m) % m).zfill(len(a))
+        return a + b
+
+    def bits(self, v, tweak, left, right):
+        a, b = v >> right, v & ((1 << right) - 1)
+        for i in range(10):
+            wide = 1 << (right if i % 2 else left)
+            a, b = b, (a + self.digest(tweak, i, b) % wide) % wide
+        return (a << right) + b
+
+    def fill(self, shape, digits):
+        it = iter(digits)
+        return "".join(next(it) if c.isdigit() else c for c in shape)
+
+    def card(self, m):
+        d = re.sub(r"\D", "", m)
+        total = lambda x: sum(sum(divmod(int(c) * (1 + k % 2), 10)) for k, c in enumerate(reversed(x)))
+        if total(d) % 10:
+            return m
+        body = self.digits(d[:-1], "card")
+        return self.fill(m, body + str(-total(body + "0") % 10))
+
+    def ssn(self, m):
+        d = self.digits(m.replace("-", ""), "ssn")
+        while d[:3] in ("000", "666") or d[0] == "9" or d[3:5] == "00" or d[5:] == "0000":
+            d = self.digits(d, "ssn")
+        return self.fill(m, d)
+
+    def ip(self, m):
+        a, b, c, d = map(int, m.split("."))
+        v = self.bits(((a * 256 + b) * 256 + c) * 256 + d, "ip", 16, 16)
+        return ".".join(str(v >> s & 255) for s in (24, 16, 8, 0))
+
+    def date(self, m):
+        import datetime
+
+        v = (datetime.date.fromisoformat(m) - datetime.date(1900, 1, 1)).days
+        v = self.bits(v, "date", 8, 9)
+        while v >= 73_049:
+            v = self.bits(v, "date", 8, 9)
+        return str(datetime.date(1900, 1, 1) + datetime.timedelta(v))
+
+    def phone(self, m, code):
+        d = re.sub(r"\D", "", m)
+        return self.fill(m, d[:code] + self.digits(d[code:], "phone"))
+
+
+def test_pseudonyms_against_plain_python(spark):
+    rng = random.Random(6)
+    p, rows, want = PlainFeistel("k"), [], []
+    for i in range(300):
+        ssn = f"{rng.randrange(1, 666):03d}-{rng.randrange(1, 100):02d}-{rng.randrange(1, 10_000):04d}"
+        ip, date = ".".join(str(rng.randrange(256)) for _ in range(4)), f"{rng.randrange(1900, 2100)}-{rng.randrange(1, 13):02d}-{rng.randrange(1, 29):02d}"
+        card = "".join(str(rng.randrange(10)) for _ in range(16))
+        code, country = rng.choice([(1, "1"), (2, "49"), (3, "351"), (1, "7")])
+        n = "".join(str(rng.randrange(10)) for _ in range(9))
+        phone = rng.choice([f"+{country} {n[:3]} {n[3:6]} {n[6:]}", f"+{country}{n}", f"+{country}-{n[:3]}-{n[3:]}"])
+        rows.append((i, f"a {ssn} b {ip} c {date} d {card} e {phone} f"))
+        want.append((i, f"a {p.ssn(ssn)} b {p.ip(ip)} c {p.date(date)} d {p.card(card)} e {p.phone(phone, code)} f"))
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    for c in ("matches", "pseudonyms", "changed", "_m", "_n", "_c", "Matches_"):
+        d = d.withColumn(c, d["text"])
+    got = pii.pseudonymize(d, key="k")
+    assert got.columns[:9] == d.columns
+    assert counted((r.doc_id, r.text) for r in got.collect()) == counted(want)
+    same = spark.createDataFrame([(1, "+1 415 555 7713"), (2, "+14155557713")], "doc_id long, text string")
+    a, b = (re.sub(r"\D", "", r.text) for r in pii.pseudonymize(same, key="k").collect())
+    assert a == b != "14155557713"
+
+
 def test_feistel_permutes(spark):
     from pyspark.sql import functions as F
 
@@ -344,19 +529,38 @@ def test_feistel_permutes(spark):
 
 
 def test_quality_model(spark, docs, edge, empty, sf):
-    import numpy as np
+    import math
 
     labels = spark.read.parquet(f"{sf}/labels.parquet")
+    odd = labels.unionByName(labels.limit(5)).unionByName(labels.limit(3).selectExpr(*[f"null as {c}" if c != "doc_id" else "-7L as doc_id" for c in labels.columns]))
+    model = quality_model.train(spark, docs, quality_model.graded(labels))
+    ids, w, t = model
+    assert 0 < len(ids) == len(w) <= quality_model.FEATURES and (t[1:] > t[:-1]).all()
+    again = quality_model.train(spark, docs.unionByName(docs).repartition(7), quality_model.graded(odd))
+    assert all((a == b).all() for a, b in zip(model, again, strict=True))
+    weight = dict(zip(ids.tolist(), w.tolist(), strict=True))
+    sigmoid = lambda z: 1 / (1 + math.exp(-max(-40, min(40, z))))
+    for d in (docs, edge):
+        want = []
+        for i, text in texts(d):
+            z = sum(weight.get(f, 0.0) for f in next(quality_model.features([(text or "").encode()])).tolist())
+            above = [1 - sigmoid(x - z) for x in t]
+            want.append((i, round(sum(above), 9), round(above[-1], 9), above[-1] >= quality_model.TAIL))
+        got = quality_model.score(d, model).withColumn("kept", quality_model.F.col("tail_probability") >= quality_model.TAIL).collect()
+        assert counted((r.doc_id, round(r.expected_grade, 9), round(r.tail_probability, 9), r.kept) for r in got) == counted(want)
     assert quality_model.quality_scores(spark, edge, labels).count() == edge.count()
     assert quality_model.quality_scores(spark, empty, labels.where("false")).count() == 0
+
+
+def test_quality_model_on_held_out_ratings(spark, sf):
+    """Fitted on the labels of even doc_ids, judged on the others."""
     big = "/root/testdata/sf0.1"
-    both = spark.read.parquet(f"{big}/documents.parquet").join(quality_model.graded(spark.read.parquet(f"{big}/labels.parquet")), "doc_id").select("text", "grade").toPandas()
-    x, y = list(quality_model.features([t.encode() for t in both["text"]])), both["grade"].to_numpy()
-    half = len(x) // 2
-    ids, w, t = quality_model.fit(x[:half], y[:half])
-    assert (np.diff(t) > 0).all()
-    top = np.array([quality_model.linear(f, ids, w) for f in x[half:]]) > t[-1]
-    assert top[y[half:] == 2].mean() > 0.97 and top[y[half:] == 1].mean() < 0.05 and top[y[half:] == 0].mean() < 0.15
+    d = spark.read.parquet(f"{big}/documents.parquet")
+    grades = quality_model.graded(spark.read.parquet(f"{big}/labels.parquet")).where("grade is not null")
+    model = quality_model.train(spark, d, grades.where("doc_id % 2 = 0"))
+    rest = quality_model.score(d, model).join(grades.where("doc_id % 2 = 1"), "doc_id").toPandas()
+    top = (rest["tail_probability"] >= quality_model.TAIL).groupby(rest["grade"]).mean()
+    assert top[2] > 0.97 and top[1] < 0.05 and top[0] < 0.15
 
 
 def test_raking():
