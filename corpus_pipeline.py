@@ -44,9 +44,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in order on documents."""
+    """The stages in order on documents. A stage's table goes when the next one is written."""
     ws = Workspace(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = ws.write(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return STAGES[-1][1](spark, docs, sf_dir)
+        done = docs
+        docs = ws.write(stage(spark, done, sf_dir), name.replace(" ", "-"))
+        if name != STAGES[0][0]:
+            ws.done(done)
+    packed = STAGES[-1][1](spark, docs, sf_dir)  # the pieces are written by now
+    ws.done(docs)
+    return packed
