@@ -33,12 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Workspace
+from .common import Workspace, shuffle_partitions
 from .shingles import _JOIN, _words, mix
 
 RUN = 8
 PAGES = 3
 SHARD = 256
+#: The shards are sorted in so many waves: the blocks of one wave at a time are on the way to their shards.
+WAVES = 3
 
 #: Kinds of blocks.
 ARTICLE, OTHER, MARKED = 0, 1, 2
@@ -187,19 +189,29 @@ def host_of(url: str | None) -> str:
     return re.split(r"[/?#]", rest, maxsplit=1)[0].rpartition("@")[2].lower()
 
 
-PARSED = "page_id long, url string, host string, article boolean, kinds array<byte>, blocks array<string>"
+PARSED = "page_id long, url string, host string, article boolean, kinds array<byte>, blocks array<string>, content long, fresh boolean"
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """PARSED: content is a hash of the page's blocks; fresh pages are the first of theirs in this task, so copies travel once from a task."""
+    import xxhash
+
     names = [x.split()[0] for x in PARSED.split(", ")]
+    seen: set[tuple[str, int]] = set()
     for batch in batches:
         for at in range(0, batch.num_rows, 200):
             part = batch.slice(at, 200)
             urls = part["url"].to_pylist()
+            hosts = [host_of(u) for u in urls]
             found = [blocks(page or "") for page in part["html"].to_pylist()]
             kinds = [[k for k, _ in x] for x in found]
-            columns = [part["page_id"], part["url"], pa.array([host_of(u) for u in urls], pa.string()), pa.array([ARTICLE in k for k in kinds]), pa.array(kinds, pa.list_(pa.int8()))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([[t for _, t in x] for x in found], pa.list_(pa.string()))], names)
+            content = [xxhash.xxh64_intdigest("\0".join(f"{k}{t}" for k, t in x).encode("utf-8", "surrogatepass")) - 2**63 for x in found]
+            fresh = []
+            for key in zip(hosts, content, strict=True):
+                fresh.append(key not in seen)
+                seen.add(key)
+            columns = [part["page_id"], part["url"], pa.array(hosts, pa.string()), pa.array([ARTICLE in k for k in kinds]), pa.array(kinds, pa.list_(pa.int8())), pa.array([[t for _, t in x] for x in found], pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(content, pa.int64()), pa.array(fresh)], names)
 
 
 # --- suffix arrays ----------------------------------------------------------------------------
@@ -290,6 +302,7 @@ RUNS = "host string, run long, outer long, inner long"
 def _evidence(key: tuple, t: pa.Table) -> pa.Table:
     """RUNS of a shard: the pages that have a run outside articles, and those that have it anywhere if they are a quarter of the shard's."""
     t = t.combine_chunks()
+    t = t.take(np.sort(np.unique(t["content"].to_numpy(), return_index=True)[1]))  # copies of other tasks
     with np.errstate(over="ignore"):
         s = Streams(*(t[c].combine_chunks() for c in ("blocks", "kinds")))
         starts, of = runs_of(s.tokens, s.pages)
@@ -356,26 +369,27 @@ def main_text(spark: SparkSession, pages: DataFrame) -> DataFrame:
     such copies keeps the text (the least page_id; of equal ones the first row). Blocks of equal text all
     stay inside an article. An empty table gives an empty result.
     """
-    ws = Workspace(spark)
+    ws, n = Workspace(spark), shuffle_partitions(spark)
     parsed = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(_parse, PARSED)
-    line = {"content": F.xxhash64("article", "kinds", "blocks"), "line": F.monotonically_increasing_id()}
-    parsed = ws.write(parsed.withColumns(line), "blocks")
+    parsed = ws.write(parsed.withColumn("line", F.monotonically_increasing_id()), "blocks", codec="zstd")
     # Which pages are copies, and how many pages each host has: narrow rows, combined before the shuffle.
     holder = F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "line"))
     contents = ws.write(parsed.groupBy("host", "content").agg(holder.alias("holder"), F.count("*").alias("copies"), F.max(~F.col("article")).alias("bare")), "contents")
     hosts = ws.write(contents.groupBy("host").agg(F.count("*").alias("pages"), F.max("bare").alias("bare")), "hosts")
-    twins = contents.where("copies > 1").select("host", "content", "copies", F.col("holder.line").alias("holder"))
-    rows = parsed.join(twins, ["host", "content"], "left").withColumn("first", F.coalesce(F.col("line") == F.col("holder"), F.lit(True)))
     shard = F.pmod(F.xxhash64("content"), F.ceil(F.col("pages") / SHARD)).alias("shard")
-    dealt = rows.where("first").join(hosts.where(f"pages >= {PAGES}"), "host").select("host", shard, "bare", "kinds", "blocks")
-    runs = ws.write(dealt.groupBy("host", "shard").applyInArrow(_evidence, RUNS), "runs")
+    dealt = parsed.where("fresh").join(hosts.where(f"pages >= {PAGES}"), "host").select("host", shard, "bare", "content", "kinds", "blocks")
+    waves = [ws.write(dealt.where(F.pmod(F.xxhash64("host", "shard"), F.lit(WAVES)) == k).repartition(n, "host", "shard").groupBy("host", "shard").applyInArrow(_evidence, RUNS), "runs") for k in range(WAVES)]
+    runs = waves[0]
+    for w in waves[1:]:
+        runs = runs.unionByName(w)
     often = runs.groupBy("host", "run").agg(F.sum("outer").alias("outer"), F.sum("inner").alias("inner")).join(hosts, "host")
     out, within = F.col("outer") >= PAGES, F.col("inner") >= F.greatest(F.lit(PAGES), F.col("pages") / 2)
     known = often.where(out | within).groupBy("host").agg(F.collect_list(F.when(out, F.col("run"))).alias("outer"), F.collect_list(F.when(within, F.col("run"))).alias("inner"))
     known = ws.write(known, "known")
-    ws.done(runs, hosts)
-    gone = ~F.col("article") & (F.coalesce("copies", F.lit(1)) >= PAGES) & ~F.col("first")
-    found = rows.withColumn("gone", gone).join(known, "host", "left")
+    ws.done(*waves, hosts)
+    # Texts stay where they are as long as what they meet is small: hosts with boilerplate, and copies without an article.
+    twins = contents.where(f"bare and copies >= {PAGES}").select("host", "content", F.col("holder.line").alias("keeps"))
+    found = parsed.join(twins, ["host", "content"], "left").withColumn("gone", F.coalesce(F.col("line") != F.col("keeps"), F.lit(False))).join(known, "host", "left")
     return found.select("page_id", "url", "article", "gone", "kinds", "blocks", "outer", "inner").mapInArrow(_unique_runs, TEXTS)
 
 

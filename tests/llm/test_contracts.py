@@ -191,7 +191,7 @@ def made_pages():
 def test_main_text_against_brute_force(spark):
     rows = made_pages()
     d = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
-    for c in ("host", "kinds", "blocks", "content", "line", "copies", "first", "gone"):
+    for c in ("host", "kinds", "blocks", "content", "line", "copies", "fresh", "gone"):
         d = d.withColumn(c, d["url"])
     assert counted((r.page_id, r.text) for r in html_text.main_text(spark, d).collect()) == counted(brute_pages(rows))
 
