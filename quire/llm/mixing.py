@@ -1,11 +1,13 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
-Tokens (words) are summed per cell of source, language and topic. Raking scales the cells until their
-token marginals meet the targets; a cell's scale over its size, times one factor for all cells, is the
-probability with which its documents are kept. The factor is the largest that needs no probability over 1
-and expects no more tokens than the budget, so what is kept has the raked shares: where a cell is lifted by
-more than 1 / budget, less than the budget is kept. A document's draw is a hash of its id, so
-a sample is the same wherever and whenever it is made.
+Tokens (words) are summed per cell of source, language and topic. Raking scales the tokens to keep in the cells
+until their marginals meet the targets, and never keeps more of a cell than it has: what a full cell can't give,
+the others of its marginals make up in the next steps. A cell's kept tokens over its own are the probability with
+which its documents are kept. The total to keep is the budget, or less where a marginal doesn't have its target's
+share of that. A document's draw is a hash of its id, so a sample is the same wherever and whenever it is made.
+
+Targets that aren't given are each marginal's own shares, tempered, which lifts the small ones, but by no more
+than a sample of the budget's size can: a rare topic is kept whole, not made the measure of all others.
 
 Topics come from spherical k-means over the hashed words of all documents. Each document's vector is written
 once, in whole numbers; a round sums vectors by nearest centre where they are read and merges the sums by
@@ -38,8 +40,8 @@ TEMPER = 0.7
 #: Share of all tokens to keep, at most.
 BUDGET = 0.8
 SEED = 20_240_611
-#: Raking: rounds at most, and the relative error of a marginal at which it ends.
-RAKES, CLOSE = 50, 1e-6
+#: Raking: rounds at most, the error of a marginal's share at which it ends, and the one that is told of.
+RAKES, CLOSE, MISSED = 50, 1e-6, 1e-3
 #: Up to so many cells (under 200 bytes each) are raked on the driver and broadcast; beyond, raking and the join are distributed.
 LOCAL_CELLS = 100_000
 
@@ -154,92 +156,93 @@ def measured(ws: Workspace, docs: DataFrame) -> DataFrame:
 # --- raking ----------------------------------------------------------------------------------
 
 
-def tempered(shares: pd.Series, power: float = TEMPER) -> pd.Series:
-    out = shares**power
-    return out / out.sum()
+def tempered(shares: pd.Series, budget: float = BUDGET, power: float = TEMPER) -> pd.Series:
+    """shares to a power, in proportion, none over 1 / budget times what it was."""
+    most, lifted = shares / budget, shares**power
+    full = pd.Series(False, shares.index)
+    while True:
+        rest = lifted.where(~full, 0.0)
+        out = most.where(full, rest * ((1 - most[full].sum()) / rest.sum()) if rest.sum() > 0 else 0.0)
+        over = ~full & (out > most * (1 + 1e-12))
+        if not over.any():
+            return out
+        full |= over
+
+
+def targets_of(shares: pd.Series, given: dict | None, budget: float) -> pd.Series:
+    """The shares to reach of a marginal's values; given: of values to shares, those that aren't there left out."""
+    if given is None:
+        return tempered(shares, budget)
+    want = pd.Series([float(given.get(v, 0.0)) for v in shares.index], shares.index)
+    return want / want.sum() if want.sum() > 0 else shares
 
 
-def rake(cells: pd.DataFrame, targets: dict[str, dict]) -> pd.DataFrame:
-    """cells (AXES, tokens > 0) with `weight`, whose sums by axis are the targets' shares.
+def to_keep(budget: float, marginals: list[tuple[pd.Series, pd.Series]]) -> float:
+    """The share of all tokens to keep: the budget, or what the scarcest value of (shares, targets) allows."""
+    return min([budget, *(float((have[want > 0] / want[want > 0]).min()) for have, want in marginals if (want > 0).any())])
 
-    targets: axis to value to share; values that no cell has are left out, and shares are taken in proportion.
-    An axis without targets is tempered. Values of a given axis without a share get none.
+
+def rake(cells: pd.DataFrame, targets: dict[str, dict], budget: float) -> pd.DataFrame:
+    """cells (AXES, tokens > 0) with `weight`, whose sums by axis are the targets' shares, and `probability`, at most 1.
+
+    targets: axis to value to share; an axis without targets is tempered. Values of a given axis without a share get none.
     """
     cells = cells.sort_values(list(AXES)).reset_index(drop=True)
-    weight = (cells["tokens"] / cells["tokens"].sum()).to_numpy(float) if len(cells) else np.zeros(0)
+    if not len(cells):
+        return cells.assign(weight=0.0, probability=0.0)
+    own = (cells["tokens"] / cells["tokens"].sum()).to_numpy(float)
     axes = []
     for a in AXES:
         codes, values = pd.factorize(cells[a], sort=True)
-        own = pd.Series(np.bincount(codes, weight, len(values)), values)
-        want = pd.Series([float(targets[a].get(v, 0.0)) for v in values], values) if a in targets else tempered(own)
-        if want.sum() <= 0:
-            want = own
-        axes.append((codes, (want / want.sum()).to_numpy()))
+        have = pd.Series(np.bincount(codes, own, len(values)), values)
+        axes.append((codes, have, targets_of(have, targets.get(a), budget)))
+    total = to_keep(budget, [(have, want) for _, have, want in axes])
+    kept = own * total
     for _ in range(RAKES):
         worst = 0.0
-        for codes, want in axes:
-            have = np.bincount(codes, weight, len(want))
-            worst = max(worst, float(np.abs(have - want).max()) if len(want) else 0.0)
-            weight = weight * np.where(have > 0, want / np.where(have > 0, have, 1), 0)[codes]
+        for codes, _, want in axes:
+            have, goal = np.bincount(codes, kept, len(want)), want.to_numpy() * total
+            worst = max(worst, float(np.abs(have - goal).max()) / total)
+            kept = np.minimum(own, kept * np.where(have > 0, goal / np.where(have > 0, have, 1), 0)[codes])
         if worst < CLOSE:
             break
     else:
         _warn(worst)
-    return cells.assign(weight=weight)
-
+    return cells.assign(weight=kept / kept.sum(), probability=kept / own)
 
-def calibrated(ratio: np.ndarray, tokens: np.ndarray, budget: float) -> float:
-    """The largest c for which no probability c * ratio is over 1 and `budget` tokens at most are expected."""
-    expected, most = float((ratio * tokens).sum()), float(ratio.max(initial=0.0))
-    return min(budget / expected, 1 / most) if expected > 0 else 0.0
 
-
-def probabilities(cells: pd.DataFrame, targets: dict[str, dict], budget: float) -> pd.DataFrame:
-    """AXES, weight (the cell's raked share) and probability, whose expected tokens are shared as the weights are."""
-    cells = rake(cells, targets)
-    tokens = cells["tokens"].to_numpy()
-    ratio = cells["weight"].to_numpy() / np.maximum(tokens, 1) if len(cells) else np.zeros(0)
-    c = calibrated(ratio, tokens, budget * tokens.sum()) if len(cells) else 0.0
-    return cells.assign(probability=np.minimum(1.0, c * ratio))
+def _warn(worst: float) -> None:
+    if worst > MISSED:
+        warnings.warn(f"after {RAKES} rounds of raking a marginal misses its target by {worst:.3g}: no sample meets all of them", stacklevel=3)
 
 
 def rake_distributed(ws: Workspace, cells: DataFrame, targets: dict[str, dict], budget: float) -> DataFrame:
-    """What `probabilities` gives, for more cells than a driver should hold. Only sums come to the driver."""
+    """What `rake` gives, for more cells than a driver should hold: marginals come to the driver, cells don't."""
     spark = ws.spark
-    total = cells.agg(F.sum("tokens")).first()[0] or 0
-    cells = ws.write(cells.withColumn("weight", F.col("tokens") / F.lit(float(total or 1))), "cells")
-    wants = []
+    total_tokens = float(cells.agg(F.sum("tokens")).first()[0] or 1)
+    cells = cells.withColumn("own", F.col("tokens") / F.lit(total_tokens))
+    marginals = {}
     for a in AXES:
-        have = cells.groupBy(a).agg(F.sum("weight").alias("have"))
-        if a in targets:
-            given = spark.createDataFrame([(k, float(v)) for k, v in targets[a].items()], have.select(a, F.col("have").alias("want")).schema)
-            want = have.join(given, a, "left").withColumn("want", F.coalesce("want", F.lit(0.0)))
-        else:
-            want = have.withColumn("want", F.pow("have", F.lit(TEMPER)))
-        want = ws.write(want, "want")
-        share, all_ = (x or 0.0 for x in want.agg(F.sum("want"), F.sum("have")).first())
-        wants.append(want.select(a, (F.col("want") / share if share > 0 else F.col("have") / (all_ or 1.0)).alias("want")))
+        have = cells.groupBy(a).agg(F.sum("own").alias("have")).toPandas().set_index(a)["have"].sort_index()
+        marginals[a] = have, targets_of(have, targets.get(a), budget)
+    total = to_keep(budget, list(marginals.values()))
+    wants = {a: spark.createDataFrame([(k, float(v) * total) for k, v in want.items()], cells.select(a, F.col("own").alias("goal")).schema) for a, (_, want) in marginals.items()}
+    cells = ws.write(cells.withColumn("kept", F.col("own") * total), "cells")
     for _ in range(RAKES):
         worst = 0.0
-        for a, want in zip(AXES, wants, strict=True):
-            scale = ws.write(cells.groupBy(a).agg(F.sum("weight").alias("have")).join(want, a), "scale")
-            worst = max(worst, scale.agg(F.max(F.abs(F.col("have") - F.col("want")))).first()[0] or 0.0)
-            factor = scale.select(a, F.when(F.col("have") > 0, F.col("want") / F.col("have")).otherwise(0.0).alias("_s"))
-            new = ws.write(cells.join(factor, a).withColumn("weight", F.col("weight") * F.col("_s")).drop("_s"), "cells")
+        for a in AXES:
+            scale = ws.write(cells.groupBy(a).agg(F.sum("kept").alias("have")).join(wants[a], a), "scale")
+            worst = max(worst, (scale.agg(F.max(F.abs(F.col("have") - F.col("goal")))).first()[0] or 0.0) / total)
+            factor = scale.select(a, F.when(F.col("have") > 0, F.col("goal") / F.col("have")).otherwise(0.0).alias("factor"))
+            new = ws.write(cells.join(factor, a).withColumn("kept", F.least("own", F.col("kept") * F.col("factor"))).drop("factor"), "cells")
             ws.done(cells, scale)
             cells = new
         if worst < CLOSE:
             break
     else:
         _warn(worst)
-    cells = cells.withColumn("ratio", F.col("weight") / F.greatest("tokens", F.lit(1)))
-    expected, most = cells.agg(F.sum(F.col("ratio") * F.col("tokens")), F.max("ratio")).first()
-    c = min(budget * total / expected, 1 / most) if expected else 0.0
-    return ws.write(cells.select(*AXES, "tokens", "weight", F.least(F.lit(1.0), F.col("ratio") * c).alias("probability")), "probabilities")
-
-
-def _warn(worst: float) -> None:
-    warnings.warn(f"after {RAKES} rounds of raking a marginal still misses its target by {worst:.3g}: the targets can't all be met", stacklevel=3)
+    sum_ = float(cells.agg(F.sum("kept")).first()[0] or 1)
+    return ws.write(cells.select(*AXES, (F.col("kept") / sum_).alias("weight"), (F.col("kept") / F.col("own")).alias("probability")), "probabilities")
 
 
 def draw(*key: Column) -> Column:
@@ -260,11 +263,11 @@ def mix(spark: SparkSession, docs: DataFrame, *, targets: dict[str, dict] | None
     m = measured(ws, docs)
     cells = ws.write(m.where("tokens > 0").groupBy(*AXES).agg(F.sum("tokens").alias("tokens")), "cells")
     if cells.limit(local_cells + 1).count() <= local_cells:
-        found = probabilities(cells.toPandas(), targets, budget)
+        found = rake(cells.toPandas(), targets, budget)
         rows = [(r.source, r.lang, int(r.topic), float(r.weight), float(r.probability)) for r in found.itertuples(index=False)]
         table = F.broadcast(spark.createDataFrame(rows, "source string, lang string, topic int, weight double, probability double"))
     else:
-        table = rake_distributed(ws, cells, targets, budget).drop("tokens")
+        table = rake_distributed(ws, cells, targets, budget)
     m = m.join(table, list(AXES), "left").withColumn("draw", draw(F.col("doc_id")))
     zero = lambda c: F.when(F.col("tokens") > 0, F.coalesce(c, F.lit(0.0))).otherwise(0.0).alias(c)
     m = m.select("doc_id", "row", *AXES, "tokens", zero("weight"), zero("probability"), "draw")
