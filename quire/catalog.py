@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import books
+from . import books, headings
 from . import oracles as O
 from .functions import numbers as N
 from .functions import predicates as P
@@ -188,12 +188,6 @@ def title_predicates(spark: SparkSession, sf: str) -> DataFrame:
     return both.select("doc_id", P.is_marker_only(t).alias("marker_only"), P.has_structural_marker(t).alias("marker"), P.is_toc_listing(t).alias("listing"), P.is_visual_caption(t).alias("visual"), P.is_probable_non_heading(t).alias("non_heading"))
 
 
-@_query()
-def heading_vetoes(spark: SparkSession, sf: str) -> DataFrame:
-    t = F.col("text")
-    return doc_lines(spark, sf).select("doc_id", "line_index", P.is_noise(t).alias("noise"), P.is_bad_heading(t).alias("bad_heading"), P.is_page_marker(t).alias("page_marker"), P.is_formula_or_corrupt(t).alias("formula"))
-
-
 @_query("""SELECT a.p_partkey, (abs(a.p_size - b.p_size) + abs(a.p_size - b.p_size) * 8.0 + abs(a.p_size - b.p_size) * 0.08)::DOUBLE + CASE WHEN a.p_size % 2 <> b.p_size % 2 THEN 2.0 ELSE 0.0 END
   + CASE WHEN a.p_type <> b.p_type THEN 1.0 ELSE 0.0 END AS distance0 FROM part a JOIN part b ON b.p_partkey = a.p_partkey + 1""".join(("SELECT p_partkey, round(distance0, 4) AS distance FROM (", ")")))
 def style_distances(spark: SparkSession, sf: str) -> DataFrame:
@@ -361,12 +355,6 @@ def greedy_dedupe(spark: SparkSession, sf: str) -> DataFrame:
     return toc.near_page_duplicates(toc_rows(spark, sf))
 
 
-@_query()
-def limited_levels(spark: SparkSession, sf: str) -> DataFrame:
-    ship(spark)
-    return toc.limit_level_jumps(toc_rows(spark, sf)).select("doc_id", "pos", "level")
-
-
 @_query(O.query(f"""SELECT doc_id, pos, chapter, page, tier, source_order, line_text FROM (SELECT t.doc_id, t.pos, t.chapter, 1 AS page, CASE WHEN a = w THEN 5 WHEN prefix(w, a) THEN 4 WHEN contains(w, a) THEN 3 WHEN length(w) >= 4 AND contains(a, w) THEN 2 END AS tier, l.source_order, l.text AS line_text,
     row_number() OVER (PARTITION BY t.doc_id, t.pos ORDER BY CASE WHEN a = w THEN 5 WHEN prefix(w, a) THEN 4 WHEN contains(w, a) THEN 3 WHEN length(w) >= 4 AND contains(a, w) THEN 2 ELSE 0 END DESC, abs(length(a) - length(w)), l.source_order) AS rn
   FROM (SELECT doc_id, source_order AS pos, text AS chapter, {O.norm("text")} AS a FROM html_lines WHERE tag = 'h1') t JOIN (SELECT *, {O.norm("text")} AS w FROM html_lines WHERE tag <> 'h1') l USING (doc_id) WHERE w <> '' AND a <> '') WHERE rn = 1 AND tier IS NOT NULL""", O.HTML_LINES))
@@ -478,8 +466,8 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return _QUERIES | books.QUERIES
+    return _QUERIES | books.QUERIES | headings.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return _SQL | books.SQL
+    return _SQL | books.SQL | headings.SQL

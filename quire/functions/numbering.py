@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import clean_text, compact_text
+from .text import clean_text, compact_text, let
 
 #: Shapes in order of precedence; groups are the number and the body.
 KO = r"^제\s*(\d+)\s*(편|부|장|절)\s*(.*)$"
 DECIMAL = r"^(\d+(?:\.\d+){1,5})\.?\s*(\S.*)$"
 SHAPES = [("arabic_dot", r"^(\d{1,2})\.\s*(\S.*)$", "%s."), ("arabic_paren_wrap", r"^\((\d{1,2})\)\s*(\S.*)$", "(%s)"), ("arabic_paren", r"^(\d{1,2})\)\s*(\S.*)$", "%s)"), ("bare_number", r"^(\d{1,2})\s+(\S.*)$", "%s")]
+#: Numbers alone on a line.
+DECIMAL_ALONE = r"^(\d+(?:\.\d+){1,5})\.?$"
+PREFIXES = [("arabic_paren", r"^(\d{1,2})\)$", "%s)", None), ("arabic_paren_wrap", r"^\((\d{1,2})\)$", "(%s)", None), ("arabic_dot", r"^(\d{1,2})\.$", "%s.", 3)]
 KO_STYLE = {"편": ("ko_part", 1), "부": ("ko_part", 1), "장": ("ko_chapter", 2), "절": ("ko_section", 3)}
 
 
@@ -20,7 +23,10 @@ def _info(style: Column, number: Column, text: Column, body: Column, level: Colu
 
 def number_info(text: Column) -> Column:
     """struct<style, number, number_text, body, level> of the first shape that fits, its fields null if none does."""
-    t = clean_text(text)
+    return let(clean_text(text), _number_info)
+
+
+def _number_info(t: Column) -> Column:
     g = lambda p, i: F.regexp_extract(t, p, i)
     none = F.lit(None)
     out = _info(none.cast("string"), none, none.cast("string"), none.cast("string"), none)
@@ -38,24 +44,49 @@ def number_info(text: Column) -> Column:
 
 def label_level(text: Column) -> Column:
     """Level of a part, chapter or section label."""
-    n = number_info(text)
-    return F.when(n["style"].startswith("ko_"), n["level"])
+    return let(number_info(text), lambda n: F.when(n["style"].startswith("ko_"), n["level"]))
 
 
 def label_kind(text: Column) -> Column:
     return F.nullif(F.regexp_extract(compact_text(text), r"^제\d+(편|부|장|절)$", 1), F.lit(""))
 
 
-def numbered_level(text: Column, max_depth: int = 6) -> Column:
-    """The level that the numbering alone decides, clamped; else null."""
-    n = number_info(text)["level"]
-    return F.when(n.isNotNull(), F.greatest(F.lit(1), F.least(n, F.lit(max_depth))))
+def prefix_info(text: Column) -> Column:
+    """struct<style, number_text, level> of a line that is a number alone; its fields null if it isn't."""
+    return let(clean_text(text), _prefix_info)
+
+
+def _prefix_info(t: Column) -> Column:
+    none = F.lit(None)
+    g = lambda p: F.regexp_extract(t, p, 1)
+    row = lambda style, number, level: F.struct(style.alias("style"), number.alias("number_text"), level.cast("int").alias("level"))
+    out = row(none.cast("string"), none.cast("string"), none)
+    for style, shape, form, level in PREFIXES:
+        out = F.when(t.rlike(shape), row(F.lit(style), F.format_string(form, g(shape).try_cast("int").cast("string")), F.lit(level))).otherwise(out)
+    dots = F.char_length(g(DECIMAL_ALONE)) - F.char_length(F.replace(g(DECIMAL_ALONE), F.lit("."), F.lit("")))
+    return F.when(t.rlike(DECIMAL_ALONE), row(F.concat(F.lit("arabic_decimal_"), dots.cast("string")), g(DECIMAL_ALONE), F.least(3 + dots, F.lit(6)))).otherwise(out)
+
+
+def fixed_level(text: Column, max_depth: int = 6) -> Column:
+    """The level that the shape of the number decides, clamped; null for bare numbers and those with a bracket."""
+    level = lambda n: F.greatest(F.lit(1), F.least(n["level"], F.lit(max_depth)))
+    return let(number_info(text), lambda n: F.when(n["level"].isNotNull() & ~n["style"].isin("bare_number", "arabic_paren"), level(n)))
+
+
+def numbered_level(text: Column) -> Column:
+    """fixed_level of what isn't vetoed as a heading."""
+    from .predicates import is_bad_heading
+
+    return F.when(~is_bad_heading(text), fixed_level(text))
 
 
 def is_numbered(text: Column) -> Column:
-    from .predicates import is_bad_numbered_fragment
+    """Whether a heading's number is one: not bare, and neither a reference, a page mark, a formula nor a bad fragment."""
+    from .predicates import is_bad_numbered_fragment, is_formula_or_corrupt, is_page_marker, is_reference_heading, is_reference_item
 
-    return number_info(text)["style"].isNotNull() & ~is_bad_numbered_fragment(text)
+    style = number_info(text)["style"]
+    vetoed = is_reference_heading(text) | is_reference_item(text) | is_page_marker(text) | is_formula_or_corrupt(text) | is_bad_numbered_fragment(text)
+    return F.coalesce(style != "bare_number", F.lit(False)) & ~vetoed
 
 
 def decimal_path(title: Column) -> Column:

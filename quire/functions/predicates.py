@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import clean_text, compact_text, norm_key, strip_wrappers
+from .text import clean_text, compact_text, let, norm_key, strip_wrappers
 
 #: Words and shapes of the documents that the predicates know.
 FRONT_WORDS = ["차례", "목차", "contents"]
 BACK_WORDS = ["찾아보기", "색인", "index"]
 REFERENCE_WORDS = ["참고문헌", "references", "reference", "bibliography", "literaturecited"]
 QUESTION_WORDS = ["설명하시오", "제시하시오", "기술하시오", "정의하시오", "제안하시오", "나열할수있다", "설명할수있다", "비교하시오", "요약하시오", "알아보자"]
+PROGRAM_TITLES = ["untitled", "document", "microsoftword", "hwp", "hwpx"]
+PARTICLES = ["과", "와", "및", "의", "에", "로", "으로"]
+LONE_MARKS = ["「", "」", "『", "』", "(", ")", "-", "–", "—"]
 COVER_NOISE = ["preventivemedicineandpublichealth"]
 ROMAN = r"[ivxlcdm]{1,12}"
 DOTS = r"[∙·•ㆍ\-–—]*"
@@ -120,40 +123,80 @@ def is_number_prefix_only(text: Column) -> Column:
 
 
 def is_noise(text: Column) -> Column:
-    t = clean_text(text)
-    dropped = is_page_marker(text) | is_formula_or_corrupt(text) | t.rlike(r"^[\d\s\-–—_.·•∙ㆍ|/\\]+$") | t.rlike(r"(?i)^https?://|^www\.|^[\w.\-]+@[\w.\-]+$")
-    return (t == "") | (~is_number_prefix_only(text) & dropped)
+    def noise(t: Column) -> Column:
+        dropped = is_page_marker(t) | is_formula_or_corrupt(t) | t.rlike(r"^[\d\s\-–—_.·•∙ㆍ|/\\]+$") | t.rlike(r"(?i)^https?://|^www\.|^[\w.\-]+@[\w.\-]+$")
+        return (t == "") | (~is_number_prefix_only(t) & dropped)
+
+    return let(clean_text(text), noise)
 
 
 def is_bad_heading(text: Column) -> Column:
     """Any of the vetoes on a heading's text."""
+    return let(clean_text(text), lambda t: let(_number_of(t), lambda n: _is_bad_heading(t, n)))
+
+
+def _number_of(t: Column) -> Column:
     from .numbering import number_info
 
-    t, key, style = clean_text(text), norm_key(text), number_info(text)["style"]
-    question = F.lit(False)
-    for w in QUESTION_WORDS:
-        question = question | key.contains(w)
-    plain = ~F.coalesce(style.isin("arabic_paren", "arabic_dot", "bare_number"), F.lit(False))
+    return number_info(t)
+
+
+def _is_bad_heading(t: Column, n: Column) -> Column:
+    question = lambda key: F.exists(F.array(*[F.lit(w) for w in QUESTION_WORDS]), lambda w: key.contains(w))
+    plain = ~F.coalesce(n["style"].isin("arabic_paren", "arabic_dot", "bare_number"), F.lit(False))
     return (
-        (F.char_length(compact_text(text)) <= 1) | is_number_prefix_only(text) | key.isin(COVER_NOISE) | question | is_front_back_title(text) | is_page_marker(text)
-        | is_reference_heading(text) | is_reference_item(text) | is_bad_numbered_fragment(text) | is_formula_or_corrupt(text)
+        (F.char_length(compact_text(t)) <= 1) | is_number_prefix_only(t) | let(norm_key(t), lambda key: key.isin(COVER_NOISE) | question(key)) | is_front_back_title(t) | is_page_marker(t)
+        | is_reference_heading(t) | is_reference_item(t) | _is_bad_fragment(n) | is_formula_or_corrupt(t)
         | (plain & t.rlike(r"^[\d.,:/()%\[\]{}+\-\s]+$")) | t.rlike(r"^\([A-Za-z\s\-]{1,60}\)$")
     )
 
 
 def is_bad_numbered_fragment(text: Column) -> Column:
-    """Numbered, but with nothing after the number that could be a heading."""
-    from .numbering import number_info
+    """Numbered, but with nothing after the number that could be a heading; a part, chapter or section label may stand alone."""
+    return let(_number_of(text), _is_bad_fragment)
+
+
+def _is_bad_fragment(n: Column) -> Column:
+    style = F.coalesce(n["style"], F.lit(""))
+
+    def bad(body: Column) -> Column:
+        short = F.char_length(compact_text(body)) <= 1
+        marks = (style != "arabic_paren") & body.rlike(r"^[\d.,:/()%\[\]{}+\-\s]+$")
+        return ~(style.startswith("ko_") & (body == "")) & (short | is_reference_heading(body) | is_page_marker(body) | is_formula_or_corrupt(body) | marks)
+
+    return (style != "") & let(clean_text(F.coalesce(n["body"], F.lit(""))), bad)
+
+
+def is_lone_number_fragment(text: Column) -> Column:
+    """What is left of a bracketed number that found no title: a year or a single mark."""
+    lone = lambda body: body.rlike(r"^\d{1,4}$") | body.isin(LONE_MARKS)
+    return let(_number_of(text), lambda n: F.coalesce(n["style"] == "arabic_paren", F.lit(False)) & let(compact_text(F.coalesce(n["body"], F.lit(""))), lone))
 
-    n = number_info(text)
-    body = F.coalesce(n["body"], F.lit(""))
-    bad = (F.char_length(compact_text(body)) <= 1) | is_reference_heading(body) | is_page_marker(body) | body.rlike(r"^[\d.,:/()%\[\]{}+\-\s]+$") | is_formula_or_corrupt(body)
-    return F.coalesce(n["style"].isNotNull() & ~F.coalesce(n["style"].startswith("ko_"), F.lit(False)) & bad, F.lit(False))
 
+def _goes_on(text: Column) -> Column:
+    """Whether a text ends as one that goes on: in a particle or an open bracket."""
+    count = lambda ch: F.char_length(text) - F.char_length(F.replace(text, F.lit(ch), F.lit("")))
+    return text.rlike(f"(?:{'|'.join(PARTICLES)})$") | (count("(") > count(")"))
 
-def is_bad_metadata_title(title: Column) -> Column:
-    t = F.lower(clean_text(title))
-    return (t == "") | t.rlike(r"untitled|제목\s*없음") | t.rlike(r"\.(?:hwp|docx?|pdf|indd|qxd)$") | t.rlike(r"^[0-9a-f]{16,}$")
+
+def merges_after_number(text: Column) -> Column:
+    """Whether a numbered line's title goes on in the next line."""
+    goes = lambda body: (body != "") & ((F.char_length(body) <= 8) | _goes_on(body))
+    return let(_number_of(text), lambda n: F.coalesce(n["style"].isin("arabic_paren", "arabic_dot", "bare_number"), F.lit(False)) & let(compact_text(F.coalesce(n["body"], F.lit(""))), goes))
+
+
+def merges_after_plain(text: Column) -> Column:
+    """Whether an unnumbered title goes on in the next line."""
+    return _number_of(text)["style"].isNull() & ~is_bad_heading(text) & let(compact_text(text), lambda t: (F.char_length(t) >= 4) & _goes_on(t))
+
+
+def is_bad_metadata_title(title: Column, stem: Column) -> Column:
+    """No title, one of a program, a file's name or a hash."""
+    t, key = clean_text(title), norm_key(title)
+    return (
+        (t == "") | (key == norm_key(stem)) | key.isin(PROGRAM_TITLES) | t.rlike(r"^<[A-Fa-f0-9]{10,}(?:\.[A-Za-z0-9]+)?>$") | t.rlike(r"^[A-Fa-f0-9]{12,}(?:\.[A-Za-z0-9]+)?$")
+        | t.rlike(r"(?i)^[A-Za-z0-9_\-]{20,}\.(?:hwp|hwpx|doc|docx|pdf)$") | is_formula_or_corrupt(title)
+    )
 
 
 def is_complete_toc(path: Column) -> Column:
@@ -183,6 +226,28 @@ def style_near(font: Column, ratio: Column, known_font: Column, known_ratio: Col
     return (f & (r | known_ratio.isNull())) | (r & (f | known_font.isNull()))
 
 
-def is_merge_truncated(out_max: Column, source_max: Column, kept: Column, count: Column) -> Column:
-    """Whether a merged table of contents lost its tail: pages missing at the end, or most of many entries."""
-    return ((source_max - out_max >= 10) & (count - kept >= 3)) | ((count >= 50) & (kept * 5 < count))
+def is_merge_truncated(out_max: Column, out_count: Column, source_max: Column, source_count: Column, source_after: Column) -> Column:
+    """Whether a merged table lost its tail: out_* are its last page and entries, source_* those of the partial tables,
+    source_after the entries of theirs beyond out_max + 3."""
+    some = (source_count > 0) & out_max.isNotNull() & source_max.isNotNull()
+    tail = (source_max - out_max >= 10) & (source_after >= 3)
+    few = (source_count >= 50) & (out_count < F.greatest(F.lit(10), F.floor(source_count / 5))) & (source_max - out_max >= 5)
+    return F.coalesce(some & (tail | few), F.lit(False))
+
+
+def has_heading_marker(title: Column) -> Column:
+    """Whether a title begins with a chapter's mark or number."""
+    return clean_text(title).rlike(r"(?iU)^(?:chapter|part|section|unit)\s*\d+[A-Za-z]?\b|^제\s*\d+\s*[장절편부]\b|^\d+(?:\.\d+)*\s*[.)]\s*|^\d+\s+제\s*장\b")
+
+
+def is_generic_title(title: Column, fallback: Column) -> Column:
+    """Empty, the file's own name, or a word for a table of contents."""
+    key = F.lower(compact_text(title))
+    return (key == "") | (key == F.lower(compact_text(fallback))) | key.isin("documenttitle", "tableofcontents", "toc", "contents", "목차", "차례")
+
+
+def is_title_like(title: Column, font: Column, ratio: Column, bold: Column, italic: Column) -> Column:
+    """Whether a line could be a title by its style or its mark, and is neither body text nor a caption nor long."""
+    scale, size = F.coalesce(F.nullif(ratio, F.lit(0.0)), F.lit(1.0)), F.coalesce(font, F.lit(0.0))
+    styled = (scale >= 1.12) | (size >= 14.0) | F.coalesce(bold != 0, F.lit(False)) | F.coalesce(italic != 0, F.lit(False)) | (has_structural_marker(title) & (scale >= 1.05))
+    return ~is_probable_non_heading(title) & ~is_ancillary(title) & (F.char_length(clean_text(title)) <= 140) & styled

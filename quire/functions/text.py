@@ -16,6 +16,11 @@ WRAPPERS = "｜|[](){}<>〈〉「」『』·•∙ㆍ-–— "
 RUNNING = r"[∙·ㆍ.\-–—|:]"
 
 
+def let(value: Column, body) -> Column:
+    """body(v) with v bound to value, which is computed once and stands once in the plan."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _text(c: Column | str) -> Column:
     return F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(""))
 

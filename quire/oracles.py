@@ -126,3 +126,77 @@ def title_score(t: str, w: str, text: str, font: str, ratio: str, y: str) -> str
         f"- CASE WHEN {t} <> {w} AND ({cover}) < 0.5 THEN 100.0 ELSE 0.0 END", f"- CASE WHEN length({w}) < greatest(4, floor(length({t}) * 0.25)) THEN 25.0 ELSE 0.0 END",
     ]
     return f"CASE WHEN length({t}) > 0 AND length({w}) > 0 AND ({cover}) >= 0.25 THEN ({' + '.join(parts).replace('+ -', '-')})::DOUBLE END"
+
+
+WRAPPERS = "｜|[](){}<>〈〉「」『』·•∙ㆍ-–— "
+DOTS, ROMAN = r"[∙·•ㆍ\-–—]*", r"[ivxlcdm]{1,12}"
+USEFUL = r"[^A-Za-z0-9\x{AC00}-\x{D7A3}\x{3130}-\x{318F}\x{1100}-\x{11FF}\x{4E00}-\x{9FFF}.,:;!?()\[\]{}+\-/%·ㆍ]"
+QUESTIONS = ["설명하시오", "제시하시오", "기술하시오", "정의하시오", "제안하시오", "나열할수있다", "설명할수있다", "비교하시오", "요약하시오", "알아보자"]
+KO = r"^제\s*(\d+)\s*(편|부|장|절)\s*(.*)$"
+DECIMAL = r"^(\d+(?:\.\d+){1,5})\.?\s*(\S.*)$"
+BRACKETS = {"arabic_dot": (r"^(\d{1,2})\.\s*(\S.*)$", "{n} || '.'"), "arabic_paren_wrap": (r"^\((\d{1,2})\)\s*(\S.*)$", "'(' || {n} || ')'"), "arabic_paren": (r"^(\d{1,2})\)\s*(\S.*)$", "{n} || ')'"), "bare_number": (r"^(\d{1,2})\s+(\S.*)$", "{n}::VARCHAR")}
+
+
+def strings(values) -> str:
+    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
+def page_marker(c: str) -> str:
+    """Of cleaned text."""
+    k = f"lower(replace({c}, ' ', ''))"
+    return f"({k} NOT IN ('차례', '목차', 'contents', '찾아보기', '색인', 'index') AND ({like(k, f'^{DOTS}(?:{ROMAN}|[0-9]{{1,4}}){DOTS}$')} OR {like(k, f'^(?:{ROMAN})?{DOTS}(?:차례|목차|찾아보기|색인){DOTS}(?:{ROMAN})?$')}))"
+
+
+def formula(c: str) -> str:
+    t = f"replace({c}, ' ', '')"
+    return f"({t} = '' OR {like(t, '[\\p{C}]')} OR {like(t, '[=＋+÷×∑√≤≥≠≒∞]')} OR (length({t}) >= 3 AND length({sub(t, USEFUL)}) / length({t}) < 0.35))"
+
+
+def reference_heading(c: str) -> str:
+    return f"(lower(replace(trim({c}, '{WRAPPERS}'), ' ', '')) IN ('참고문헌', 'references', 'reference', 'bibliography', 'literaturecited'))"
+
+
+def reference_item(c: str) -> str:
+    return f"({like(c, r'^\d+\.\s*[A-Z][A-Za-z0-9\-]{1,30}\.?$')} OR {like(c, r'(?i)^\d+\.\s*[A-Z][A-Za-z\-]{1,30}\s+et\s+al\.?,?$')})"
+
+
+def numbered(source: str, name: str = "v") -> str:
+    """CTEs ending in `name`: the rows of source with c (cleaned text), k (compact), nk (norm key), style, number_text, body and level of the number, and the vetoes."""
+    style = f"CASE WHEN {like('c', KO)} THEN CASE regexp_extract(c, '{KO}', 2) WHEN '장' THEN 'ko_chapter' WHEN '절' THEN 'ko_section' ELSE 'ko_part' END WHEN {like('c', DECIMAL)} THEN 'arabic_decimal_' || dots"
+    text = f"CASE WHEN {like('c', KO)} THEN '제' || regexp_extract(c, '{KO}', 1)::INT || regexp_extract(c, '{KO}', 2) WHEN {like('c', DECIMAL)} THEN regexp_extract(c, '{DECIMAL}', 1)"
+    body = f"CASE WHEN {like('c', KO)} THEN regexp_extract(c, '{KO}', 3) WHEN {like('c', DECIMAL)} THEN regexp_extract(c, '{DECIMAL}', 2)"
+    level = f"CASE WHEN {like('c', KO)} THEN CASE regexp_extract(c, '{KO}', 2) WHEN '장' THEN 2 WHEN '절' THEN 3 ELSE 1 END WHEN {like('c', DECIMAL)} THEN least(3 + dots, 6)"
+    for s, (p, form) in BRACKETS.items():
+        style += f" WHEN {like('c', p)} THEN '{s}'"
+        text += f" WHEN {like('c', p)} THEN " + form.format(n=f"regexp_extract(c, '{p}', 1)::INT")
+        body += f" WHEN {like('c', p)} THEN regexp_extract(c, '{p}', 2)"
+        level += f" WHEN {like('c', p)} THEN " + ("3" if s == "arabic_dot" else "NULL")
+    dots = f"length(regexp_extract(c, '{DECIMAL}', 1)) - length(replace(regexp_extract(c, '{DECIMAL}', 1), '.', ''))"
+    question = " OR ".join(f"contains(nk, '{q}')" for q in QUESTIONS)
+    on = "(?:과|와|및|의|에|로|으로)$"
+    opens = lambda x: f"length({x}) - length(replace({x}, '(', '')) > length({x}) - length(replace({x}, ')', ''))"
+    return f"""
+{name}_0 AS (SELECT *, {clean('text')} AS c FROM {source}),
+{name}_1 AS (SELECT *, replace(c, ' ', '') AS k, {sub('lower(c)', SEPARATORS)} AS nk, {dots} AS dots FROM {name}_0),
+{name}_2 AS (SELECT *, {style} END AS style, {text} END AS number_text, trim({body} END) AS body, ({level} END)::INT AS num_level FROM {name}_1),
+{name}_3 AS (SELECT *, {like('c', r'^(?:\d+(?:\.\d+){1,5}\.?|\d{1,2}\.|\(\d{1,2}\)|\d{1,2}\))$')} AS alone, {page_marker('c')} AS page_mark, {formula('c')} AS formula, {reference_heading('c')} AS ref_head, {reference_item('c')} AS ref_item,
+  lower(k) IN ('차례', '목차', 'contents', '찾아보기', '색인', 'index') AS front_back,
+  coalesce(style IS NOT NULL AND NOT (style LIKE 'ko%' AND replace(body, ' ', '') = '') AND (length(replace(body, ' ', '')) <= 1 OR {reference_heading('body')} OR {page_marker('body')} OR {formula('body')} OR (style <> 'arabic_paren' AND {like('body', r'^[\d.,:/()%\[\]{}+\-\s]+$')})), false) AS bad_fragment FROM {name}_2),
+{name}_4 AS (SELECT *, length(k) <= 1 OR alone OR nk = 'preventivemedicineandpublichealth' OR {question} OR front_back OR page_mark OR ref_head OR ref_item OR bad_fragment OR formula
+    OR (coalesce(style NOT IN ('arabic_paren', 'arabic_dot', 'bare_number'), true) AND {like('c', r'^[\d.,:/()%\[\]{}+\-\s]+$')}) OR {like('c', r'^\([A-Za-z\s\-]{1,60}\)$')} AS bad,
+  c = '' OR (NOT alone AND (page_mark OR formula OR {like('c', r'^[\d\s\-–—_.·•∙ㆍ|/\\]+$')} OR {like('c', r'(?i)^https?://|^www\.|^[\w.\-]+@[\w.\-]+$')})) AS noise,
+  coalesce(style <> 'bare_number', false) AND NOT (ref_head OR ref_item OR page_mark OR formula OR bad_fragment) AS is_numbered,
+  coalesce(style = 'arabic_paren' AND (regexp_matches(replace(body, ' ', ''), '^[0-9]{{1,4}}$') OR replace(body, ' ', '') IN ('「', '」', '『', '』', '(', ')', '-', '–', '—')), false) AS lone,
+  coalesce(style IN ('arabic_paren', 'arabic_dot', 'bare_number') AND replace(body, ' ', '') <> '' AND (length(replace(body, ' ', '')) <= 8 OR {like("replace(body, ' ', '')", on)} OR {opens("replace(body, ' ', '')")}), false) AS after_number,
+  nullif(regexp_extract(k, '^제[0-9]+(편|부|장|절)$', 1), '') AS label FROM {name}_3),
+{name} AS (SELECT *, style IS NULL AND NOT bad AND length(k) >= 4 AND ({like('k', on)} OR {opens('k')}) AS after_plain, CASE WHEN num_level IS NOT NULL AND style NOT IN ('bare_number', 'arabic_paren') THEN num_level END AS fixed FROM {name}_4)"""
+
+
+#: Broken headings: numbers alone, labels, cut titles, captions and marks, four lines of each ten near one another.
+_PIECES = ["p_name", "'1.' || (p_size % 9)", "'(' || (p_size % 20) || ')'", "(p_size % 9 + 1) || '.'", "'제' || p_size || '장'", "'제' || p_size || '편'", "p_name || ' 및'", "(p_size % 9) || ') 1960'", "(p_size % 9) || ') ' || p_name || ' (' || p_type", "'References'", "'1.2 ' || p_name || ' ' || p_type || ' ' || p_name || ' and ' || p_name || ' ' || p_type || ' once more for length'", "'Figure ' || p_size || '. ' || p_name", "p_size || '. ' || p_name", "'년대 ' || p_name", "'제' || p_size || '절 ' || p_name", "'3.' || p_size || '.2 ' || p_name", "'- ' || p_size || ' -'", "p_size || ' ' || p_name", "'(' || (p_size % 9 + 1) || ') ' || p_name"]
+PIECES = f"""
+pieces AS (
+  SELECT p_partkey // 40 AS doc_id, p_partkey % 40 AS pos, p_partkey % 40 AS line_index, p_partkey % 40 // 10 + 1 AS page, (10 + p_size % 5)::DOUBLE AS s, p_size % 2 AS b, 0 AS i, (60 + p_size % 3 * 40)::DOUBLE AS x0, (40 + p_partkey % 10 * (20 + p_partkey % 40 // 10 * 30))::DOUBLE AS y0,
+    (200 + p_size)::DOUBLE AS x1, (40 + p_partkey % 10 * (20 + p_partkey % 40 // 10 * 30) + 12)::DOUBLE AS y1, 595.0::DOUBLE AS page_width, (p_size % 11)::DOUBLE AS score, p_size % 6 + 1 AS level,
+    CASE (p_partkey * 7 + p_size) % {len(_PIECES)} {" ".join(f"WHEN {k} THEN {v}" for k, v in enumerate(_PIECES))} END AS text FROM part
+)"""
