@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import books, headings
+from . import books, headings, tables
 from . import oracles as O
 from .functions import numbers as N
 from .functions import predicates as P
@@ -268,27 +268,6 @@ def heading_candidates(spark: SparkSession, sf: str) -> DataFrame:
     return pipelines.heuristic_toc(table(spark, sf, "pages"))
 
 
-_LEARNED = f"""ref AS (SELECT doc_id, source_order AS ref_pos, {O.norm("text")} AS wanted FROM html_lines WHERE tag = 'h1'),
-m AS (SELECT ref.doc_id, ref_pos, l.*  EXCLUDE (doc_id), CASE WHEN a = wanted THEN 4 WHEN contains(a, wanted) THEN 3 WHEN length(a) >= 4 AND suffix(wanted, a) THEN 2 WHEN length(wanted) >= 4 AND suffix(a, wanted) THEN 1 ELSE 0 END AS score, length(a) AS la
-  FROM ref JOIN (SELECT *, {O.norm("text")} AS a FROM html_lines) l USING (doc_id)),
-best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, ref_pos ORDER BY score DESC, la DESC, s DESC, source_order) AS rn FROM m WHERE score > 0) WHERE rn = 1),
-rules AS (SELECT 1 AS level, s, r, b, i, f, min(x) AS x_min, max(x) AS x_max, min(y) AS y_min, max(y) AS y_max, list_sort(list(DISTINCT {O.shape("regexp_extract(text, '\\S+')")})) AS start_shapes, count(*) AS reference_count FROM best GROUP BY s, r, b, i, f)"""
-
-
-@_query(O.query("SELECT level, s, r, b, i, f, x_min, x_max, y_min, y_max, array_to_string(start_shapes, ' ') AS start_shapes, reference_count FROM rules", O.HTML_LINES, _LEARNED))
-def learned_rules(spark: SparkSession, sf: str) -> DataFrame:
-    d = html(spark, sf)
-    reference = d.where("tag = 'h1'").select("doc_id", F.lit(1).alias("level"), F.col("text").alias("chapter"), F.col("source_order").alias("pos"))
-    return toc.learn_rules(reference, d).withColumn("start_shapes", F.array_join("start_shapes", " "))
-
-
-@_query(O.query(f"""SELECT doc_id, 1 AS page, source_order, level, {O.clean("text")} AS chapter FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, {O.norm("text")} ORDER BY source_order) AS rn FROM (
-  SELECT DISTINCT l.doc_id, l.source_order, l.text, r.level FROM html_lines l JOIN rules r ON l.b = r.b AND l.i = r.i AND l.f = r.f AND abs(l.s - r.s) <= 0.02 AND abs(l.r - r.r) <= 0.02
-    AND list_contains(r.start_shapes, {O.shape("regexp_extract(l.text, '\\S+')")}))) WHERE rn = 1""", O.HTML_LINES, _LEARNED))
-def rule_toc(spark: SparkSession, sf: str) -> DataFrame:
-    return pipelines.rule_toc(table(spark, sf, "pages"))
-
-
 # --- tables of contents --------------------------------------------------------------------------
 
 
@@ -330,19 +309,6 @@ def level_corrected(spark: SparkSession, sf: str) -> DataFrame:
     return toc.correct_levels(toc_rows(spark, sf)).select("doc_id", "pos", "chapter", "level", "corrected")
 
 
-@_query(O.query("""SELECT doc_id, pos, level, mf AS median_font, coalesce(abs(font_size - mf) > 2, false) OR coalesce(abs(size_ratio - mr) > 0.2, false) AS outlier
-  FROM toc JOIN (SELECT doc_id, level, median(font_size) AS mf, median(size_ratio) AS mr FROM toc GROUP BY ALL) USING (doc_id, level)""", O.TOC))
-def style_outliers(spark: SparkSession, sf: str) -> DataFrame:
-    return toc.style_outliers(toc_rows(spark, sf)).select("doc_id", "pos", "level", "median_font", "outlier")
-
-
-@_query(O.query("""SELECT doc_id, '1' AS prefix, unnest(range(n + 1, nx)) AS missing, before, after FROM (SELECT doc_id, n, before, lead(n) OVER w AS nx, lead(before) OVER w AS after
-  FROM (SELECT doc_id, l_quantity::INT AS n, arg_max('1.' || l_quantity::INT || ' line ' || pos, pos) AS before FROM hierarchy GROUP BY ALL) WINDOW w AS (PARTITION BY doc_id ORDER BY n)) WHERE nx > n + 1""", O.HIERARCHY))
-def numbering_gaps(spark: SparkSession, sf: str) -> DataFrame:
-    h = hierarchy(spark, sf)
-    return toc.numbering_gaps(h.select("doc_id", "pos", F.concat(F.lit("1."), F.col("l_quantity").cast("int"), F.lit(" line "), F.col("pos")).alias("chapter")))
-
-
 @_query()
 def toc_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     t = toc_rows(spark, sf).withColumns({"y": (F.col("pos") * 20).cast("double"), "bold": F.lit(0), "italic": F.lit(0)})
@@ -364,12 +330,6 @@ def title_line_match(spark: SparkSession, sf: str) -> DataFrame:
     return toc.match_lines(t, d.where("tag <> 'h1'"))
 
 
-@_query()
-def title_best_layout(spark: SparkSession, sf: str) -> DataFrame:
-    d = html(spark, sf)
-    return toc.best_layout(d.where("tag = 'h1'").select("doc_id", F.col("source_order").alias("pos"), F.col("text").alias("chapter")), d)
-
-
 # --- hierarchy ---------------------------------------------------------------------------------
 
 
@@ -383,16 +343,6 @@ def level_examples(spark: SparkSession, sf: str) -> DataFrame:
     return toc.level_examples(hierarchy(spark, sf)).select("doc_id", "level", "pos")
 
 
-@_query(O.query("SELECT a.doc_id, a.pos, a.level, max(b.pos) AS parent_pos FROM hierarchy a LEFT JOIN hierarchy b ON a.doc_id = b.doc_id AND b.pos < a.pos AND b.level < a.level GROUP BY ALL", O.HIERARCHY))
-def ancestors(spark: SparkSession, sf: str) -> DataFrame:
-    return toc.ancestors(hierarchy(spark, sf)).select("doc_id", "pos", "level", "parent_pos")
-
-
-@_query(O.query("SELECT a.doc_id, a.pos, a.level, coalesce(min(b.page), 999) AS end_page FROM hierarchy a LEFT JOIN hierarchy b ON a.doc_id = b.doc_id AND b.pos > a.pos AND b.level <= a.level GROUP BY ALL", O.HIERARCHY))
-def section_ends(spark: SparkSession, sf: str) -> DataFrame:
-    return toc.section_ends(hierarchy(spark, sf), F.lit(999)).select("doc_id", "pos", "level", "end_page")
-
-
 # --- chunks ------------------------------------------------------------------------------------
 
 _PAGES = "pg AS (SELECT doc_id, page, '[PAGE ' || page || ']' || chr(10) || string_agg(text, chr(10) ORDER BY source_order) AS text, row_number() OVER (PARTITION BY doc_id ORDER BY page) - 1 AS rk, count(*) OVER (PARTITION BY doc_id) AS np FROM doc_lines GROUP BY doc_id, page)"
@@ -462,12 +412,12 @@ def model_answers(spark: SparkSession, sf: str) -> DataFrame:
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages to styled lines to learned rules to a table of contents."""
-    return rule_toc(spark, sf_dir)
+    return pipelines.rule_toc(table(spark, sf_dir, "pages"))
 
 
 def queries() -> dict[str, Query]:
-    return _QUERIES | books.QUERIES | headings.QUERIES
+    return _QUERIES | books.QUERIES | headings.QUERIES | tables.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return _SQL | books.SQL | headings.SQL
+    return _SQL | books.SQL | headings.SQL | tables.SQL

@@ -147,16 +147,15 @@ def elapsed_text(seconds: Column) -> Column:
     )
 
 
-def _nfkc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for s in batches:
-        yield s.str.normalize("NFKC")
-
-
 def nfkc(c: Column | str) -> Column:
     """Unicode NFKC, which the JVM's functions lack: an Arrow UDF, for texts that aren't ASCII."""
-    udf = F.pandas_udf(_nfkc, "string")
+
+    def normalize(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:  # local, so that workers get it by value
+        for s in batches:
+            yield s.str.normalize("NFKC")
+
     t = _text(c)
-    return F.when(F.octet_length(t) == F.char_length(t), t).otherwise(udf(t))
+    return F.when(F.octet_length(t) == F.char_length(t), t).otherwise(F.pandas_udf(normalize, "string")(t))
 
 
 def document_key(c: Column | str) -> Column:

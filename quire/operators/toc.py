@@ -7,9 +7,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbering import decimal_path
-from ..functions.numbers import clamp, int_or, reference_match_score, title_line_score
+from ..functions.numbers import clamp, int_or
 from ..functions.predicates import has_structural_marker, is_marker_only, is_repeated_running_title
-from ..functions.text import clean_text, duplicate_title_key, match_key, norm, short_title, token_shape, tokens
+from ..functions.text import clean_text, duplicate_title_key, match_key, norm, short_title
 
 
 def validate(toc: DataFrame, max_depth: int = 6) -> DataFrame:
@@ -62,22 +62,80 @@ def correct_levels(toc: DataFrame, least: int = 4, share: float = 0.7) -> DataFr
 
 
 def style_outliers(toc: DataFrame) -> DataFrame:
-    """toc with the medians of its level's styles and whether a row is off them (by 2.0 in size or 0.2 in ratio)."""
+    """toc with the medians of its level's styles and whether a row is off them: much smaller, body text among titles, or as large as a cover's."""
     w = Window.partitionBy("doc_id", "level")
-    t = toc.withColumns({"median_font": F.percentile("font_size", 0.5).over(w), "median_ratio": F.percentile("size_ratio", 0.5).over(w)})
-    return t.withColumn("outlier", F.coalesce(F.abs(F.col("font_size") - F.col("median_font")) > 2, F.lit(False)) | F.coalesce(F.abs(F.col("size_ratio") - F.col("median_ratio")) > 0.2, F.lit(False)))
+    both = F.col("font_size").isNotNull() & F.col("size_ratio").isNotNull()
+    median = lambda c: F.percentile(F.when(both, F.col(c)), 0.5).over(w)
+    t = toc.withColumns({"median_font": median("font_size"), "median_ratio": median("size_ratio"), "styled": F.count(F.when(both, 1)).over(w)})
+    font, ratio, mf, mr = (F.col(c) for c in ("font_size", "size_ratio", "median_font", "median_ratio"))
+    smaller = (mf >= 12.0) & (font < mf * 0.7) & (mr >= 1.25) & (ratio < mr * 0.75)
+    body = (mr >= 1.5) & (ratio <= 1.12) & (font < mf * 0.9)
+    cover = (mf >= 8.0) & (mr >= 0.8) & (font > mf * 1.8) & (ratio > mr * 1.8)
+    return t.withColumn("outlier", F.coalesce(both & (smaller | body | cover), F.lit(False)))
+
+
+def reference_examples(toc: DataFrame, most: int = 5) -> DataFrame:
+    """Up to `most` rows of each level without style outliers (where at least 3 have a style and not all are outliers), in order; rank is their place."""
+    t = style_outliers(toc)
+    w = Window.partitionBy("doc_id", "level")
+    drops = (F.col("styled") >= 3) & ~F.col("_all")
+    t = t.withColumn("_all", F.bool_and("outlier").over(w)).where(~(drops & F.col("outlier")))
+    return t.withColumn("rank", F.row_number().over(w.orderBy("pos"))).where(F.col("rank") <= most).select(*toc.columns, "rank")
+
+
+def level_references(toc: DataFrame, max_depth: int = 6, most: int = 5) -> DataFrame:
+    """The running examples of each level (doc_id, level, rank, title, font_size, size_ratio, x, bold, italic) after all rows of toc (in order of pos, chunk after chunk).
+
+    A row adds its style unless its title is there already; then outliers go and the first `most` stay, as after each row: a fold per level.
+    """
+    import pandas as pd
+
+    t = toc.where(F.col("level").between(1, max_depth)).select("doc_id", "level", "pos", short_title("chapter").alias("title"), match_key(short_title("chapter")).alias("_key"), "font_size", "size_ratio", "x", "bold", "italic").where("title <> ''")
+    out = "doc_id long, level int, rank int, title string, font_size double, size_ratio double, x double, bold int, italic int"
+
+    def outlier(e: dict, mf: float, mr: float) -> bool:
+        f, r = e["font_size"], e["size_ratio"]
+        if f is None or r is None:
+            return False
+        return mf >= 12 and f < mf * 0.7 and mr >= 1.25 and r < mr * 0.75 or mr >= 1.5 and r <= 1.12 and f < mf * 0.9 or mf >= 8 and mr >= 0.8 and f > mf * 1.8 and r > mr * 1.8
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        held: list[dict] = []
+        for e in pdf.sort_values("pos").astype(object).where(pdf.notna(), None).to_dict("records"):
+            if any(h["_key"] == e["_key"] for h in held):
+                continue
+            held.append(e)
+            styled = [h for h in held if h["font_size"] is not None and h["size_ratio"] is not None]
+            if len(styled) >= 3:
+                mf, mr = (pd.Series([h[c] for h in styled]).median() for c in ("font_size", "size_ratio"))
+                held = [h for h in held if not outlier(h, mf, mr)] or held
+            held = held[:most]
+        rows = [(h["doc_id"], h["level"], k, *(h[c] for c in ("title", "font_size", "size_ratio", "x", "bold", "italic"))) for k, h in enumerate(held, 1)]
+        return pd.DataFrame(rows, columns=[x.split()[0] for x in out.split(", ")])
+
+    return t.groupBy("doc_id", "level").applyInPandas(fold, out)
 
 
 def numbering_gaps(toc: DataFrame) -> DataFrame:
-    """Missing numbers between consecutive siblings: doc_id, prefix, missing, before and after; the last of equal numbers counts."""
+    """Gaps between consecutive siblings as ranges: doc_id, prefix, first and last missing number, before and after; the last of equal numbers counts."""
     path = decimal_path(F.col("chapter"))
     t = toc.select("doc_id", "pos", short_title("chapter", 70).alias("title"), path.alias("path")).where("path is not null and size(path) >= 2")
     t = t.select("doc_id", "pos", "title", F.slice("path", 1, F.size("path") - 1).alias("prefix"), F.element_at("path", -1).alias("n"))
     t = t.groupBy("doc_id", "prefix", "n").agg(F.max_by("title", "pos").alias("title"))
     w = Window.partitionBy("doc_id", "prefix").orderBy("n")
     t = t.withColumns({"next": F.lead("n").over(w), "after": F.lead("title").over(w)}).where("next > n + 1")
-    gone = F.explode(F.sequence(F.col("n") + 1, F.col("next") - 1)).alias("missing")
-    return t.select("doc_id", F.array_join(F.transform("prefix", lambda x: x.cast("string")), ".").alias("prefix"), gone, F.col("title").alias("before"), "after")
+    text = F.array_join(F.transform("prefix", lambda x: x.cast("string")), ".").alias("prefix")
+    return t.select("doc_id", text, (F.col("n") + 1).alias("first"), (F.col("next") - 1).alias("last"), F.col("title").alias("before"), "after")
+
+
+def missing_numbers(gaps: DataFrame, most: int = 20) -> DataFrame:
+    """The first `most` missing numbers of each document, in order of prefix and number: doc_id, number, before, after."""
+    path = F.transform(F.split("prefix", r"\."), lambda x: x.cast("int"))
+    w = Window.partitionBy("doc_id").orderBy("_path", "first")
+    size = F.col("last") - F.col("first") + 1
+    g = gaps.withColumn("_path", path).withColumn("_before", F.coalesce(F.sum(size).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).where(F.col("_before") < most)
+    n = F.explode(F.sequence(F.col("first").cast("long"), F.least(F.col("last").cast("long"), F.col("first") + most - F.col("_before") - 1)))
+    return g.select("doc_id", "prefix", n.alias("n"), "before", "after").select("doc_id", F.concat_ws(".", "prefix", F.col("n").cast("string")).alias("number"), "before", "after")
 
 
 def duplicates(toc: DataFrame) -> DataFrame:
@@ -123,40 +181,6 @@ def match_lines(titles: DataFrame, lines: DataFrame) -> DataFrame:
     return j.groupBy("doc_id", "pos", "chapter", "page").agg(best.alias("m")).select("doc_id", "pos", "chapter", "page", F.col("m.tier").alias("tier"), F.col("m.source_order").alias("source_order"), F.col("m.text").alias("line_text"))
 
 
-def best_layout(titles: DataFrame, lines: DataFrame) -> DataFrame:
-    """Titles with the best scored layout line of their document; the first wins ties."""
-    j = titles.select("doc_id", "pos", "chapter").join(lines, "doc_id").withColumn("match_score", F.bround(title_line_score(F.col("chapter"), F.col("text"), F.col("s"), F.col("r"), F.col("y")), 4))
-    best = F.max_by(F.struct("match_score", "source_order"), F.struct("match_score", -F.col("source_order")))
-    return j.where("match_score is not null").groupBy("doc_id", "pos", "chapter").agg(best.alias("m")).select("doc_id", "pos", "chapter", F.col("m.match_score").alias("match_score"), F.col("m.source_order").alias("source_order"))
-
-
-def learn_rules(reference: DataFrame, lines: DataFrame) -> DataFrame:
-    """Style rules from reference titles (doc_id, level, chapter) and lines: by level and style the range of x and y, the shapes of first tokens and the count."""
-    r = reference.select("doc_id", "level", norm("chapter").alias("wanted"), F.col("pos").alias("ref_pos"))
-    j = r.join(lines.withColumn("actual", norm("text")), "doc_id").withColumn("m", reference_match_score(F.col("wanted"), F.col("actual"))).where("m > 0")
-    best = F.max_by(F.struct("s", "r", "x", "y", "b", "i", "f", "text"), F.struct("m", F.char_length("actual"), "s", -F.col("source_order")))
-    j = j.groupBy("doc_id", "ref_pos", "level").agg(best.alias("l")).select("level", "l.*")
-    shape = token_shape(F.try_element_at(tokens("text"), F.lit(1)))
-    return j.groupBy("level", "s", "r", "b", "i", "f").agg(
-        F.min("x").alias("x_min"), F.max("x").alias("x_max"), F.min("y").alias("y_min"), F.max("y").alias("y_max"),
-        F.array_sort(F.collect_set(shape)).alias("start_shapes"), F.count("*").alias("reference_count"),
-    )
-
-
-def apply_rules(lines: DataFrame, rules: DataFrame) -> DataFrame:
-    """Lines as entries by the nearest rule whose style they have and whose first shapes they start with; the first of a page and title stays."""
-    from ..functions.numbers import rule_distance
-
-    k = rules.select("level", *[F.col(c).alias(f"rule_{c}") for c in ("s", "r", "b", "i", "f")], "x_min", "x_max", "start_shapes")
-    same = (F.col("b") == F.col("rule_b")) & (F.col("i") == F.col("rule_i")) & (F.col("f") == F.col("rule_f"))
-    d = rule_distance(F.col("s"), F.col("r"), F.col("x"), F.col("rule_s"), F.col("rule_r"), F.col("x_min"), F.col("x_max"))
-    shape = token_shape(F.try_element_at(tokens("text"), F.lit(1)))
-    j = lines.withColumn("shape", shape).join(k, same).withColumn("distance", d).where("distance is not null").where(F.array_contains("start_shapes", F.col("shape")))
-    best = j.groupBy("doc_id", "page", "source_order", "text").agg(F.min_by("level", F.struct("distance", "level")).alias("level"))
-    w = Window.partitionBy("doc_id", "page", norm("text")).orderBy("source_order")
-    return best.withColumn("_n", F.row_number().over(w)).where("_n = 1").select("doc_id", "page", "source_order", "level", clean_text("text").alias("chapter"))
-
-
 # --- hierarchy ---------------------------------------------------------------------------------
 
 
@@ -171,21 +195,38 @@ def level_examples(toc: DataFrame) -> DataFrame:
     return toc.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
-def ancestors(toc: DataFrame, max_level: int = 6) -> DataFrame:
-    """parent_pos: the nearest heading before of a smaller level; path: the open heading of each smaller level."""
-    w = Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    last = [F.last(F.when(F.col("level") == k, F.col("pos")), ignorenulls=True).over(w).alias(f"_l{k}") for k in range(1, max_level)]
-    t = toc.select("*", *last)
-    parent = F.greatest(F.lit(-1), *[F.when(F.col("level") > k, F.coalesce(f"_l{k}", F.lit(-1))).otherwise(-1) for k in range(1, max_level)])
-    return t.withColumn("parent_pos", F.nullif(parent, F.lit(-1))).drop(*[f"_l{k}" for k in range(1, max_level)])
+def outline(toc: DataFrame, last_page: Column) -> DataFrame:
+    """toc with parent_pos (the nearest heading before of a smaller level), path (the open headings' pos, outermost first) and
+    end_page (the page of the next heading of no deeper level, else last_page). One pass with a stack per document."""
+    import pandas as pd
+
+    t = toc.withColumn("end_page", last_page.cast("long"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in t.select("doc_id", "pos", "end_page").schema) + ", parent_pos bigint, path array<bigint>"
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("pos").reset_index(drop=True)
+        ends, parents, paths = pdf["end_page"].tolist(), [], []
+        stack: list[tuple[int, int, int]] = []  # level, pos, row
+        for k, (level, pos, page) in enumerate(zip(pdf["level"].tolist(), pdf["pos"].tolist(), pdf["page"].tolist(), strict=True)):
+            while stack and stack[-1][0] >= level:
+                ends[stack.pop()[2]] = page
+            parents.append(stack[-1][1] if stack else None)
+            paths.append([p for _, p, _ in stack])
+            stack.append((level, pos, k))
+        return pd.DataFrame({"doc_id": pdf["doc_id"], "pos": pdf["pos"], "end_page": ends, "parent_pos": pd.array(parents, "Int64"), "path": paths})
+
+    found = t.select("doc_id", "pos", "level", "page", "end_page").groupBy("doc_id").applyInPandas(fold, schema)
+    return toc.join(found, ["doc_id", "pos"])
+
+
+def ancestors(toc: DataFrame) -> DataFrame:
+    """toc with parent_pos and path, as outline has them."""
+    return outline(toc, F.lit(None)).drop("end_page")
 
 
 def section_ends(toc: DataFrame, last_page: Column) -> DataFrame:
-    """end_page: the page of the next heading of no deeper level, else last_page."""
-    w = Window.partitionBy("doc_id").orderBy("pos").rowsBetween(1, Window.unboundedFollowing)
-    after = [F.first(F.when(F.col("level") <= k, F.col("page")), ignorenulls=True).over(w) for k in range(1, 7)]
-    pick = F.coalesce(*[F.when(F.col("level") == k, after[k - 1]) for k in range(1, 7)])
-    return toc.withColumn("end_page", F.coalesce(pick, last_page))
+    """toc with end_page, as outline has it."""
+    return outline(toc, last_page).drop("parent_pos", "path")
 
 
 def level_groups(max_level: int, size: int = 3) -> list[tuple[int, int]]:
@@ -198,35 +239,55 @@ def level_groups(max_level: int, size: int = 3) -> list[tuple[int, int]]:
         low = out[-1][1]
 
 
-# --- folds -------------------------------------------------------------------------------------
-
-
-def limit_level_jumps(toc: DataFrame) -> DataFrame:
-    """Levels that go at most one deeper than the row before: a recurrence on its own output, per document."""
-    schema = toc.schema
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos").copy()
-        out, before = [], None
-        for level in pdf["level"].tolist():
-            before = level if before is None else min(level, before + 1)
-            out.append(before)
-        pdf["level"] = pd.Series(out, index=pdf.index, dtype=pdf["level"].dtype)
-        return pdf
-
-    return toc.groupBy("doc_id").applyInPandas(fold, schema)
-
-
-def cluster_sizes(sizes: list[float], tolerance: float = 0.6, most: int = 6) -> list[float]:
-    """Centres of sizes from the largest down; a size joins the first centre within tolerance, which moves to the mean."""
-    centres: list[tuple[float, int]] = []
-    for s in sorted(set(sizes), reverse=True):
-        for k, (c, n) in enumerate(centres):
-            if abs(c - s) <= tolerance:
-                centres[k] = ((c * n + s) / (n + 1), n + 1)
-                break
-        else:
-            centres.append((s, 1))
-    return [c for c, _ in centres[:most]]
-
-
+def validate_headings(headings: DataFrame, page_count: Column, max_depth: int = 6) -> DataFrame:
+    """Headings (doc_id, text, level, page, order, reason; numbers as text) within depth and pages, each of a page, order and text once, in order,
+    their levels dense; pos is the place. Numbers that can't be read drop a row."""
+    t = headings.select(
+        "doc_id", clean_text("text").alias("text"), clamp(F.coalesce("level", F.lit("1")).try_cast("int"), 1, max_depth).alias("level"),
+        F.greatest(F.lit(1), F.least(F.coalesce("page", F.lit("1")).try_cast("int"), page_count)).alias("page"), F.greatest(F.lit(1), F.coalesce("order", F.lit("1")).try_cast("int")).alias("order"),
+        clean_text("reason").alias("reason"), *[F.coalesce(c, F.lit("1")).try_cast("int").isNotNull().alias(f"_{c}") for c in ("level", "page", "order")], F.col("pos").alias("_pos"),
+    ).where("text <> '' and _level and _page and _order")
+    first = Window.partitionBy("doc_id", "page", "order", F.lower("text")).orderBy("_pos")
+    t = t.withColumn("_n", F.row_number().over(first)).where("_n = 1")
+    by = Window.partitionBy("doc_id")
+    t = t.withColumns({"level": F.dense_rank().over(by.orderBy("level")), "pos": F.row_number().over(by.orderBy("page", "order", "_pos"))})
+    return t.select("doc_id", "pos", "level", "text", "page", "order", "reason")
+
+
+def deepest_path(headings: DataFrame) -> DataFrame:
+    """Of each document the first heading of the deepest level and the headings above it: doc_id, pos, level, page."""
+    deepest = headings.groupBy("doc_id").agg(F.max("level").alias("_deep"))
+    target = headings.join(deepest, "doc_id").where("level = _deep").groupBy("doc_id").agg(F.min("pos").alias("_target"))
+    before = headings.join(target, "doc_id").where("pos <= _target")
+    # An ancestor has a smaller level than all that follow it up to the target.
+    after = Window.partitionBy("doc_id").orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, -1)
+    return before.withColumn("_least", F.min("level").over(after)).where("_least is null or level < _least").select("doc_id", "pos", "level", "page")
+
+
+def group_ranges(headings: DataFrame, page_count: Column, size: int = 3) -> DataFrame:
+    """Page ranges of a document's groups of levels (level_groups): doc_id, start_level, end_level, start_page, end_page, end_pos.
+
+    A group ends at the first heading of its last level (for later groups, at the one on the deepest path), the last one at the end
+    of that path's section; it begins at the heading of its first level that holds its end.
+    """
+    size = max(2, size)
+    path = deepest_path(headings)
+    deep = path.groupBy("doc_id").agg(F.max("level").alias("deep"), F.max_by("pos", "pos").alias("target"), F.max_by("page", "pos").alias("target_page"), F.sort_array(F.collect_list(F.struct("pos", "level", "page"))).alias("path"))
+    starts = F.when(F.col("deep") == 1, F.array(F.lit(1))).otherwise(F.sequence(F.lit(1), F.col("deep") - 1, F.lit(size - 1)))
+    groups = deep.select("*", F.explode(starts).alias("start_level")).withColumn("end_level", F.least(F.col("start_level") + size - 1, F.col("deep")))
+    first = headings.groupBy("doc_id", F.col("level").alias("end_level")).agg(F.min_by(F.struct("pos", "level", "page"), "pos").alias("first"))
+    on_path = F.coalesce(F.try_element_at(F.filter("path", lambda h: h["level"] <= F.col("end_level")), F.lit(-1)), F.element_at("path", 1))
+    g = groups.join(first, ["doc_id", "end_level"], "left").withColumn("end", F.when(F.col("start_level") == 1, F.coalesce("first", on_path)).otherwise(on_path))
+    h = headings.select("doc_id", F.col("pos").alias("_p"), F.col("level").alias("_l"), F.col("page").alias("_g"))
+    j = g.select("doc_id", "start_level", "end_level", "deep", "target", "target_page", F.col("end.pos").alias("end_pos"), F.col("end.page").alias("end_heading_page")).join(h, "doc_id")
+    upto = F.col("_p") <= F.col("end_pos")
+    same, above = upto & (F.col("_l") == F.col("start_level")), upto & (F.col("_l") <= F.col("start_level"))
+    later = (F.col("_p") > F.col("target")) & (F.col("_l") < F.col("deep"))
+    keys = ["doc_id", "start_level", "end_level", "deep", "target_page", "end_pos", "end_heading_page"]
+    a = j.groupBy(*keys).agg(
+        F.max_by(F.when(same, F.col("_g")), F.when(same, F.col("_p"))).alias("s1"), F.max_by(F.when(above, F.col("_g")), F.when(above, F.col("_p"))).alias("s2"), F.min_by("_g", "_p").alias("s3"),
+        F.min_by(F.when(later, F.col("_g")), F.when(later, F.col("_p"))).alias("next"),
+    )
+    start = F.greatest(F.lit(1), F.least(F.coalesce("s1", "s2", "s3"), page_count))
+    end = F.when(F.col("end_level") >= F.col("deep"), F.greatest(F.col("target_page"), F.coalesce("next", page_count))).otherwise(F.greatest(F.lit(1), F.least("end_heading_page", page_count)))
+    return a.select("doc_id", "start_level", "end_level", start.alias("start_page"), F.greatest(start, F.least(end, page_count)).alias("end_page"), "end_pos")

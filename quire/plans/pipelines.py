@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import is_bad_heading
 from ..operators.lines import body_size, candidates, gaps, remove_headers_footers, score, trim_front_back
-from ..operators.toc import apply_rules, learn_rules
+from ..operators.rules import apply_rules, learn_rules
 from ..sources.layout import html_lines
 
 
 def rule_toc(pages: DataFrame) -> DataFrame:
     """Rules learned from the pages' h1 lines, applied to all lines."""
     lines = html_lines(pages).withColumn("page", F.lit(1))
-    reference = lines.where("tag = 'h1'").select("doc_id", F.lit(1).alias("level"), F.col("text").alias("chapter"), F.col("source_order").alias("pos"))
+    reference = lines.where("tag = 'h1'").select("doc_id", F.lit(1).alias("level"), F.col("text").alias("chapter"), F.col("source_order").alias("pos"), "page")
     return apply_rules(lines, learn_rules(reference, lines))
 
 
