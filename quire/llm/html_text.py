@@ -388,7 +388,8 @@ def main_text(spark: SparkSession, pages: DataFrame) -> DataFrame:
     known = ws.write(known, "known")
     ws.done(*waves, hosts)
     # Texts stay where they are as long as what they meet is small: hosts with boilerplate, and copies without an article.
-    twins = contents.where(f"bare and copies >= {PAGES}").select("host", "content", F.col("holder.line").alias("keeps"))
+    twins = ws.write(contents.where(f"bare and copies >= {PAGES}").select("host", "content", F.col("holder.line").alias("keeps")), "twins")
+    ws.done(contents)
     found = parsed.join(twins, ["host", "content"], "left").withColumn("gone", F.coalesce(F.col("line") != F.col("keeps"), F.lit(False))).join(known, "host", "left")
     return found.select("page_id", "url", "article", "gone", "kinds", "blocks", "outer", "inner").mapInArrow(_unique_runs, TEXTS)
 
