@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import books, headings, parsed, reviews, tables
+from . import books, chunked, headings, parsed, reviews, tables
 from . import oracles as O
 from .functions import numbers as N
 from .functions import predicates as P
@@ -234,48 +234,10 @@ def header_footer_removed(spark: SparkSession, sf: str) -> DataFrame:
     return lines.remove_headers_footers(doc_lines(spark, sf)).select("doc_id", "line_index", "text")
 
 
-@_query()
-def front_back_trimmed(spark: SparkSession, sf: str) -> DataFrame:
-    return lines.trim_front_back(doc_lines(spark, sf)).select("doc_id", "line_index", "page")
-
-
-@_query()
-def body_sizes(spark: SparkSession, sf: str) -> DataFrame:
-    return lines.body_size(html(spark, sf))
-
-
-_STYLE = "round(s, 1) AS font_size, round(r, 2) AS size_ratio, b AS bold, i AS italic, f AS font_id, (floor(x / 10) * 10)::INT AS left_band"
-_CLUSTERS = f"clusters AS (SELECT {_STYLE}, count(*) AS line_count, count(DISTINCT doc_id) AS doc_count, median(x) AS median_x, median(y) AS median_y, arg_min(text, (length(text), text)) AS sample FROM html_lines GROUP BY ALL)".replace("arg_min(text, (length(text), text))", "min(struct_pack(n := length(text), t := text)).t")
-
-
-@_query(O.query("SELECT * FROM clusters", O.HTML_LINES, _CLUSTERS))
-def style_clusters(spark: SparkSession, sf: str) -> DataFrame:
-    return lines.style_clusters(html(spark, sf))
-
-
-@_query(O.query("SELECT * FROM clusters WHERE size_ratio >= 1.08 OR bold > 0 OR italic > 0 ORDER BY size_ratio DESC, bold DESC, italic DESC, line_count DESC LIMIT 5", O.HTML_LINES, _CLUSTERS))
-def strong_styles_topk(spark: SparkSession, sf: str) -> DataFrame:
-    return lines.strong_styles(lines.style_clusters(html(spark, sf)))
-
-
-@_query()
-def line_scores(spark: SparkSession, sf: str) -> DataFrame:
-    return pipelines.scored_lines(table(spark, sf, "pages")).select("doc_id", "source_order", "score", "reasons")
-
-
-@_query()
-def heading_candidates(spark: SparkSession, sf: str) -> DataFrame:
-    return pipelines.heuristic_toc(table(spark, sf, "pages"))
-
 
 # --- tables of contents --------------------------------------------------------------------------
 
 
-@_query(O.query(f"""SELECT doc_id, pos, least(greatest(level, 1), 3) AS level, {O.clean("chapter")} AS chapter, page FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, {O.match_key("chapter")}, page ORDER BY pos) AS rn FROM toc) WHERE rn = 1 AND chapter <> ''""", O.TOC))
-def validated_toc(spark: SparkSession, sf: str) -> DataFrame:
-    return toc.validate(toc_rows(spark, sf), 3).select("doc_id", "pos", "level", "chapter", "page")
-
-
 @_query(O.query(f"""SELECT doc_id, chunk, pos, level, chapter, page, row_number() OVER (PARTITION BY doc_id ORDER BY page, chunk, pos) - 1 AS merged_pos FROM (
   SELECT *, row_number() OVER (PARTITION BY doc_id, page, {O.norm("chapter")} ORDER BY chunk, pos) AS rn FROM (SELECT *, 1 AS chunk FROM toc WHERE pos < 30 UNION ALL SELECT *, 2 AS chunk FROM toc WHERE pos >= 20)) WHERE rn = 1""", O.TOC))
 def merged_partials(spark: SparkSession, sf: str) -> DataFrame:
@@ -293,34 +255,6 @@ def toc_diff(spark: SparkSession, sf: str) -> DataFrame:
     return toc.diff(t.where("pos % 7 <> 3"), after)
 
 
-_DOM = f"""once AS (SELECT *, count(*) OVER (PARTITION BY doc_id, {O.match_key("chapter")}) = 1 AS single FROM toc),
-counts AS (SELECT doc_id, font_size, size_ratio, level, count(*) AS n FROM once WHERE single AND NOT {O.like(O.clean("chapter"), _MARK)} GROUP BY ALL),
-dominant AS (SELECT doc_id, font_size, size_ratio, level AS dominant_level, total FROM (SELECT *, sum(n) OVER w AS total, row_number() OVER (PARTITION BY doc_id, font_size, size_ratio ORDER BY n DESC, level) AS rn FROM counts WINDOW w AS (PARTITION BY doc_id, font_size, size_ratio)) WHERE rn = 1 AND total >= 4 AND n >= 0.7 * total)"""
-
-
-@_query(O.query("SELECT doc_id, font_size, size_ratio, dominant_level, total::BIGINT AS total FROM dominant", O.TOC, _DOM))
-def level_style_dominance(spark: SparkSession, sf: str) -> DataFrame:
-    return toc.dominant_levels(toc_rows(spark, sf))
-
-
-@_query(O.query(f"""SELECT doc_id, pos, chapter, level, level <> old AS corrected FROM (SELECT o.doc_id, pos, chapter, o.level AS old, CASE WHEN dominant_level IS NOT NULL AND single AND NOT {O.like(O.clean("chapter"), _MARK)} THEN dominant_level ELSE o.level END AS level
-  FROM once o LEFT JOIN dominant d ON o.doc_id = d.doc_id AND o.font_size = d.font_size AND o.size_ratio = d.size_ratio)""", O.TOC, _DOM))
-def level_corrected(spark: SparkSession, sf: str) -> DataFrame:
-    return toc.correct_levels(toc_rows(spark, sf)).select("doc_id", "pos", "chapter", "level", "corrected")
-
-
-@_query()
-def toc_duplicates(spark: SparkSession, sf: str) -> DataFrame:
-    t = toc_rows(spark, sf).withColumns({"y": (F.col("pos") * 20).cast("double"), "bold": F.lit(0), "italic": F.lit(0)})
-    return toc.duplicates(t).select("doc_id", "pos", "chapter", "page")
-
-
-@_query()
-def greedy_dedupe(spark: SparkSession, sf: str) -> DataFrame:
-    ship(spark)
-    return toc.near_page_duplicates(toc_rows(spark, sf))
-
-
 @_query(O.query(f"""SELECT doc_id, pos, chapter, page, tier, source_order, line_text FROM (SELECT t.doc_id, t.pos, t.chapter, 1 AS page, CASE WHEN a = w THEN 5 WHEN prefix(w, a) THEN 4 WHEN contains(w, a) THEN 3 WHEN length(w) >= 4 AND contains(a, w) THEN 2 END AS tier, l.source_order, l.text AS line_text,
     row_number() OVER (PARTITION BY t.doc_id, t.pos ORDER BY CASE WHEN a = w THEN 5 WHEN prefix(w, a) THEN 4 WHEN contains(w, a) THEN 3 WHEN length(w) >= 4 AND contains(a, w) THEN 2 ELSE 0 END DESC, abs(length(a) - length(w)), l.source_order) AS rn
   FROM (SELECT doc_id, source_order AS pos, text AS chapter, {O.norm("text")} AS a FROM html_lines WHERE tag = 'h1') t JOIN (SELECT *, {O.norm("text")} AS w FROM html_lines WHERE tag <> 'h1') l USING (doc_id) WHERE w <> '' AND a <> '') WHERE rn = 1 AND tier IS NOT NULL""", O.HTML_LINES))
@@ -355,31 +289,6 @@ def page_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return chunks.page_chunks(chunks.page_texts(doc_lines(spark, sf)))
 
 
-@_query()
-def char_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    ship(spark)
-    return chunks.char_chunks(chunks.page_texts(doc_lines(spark, sf)))
-
-
-@_query()
-def overlap_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    ship(spark)
-    return chunks.char_chunks(chunks.page_texts(doc_lines(spark, sf)), 10_000, 1_000)
-
-
-@_query()
-def token_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    ship(spark)
-    return chunks.token_chunks(chunks.page_texts(doc_lines(spark, sf)))
-
-
-@_query(O.query("SELECT doc_id, min(page) AS first_page, max(page) AS last_page FROM doc_lines GROUP BY ALL", O.DOC_LINES))
-def chunk_page_bounds(spark: SparkSession, sf: str) -> DataFrame:
-    text = F.array_join(F.collect_list("text"), "\n")
-    a, b = chunks.page_bounds(F.col("text"))
-    return chunks.page_texts(doc_lines(spark, sf).withColumn("text", F.lit("x"))).groupBy("doc_id").agg(text.alias("text")).select("doc_id", a.alias("first_page"), b.alias("last_page"))
-
-
 # --- answers of models --------------------------------------------------------------------------
 
 
@@ -397,27 +306,14 @@ def json_repair(spark: SparkSession, sf: str) -> DataFrame:
     return d.select("doc_id", "a.*")
 
 
-class Echo:
-    """A stand-in for a model: answers with the length of what it is asked."""
-
-    def complete(self, prompt: str) -> str:
-        return '{"chapters": [], "asked": %d}' % len(prompt)
-
-
-@_query()
-def model_answers(spark: SparkSession, sf: str) -> DataFrame:
-    ship(spark)
-    return models.ask(chunks.char_chunks(chunks.page_texts(doc_lines(spark, sf))), Echo)
-
-
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages to styled lines to learned rules to a table of contents."""
     return pipelines.rule_toc(table(spark, sf_dir, "pages"))
 
 
 def queries() -> dict[str, Query]:
-    return _QUERIES | books.QUERIES | headings.QUERIES | parsed.QUERIES | reviews.QUERIES | tables.QUERIES
+    return _QUERIES | books.QUERIES | chunked.QUERIES | headings.QUERIES | parsed.QUERIES | reviews.QUERIES | tables.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return _SQL | books.SQL | headings.SQL | parsed.SQL | reviews.SQL | tables.SQL
+    return _SQL | books.SQL | chunked.SQL | headings.SQL | parsed.SQL | reviews.SQL | tables.SQL

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbering import is_numbered, label_level, number_info
-from ..functions.predicates import BACK_WORDS, FRONT_WORDS, QUESTION_WORDS, is_bad_heading, is_caption, is_noise, is_page_number_line
-from ..functions.text import compact_text, header_footer_key, norm_key
+from ..functions.predicates import BACK_WORDS, FRONT_WORDS, QUESTION_WORDS, is_bad_heading, is_caption, is_noise, is_page_number_line, is_probable_non_heading, is_title_like
+from ..functions.text import clean_text, compact_text, header_footer_key, match_key, norm_key, page_range, short_title
 
 
 def gaps(lines: DataFrame) -> DataFrame:
@@ -22,18 +22,23 @@ def at_edge(top: Column, bottom: Column) -> Column:
     return (top <= 0.10) | (bottom >= 0.90)
 
 
+def edge_lines(lines: DataFrame) -> DataFrame:
+    """The lines at page edges, with the key by which repeats are told."""
+    return lines.where(at_edge(F.col("rel_y0"), F.col("rel_y1"))).withColumn("_key", header_footer_key("text"))
+
+
 def repeated_edge_keys(lines: DataFrame, pages: int = 3) -> DataFrame:
     """(doc_id, key, pages): what stands at the top or bottom of so many pages of a document."""
-    keys = lines.where(at_edge(F.col("rel_y0"), F.col("rel_y1"))).select("doc_id", header_footer_key("text").alias("key"), "page").where(F.char_length("key") >= 3)
-    return keys.groupBy("doc_id", "key").agg(F.countDistinct("page").alias("pages")).where(F.col("pages") >= pages)
+    keys = edge_lines(lines).where(F.char_length("_key") >= 3)
+    return keys.groupBy("doc_id", F.col("_key").alias("key")).agg(F.countDistinct("page").alias("pages")).where(F.col("pages") >= pages)
 
 
 def remove_headers_footers(lines: DataFrame, pages: int = 3) -> DataFrame:
-    """lines without what repeats at page edges, and without page numbers there."""
-    keyed = lines.withColumn("_key", header_footer_key("text"))
-    marked = keyed.join(repeated_edge_keys(lines, pages).select("doc_id", F.col("key").alias("_key"), F.lit(True).alias("_again")), ["doc_id", "_key"], "left")
-    gone = at_edge(F.col("rel_y0"), F.col("rel_y1")) & (F.col("_again").isNotNull() | is_page_number_line(F.col("text")))
-    return marked.where(~gone).drop("_key", "_again")
+    """lines without what repeats at page edges, and without page numbers there. Lines inside a page are never moved nor looked at."""
+    inner = lines.where(~at_edge(F.col("rel_y0"), F.col("rel_y1")))
+    edges = edge_lines(lines).where(~is_page_number_line(F.col("text")))
+    again = repeated_edge_keys(lines, pages).select("doc_id", F.col("key").alias("_key"))
+    return inner.unionByName(edges.join(again, ["doc_id", "_key"], "left_anti").select(*lines.columns))
 
 
 def content_bounds(lines: DataFrame) -> DataFrame:
@@ -66,30 +71,56 @@ def body_size(lines: DataFrame, size: str = "s") -> DataFrame:
     return best
 
 
+STYLE = ["font_size", "size_ratio", "bold", "italic", "font_id", "left_band"]
+
+
 def cluster_key(lines: DataFrame) -> DataFrame:
-    """Grouping columns of a style: size to .1, ratio to .01, bold, italic, font, a band of 10 of the indent."""
+    """Grouping columns of a style: size to .1, ratio to .01 (1 if there is none), bold, italic, font, the indent to 10."""
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    ratio = F.coalesce(F.nullif(F.col("r"), F.lit(0.0)), F.lit(1.0))
     return lines.withColumns({
-        "font_size": F.bround("s", 1), "size_ratio": F.bround("r", 2), "bold": F.col("b"), "italic": F.col("i"),
-        "font_id": F.coalesce("f", F.lit("f?")), "left_band": (F.floor(F.col("x") / 10) * 10).cast("int"),
+        "font_size": F.bround(zero("s").cast("double"), 1), "size_ratio": F.bround(ratio, 2), "bold": (zero("b") != 0).cast("int"), "italic": (zero("i") != 0).cast("int"),
+        "font_id": F.coalesce(F.nullif(clean_text("f"), F.lit("")), F.lit("f?")), "left_band": (F.bround(zero("x") / 10) * 10).cast("int"),
     })
 
 
-STYLE = ["font_size", "size_ratio", "bold", "italic", "font_id", "left_band"]
-
-
 def style_clusters(lines: DataFrame) -> DataFrame:
-    """Lines of each style: count, documents, median x and y, and up to 3 distinct sample texts (the least)."""
-    c = cluster_key(lines).groupBy(*STYLE)
-    return c.agg(
-        F.count("*").alias("line_count"), F.countDistinct("doc_id").alias("doc_count"), F.median("x").alias("median_x"), F.median("y").alias("median_y"),
-        F.min(F.struct(F.char_length("text"), "text"))["text"].alias("sample"),
+    """A document's lines by style: lines, pages, median x and y, the range of pages, the first line, and up to 3 distinct sample titles
+    of its first 8 lines that could be headings."""
+    c = cluster_key(lines.where(clean_text("text") != ""))
+    sample = F.when(~is_probable_non_heading(F.col("text")), F.struct("line_index", short_title("text", 80).alias("t"), match_key(short_title("text", 80)).alias("k")))
+    c = c.withColumn("_sample", sample).groupBy("doc_id", *STYLE).agg(
+        F.count("*").alias("line_count"), F.countDistinct("page").alias("page_count"), F.round(F.median("x"), 1).alias("median_x"), F.round(F.median("y"), 1).alias("median_y"),
+        page_range(F.min("page"), F.max("page")).alias("page_range"), F.min("line_index").alias("first_line"), F.slice(F.array_sort(F.collect_list("_sample")), 1, 8).alias("_samples"),
     )
+    # The first of equal titles: those without an equal one before them.
+    distinct = F.filter("_samples", lambda v, n: ~F.exists(F.slice(F.col("_samples"), F.lit(1), n), lambda w: w["k"] == v["k"]))
+    return c.withColumn("samples", F.slice(F.transform(distinct, lambda v: v["t"]), 1, 3)).drop("_samples")
+
+
+def body_styles(clusters: DataFrame, top: int = 5) -> DataFrame:
+    """The `top` commonest plain styles of each document: doc_id, rank and the clusters' columns."""
+    plain = clusters.where((F.col("size_ratio") <= 1.12) & (F.col("bold") == 0) & (F.col("italic") == 0))
+    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("line_count"), "first_line", *STYLE))
+    return plain.withColumn("rank", rank).where(F.col("rank") <= top)
+
+
+def strong_styles(clusters: DataFrame, top: int = 30) -> DataFrame:
+    """The `top` styles of each document that stand out most, those of several lines or pages first: by ratio, size, then lines."""
+    strong = clusters.where((F.col("size_ratio") > 1.08) | (F.col("bold") > 0) | (F.col("italic") > 0))
+    once = (F.col("line_count") < 2) & (F.col("page_count") < 2)
+    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(once, F.desc("size_ratio"), F.desc("font_size"), F.desc("line_count"), "first_line", *STYLE))
+    return strong.withColumn("rank", rank).where(F.col("rank") <= top)
+
 
+def title_examples(lines: DataFrame, top: int = 80) -> DataFrame:
+    """The first `top` lines of each document that could be titles and have no caption near them."""
+    from .attach import near_captions
 
-def strong_styles(clusters: DataFrame, top: int = 5) -> DataFrame:
-    """The styles that stand out most: by size ratio, bold, italic, then count."""
-    strong = clusters.where((F.col("size_ratio") >= 1.08) | (F.col("bold") > 0) | (F.col("italic") > 0))
-    return strong.orderBy(F.desc("size_ratio"), F.desc("bold"), F.desc("italic"), F.desc("line_count"), *STYLE).limit(top)
+    like = lines.where(is_title_like(F.col("text"), F.col("s"), F.col("r"), F.col("b"), F.col("i")))
+    like = like.join(near_captions(lines).select("doc_id", "line_index"), ["doc_id", "line_index"], "left_anti")
+    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("page", "line_index"))
+    return like.withColumn("rank", rank).where(F.col("rank") <= top)
 
 
 def score(lines: DataFrame, max_chars: int = 120, captions: bool = False) -> DataFrame:

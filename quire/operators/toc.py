@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbering import decimal_path
-from ..functions.numbers import clamp, int_or
-from ..functions.predicates import has_structural_marker, is_marker_only, is_repeated_running_title
+from ..functions.numbers import clamp, int_or, title_line_score
+from ..functions.predicates import has_heading_marker, has_structural_marker, is_generic_title, is_marker_only, is_repeated_running_title, is_running_header_footer, is_toc_listing
 from ..functions.text import clean_text, duplicate_title_key, match_key, norm, short_title
 
 
@@ -39,26 +39,37 @@ def diff(before: DataFrame, after: DataFrame) -> DataFrame:
     return j.withColumn("status", status)
 
 
+def _styled(toc: DataFrame) -> DataFrame:
+    """toc with its style key and whether a row tells of its style's level: an unmarked title that occurs once, whose line stands for it and is neither a listing nor a running head."""
+    layout = title_line_score(F.col("chapter"), F.col("layout_text"), F.col("font_size"), F.col("size_ratio"), F.col("y")).isNotNull()
+    fine = layout & ~is_toc_listing(F.col("layout_text")) & ~is_running_header_footer(F.col("y"), F.col("font_size"), F.col("size_ratio"))
+    t = toc.withColumns({"_font": F.bround("font_size", 1), "_ratio": F.bround("size_ratio", 2), "_once": F.count("*").over(Window.partitionBy("doc_id", match_key("chapter"))) == 1, "_fine": fine, "_marked": has_structural_marker(F.col("chapter")) | (clean_text("chapter") == "")})
+    return t.withColumn("_tells", F.col("_once") & ~F.col("_marked") & F.col("_fine") & (F.col("_font").isNotNull() | F.col("_ratio").isNotNull()))
+
+
+def _dominant(styled: DataFrame, least: int, share: float) -> DataFrame:
+    n = styled.groupBy("doc_id", "_font", "_ratio", "level").agg(F.count("*").alias("n"))
+    best = n.groupBy("doc_id", "_font", "_ratio").agg(F.sum("n").alias("total"), F.max_by(F.struct("level", "n"), F.struct("n", -F.col("level"))).alias("best"))
+    return best.where((F.col("total") >= least) & (F.col("best.n") >= share * F.col("total"))).select("doc_id", "_font", "_ratio", F.col("best.level").alias("dominant_level"), "total")
+
+
 def dominant_levels(toc: DataFrame, least: int = 4, share: float = 0.7) -> DataFrame:
-    """(doc_id, font_size, size_ratio, level): the level that a style mostly has among unmarked titles that occur once; ties go to the lower level."""
-    key = match_key("chapter")
-    once = F.count("*").over(Window.partitionBy("doc_id", key)) == 1
-    plain = toc.withColumn("_once", once).where(F.col("_once") & ~has_structural_marker(F.col("chapter")) & (F.col("font_size").isNotNull() | F.col("size_ratio").isNotNull()))
-    style = ["doc_id", "font_size", "size_ratio"]
-    n = plain.groupBy(*style, "level").agg(F.count("*").alias("n"))
-    best = n.groupBy(*style).agg(F.sum("n").alias("total"), F.max_by(F.struct("level", "n"), F.struct("n", -F.col("level"))).alias("best"))
-    return best.where((F.col("total") >= least) & (F.col("best.n") >= share * F.col("total"))).select(*style, F.col("best.level").alias("dominant_level"), "total")
-
-
-def correct_levels(toc: DataFrame, least: int = 4, share: float = 0.7) -> DataFrame:
-    """Unmarked titles that occur once take the dominant level of their style; corrected tells which changed."""
-    d = dominant_levels(toc, least, share).select(*[F.col(c).alias(f"_{c}") for c in ("doc_id", "font_size", "size_ratio")], "dominant_level")
-    same = (F.col("doc_id") == F.col("_doc_id")) & F.col("font_size").eqNullSafe(F.col("_font_size")) & F.col("size_ratio").eqNullSafe(F.col("_size_ratio"))
-    j = toc.join(d, same, "left").select(*toc.columns, "dominant_level")
-    once = F.count("*").over(Window.partitionBy("doc_id", match_key("chapter"))) == 1
-    use = F.col("dominant_level").isNotNull() & ~has_structural_marker(F.col("chapter")) & F.col("_once")
-    j = j.withColumn("_once", once).withColumn("_new", F.when(use, F.col("dominant_level")).otherwise(F.col("level")))
-    return j.withColumn("corrected", F.col("_new") != F.col("level")).withColumn("level", F.col("_new")).drop("_new", "_once", "dominant_level")
+    """(doc_id, font_size, size_ratio, dominant_level, total): the level that a style mostly has; ties go to the lower level."""
+    return _dominant(_styled(toc).where("_tells"), least, share).withColumnsRenamed({"_font": "font_size", "_ratio": "size_ratio"})
+
+
+def correct_levels(toc: DataFrame, least: int = 4, share: float = 0.7, *, document_wide: bool = False) -> DataFrame:
+    """Unmarked titles that occur once take the dominant level of their style; corrected tells which changed.
+
+    document_wide: all rows with a sound layout tell of their style's level, marked and repeated ones too, and only such rows change.
+    """
+    t = _styled(toc)
+    tells = F.col("_fine") & (F.col("_font").isNotNull() | F.col("_ratio").isNotNull()) if document_wide else F.col("_tells")
+    d = _dominant(t.where(tells), least, share).select(*[F.col(c).alias(f"d{c}") for c in ("doc_id", "_font", "_ratio")], "dominant_level")
+    j = t.join(d, (F.col("doc_id") == F.col("ddoc_id")) & F.col("_font").eqNullSafe(F.col("d_font")) & F.col("_ratio").eqNullSafe(F.col("d_ratio")), "left")
+    use = F.col("dominant_level").isNotNull() & ~F.col("_marked") & F.col("_once") & (F.col("_fine") if document_wide else F.lit(True))
+    new = F.when(use, F.col("dominant_level")).otherwise(F.col("level"))
+    return j.select(*[new.alias("level") if c == "level" else F.col(c) for c in toc.columns], (new != F.col("level")).alias("corrected"))
 
 
 def style_outliers(toc: DataFrame) -> DataFrame:
@@ -138,34 +149,48 @@ def missing_numbers(gaps: DataFrame, most: int = 20) -> DataFrame:
     return g.select("doc_id", "prefix", n.alias("n"), "before", "after").select("doc_id", F.concat_ws(".", "prefix", F.col("n").cast("string")).alias("number"), "before", "after")
 
 
+def _keep_key(toc: DataFrame) -> DataFrame:
+    """toc with _key (the duplicate title), _run (whether it looks like a running head) and _keep: of equal titles the least is kept.
+
+    A page or place of 0 counts as missing.
+    """
+    none0 = lambda *c: F.coalesce(*[F.nullif(F.col(x), F.lit(0)) for x in c], F.lit(999_999))
+    t = toc.withColumns({"_key": duplicate_title_key("chapter"), "_run": is_repeated_running_title(F.col("chapter"), F.col("y"), F.col("font_size"), F.col("size_ratio"), F.col("bold"), F.col("italic")), "_page": none0("page")})
+    keep = F.struct("_run", -F.coalesce("font_size", F.lit(0.0)), -F.coalesce("size_ratio", F.lit(0.0)), "_page", none0("source_order", "merge_order"), "pos")
+    return t.withColumns({"_keep": keep, "_at": F.struct("_page", F.coalesce(F.nullif("source_order", F.lit(0)), "pos"), "pos")})
+
+
 def duplicates(toc: DataFrame) -> DataFrame:
-    """Titles of one key without running heads where another is no running head, marker-only repeats reduced to the best."""
-    t = toc.withColumn("_key", duplicate_title_key("chapter")).withColumn(
-        "_run", is_repeated_running_title(F.col("chapter"), F.col("y"), F.col("font_size"), F.col("size_ratio"), F.col("bold"), F.col("italic"))
-    )
+    """toc without repeated running heads (two or more of a title) and, of titles that are marks alone, all but the best one."""
+    t = _keep_key(toc)
     w = Window.partitionBy("doc_id", "_key")
-    best = w.orderBy(F.col("_run"), F.desc(F.coalesce("font_size", F.lit(0.0))), F.desc(F.coalesce("size_ratio", F.lit(0.0))), "page", "pos")
-    t = t.withColumns({"_any": F.bool_or(~F.col("_run")).over(w), "_n": F.row_number().over(best)})
-    return t.where("not (_run and _any)").where((F.col("_n") == 1) | ~is_marker_only(F.col("chapter"))).drop("_key", "_run", "_any", "_n")
+    t = t.withColumns({"_rows": F.count("*").over(w), "_runs": F.sum(F.col("_run").cast("int")).over(w), "_mark": F.bool_or(is_marker_only(F.col("chapter"))).over(w), "_n": F.row_number().over(w.orderBy("_keep"))})
+    many = (F.col("_rows") >= 2) & (F.col("_key") != "")
+    gone = many & ((F.col("_run") & (F.col("_runs") >= 2)) | (F.col("_mark") & (F.col("_n") > 1)))
+    return t.where(~gone).select(*toc.columns)
 
 
 def near_page_duplicates(toc: DataFrame) -> DataFrame:
-    """Greedy: of rows with one title key and level on pages at most 1 apart the one in larger type stays. A fold, per document and title."""
-    schema = toc.schema
+    """Greedy, in order of page: of rows with one title and level on pages at most 1 apart the better one stays. A fold per document and title."""
+    t = _keep_key(toc).select("doc_id", "pos", "level", "page", "_key", F.struct("_keep", "_at").alias("_k"))
+    by = Window.partitionBy("doc_id", "_key")
+    t = t.withColumns({"_rank": F.row_number().over(by.orderBy("_k._keep")), "_order": F.row_number().over(by.orderBy("_k._at")), "_rows": F.count("*").over(by)})
+    once = t.where("_rows = 1 or _key = ''").select("doc_id", "pos")
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         kept: list = []
-        for r in pdf.sort_values(["page", "pos"]).to_dict("records"):
-            for k, o in enumerate(kept):
-                if o["level"] == r["level"] and abs(o["page"] - r["page"]) <= 1:
-                    if (r["font_size"] or 0, r["size_ratio"] or 0) > (o["font_size"] or 0, o["size_ratio"] or 0):
-                        kept[k] = r
-                    break
-            else:
+        for r in pdf.sort_values("_order").itertuples(index=False):
+            twin = next((k for k in kept if k.level == r.level and abs(k.page - r.page) <= 1), None)
+            if twin is None:
+                kept.append(r)
+            elif r.rank < twin.rank:
+                kept.remove(twin)
                 kept.append(r)
-        return pd.DataFrame(kept, columns=pdf.columns)
+        return pd.DataFrame({"doc_id": [k.doc_id for k in kept], "pos": [k.pos for k in kept]})
 
-    return toc.groupBy("doc_id", duplicate_title_key("chapter").alias("_key")).applyInPandas(lambda pdf: fold(pdf[schema.names]), schema)
+    several = t.where("_rows > 1 and _key <> ''").select("doc_id", "pos", "level", "page", "_key", F.col("_rank").alias("rank"), "_order")
+    stays = several.groupBy("doc_id", "_key").applyInPandas(fold, once.schema)
+    return toc.join(once.unionByName(stays), ["doc_id", "pos"], "left_semi")
 
 
 # --- titles and lines ---------------------------------------------------------------------------
@@ -291,3 +316,49 @@ def group_ranges(headings: DataFrame, page_count: Column, size: int = 3) -> Data
     start = F.greatest(F.lit(1), F.least(F.coalesce("s1", "s2", "s3"), page_count))
     end = F.when(F.col("end_level") >= F.col("deep"), F.greatest(F.col("target_page"), F.coalesce("next", page_count))).otherwise(F.greatest(F.lit(1), F.least("end_heading_page", page_count)))
     return a.select("doc_id", "start_level", "end_level", start.alias("start_page"), F.greatest(start, F.least(end, page_count)).alias("end_page"), "end_pos")
+
+
+# --- answers ------------------------------------------------------------------------------------
+
+
+def promote(answers: DataFrame) -> DataFrame:
+    """answers (doc_id, title, fallback, chapters array<map<string, string>>) with the model's title as a first chapter of level 1 where it looks like a heading
+    that the chapters lack: with a chapter's mark, or before deeper first chapters; not a generic or very long one."""
+    title = clean_text("title")
+    fallback = F.coalesce(F.nullif(clean_text("fallback"), F.lit("")), title)
+    key = lambda c: F.lower(F.regexp_replace(clean_text(c), r"\s+", ""))
+    has = F.exists("chapters", lambda c: key(F.try_element_at(c, F.lit("chapter"))) == key(title))
+    first = F.try_element_at(F.filter("chapters", lambda c: clean_text(F.try_element_at(c, F.lit("chapter"))) != ""), F.lit(1))
+    level = F.try_element_at(first, F.lit("level")).try_cast("int")
+    page = F.greatest(F.lit(1), F.coalesce(F.nullif(F.try_element_at(first, F.lit("page")).try_cast("int"), F.lit(0)), F.lit(1)))
+    take = ~is_generic_title(title, fallback) & (F.char_length(title) <= 140) & ~has & (has_heading_marker(title) | F.coalesce(level > 1, F.lit(False)))
+    new = F.create_map(F.lit("level"), F.lit("1"), F.lit("chapter"), title, F.lit("page"), page.cast("string"), F.lit("level_reason"), F.lit(PROMOTED))
+    return answers.withColumn("chapters", F.when(take, F.concat(F.array(new), F.col("chapters"))).otherwise(F.col("chapters")))
+
+
+#: The reason of a chapter that was a title.
+PROMOTED = "Promoted from model title because output title is forced to the PDF file name."
+
+
+def answer_rows(answers: DataFrame, max_depth: int = 6) -> DataFrame:
+    """The chapters of answers as rows: doc_id, pos, level within depth, chapter, page from 1, level_reason and typed layout columns; what
+    can't be read is 1; empty titles go, the first of equal titles on a page stays."""
+    from .attach import typed_layout
+
+    t = answers.select("doc_id", F.posexplode("chapters").alias("pos", "raw"))
+    get = lambda k: F.try_element_at("raw", F.lit(k))
+    t = t.select("doc_id", "pos", get("level").alias("level"), get("chapter").alias("chapter"), get("page").alias("page"), F.nullif(clean_text(get("level_reason")), F.lit("")).alias("level_reason"), *[c.alias(k) for k, c in typed_layout(F.col("raw")).items()])
+    return validate(t, max_depth)
+
+
+def validate_answers(answers: DataFrame, max_depth: int = 6) -> DataFrame:
+    """What a model answered, as a table of contents: titles promoted, rows typed, duplicates gone, levels by style. The document's title is its file's."""
+    t = answer_rows(promote(answers), max_depth).withColumn("merge_order", F.lit(None).cast("int"))
+    return correct_levels(near_page_duplicates(duplicates(t))).drop("corrected", "merge_order")
+
+
+def validate_simple(answers: DataFrame, max_depth: int = 6) -> DataFrame:
+    """The plainer reading: the model's title wins, source_order counts only if positive, and nothing else is changed: doc_id, title, pos, level, chapter, page, source_order, level_reason."""
+    title = F.coalesce(F.nullif(clean_text("title"), F.lit("")), F.nullif(clean_text("fallback"), F.lit("")), F.lit("Document title"))
+    t = answer_rows(answers, max_depth).withColumn("source_order", F.when(F.col("source_order") > 0, F.col("source_order")))
+    return t.join(answers.select("doc_id", title.alias("title")), "doc_id").select("doc_id", "title", "pos", "level", "chapter", "page", "source_order", "level_reason")

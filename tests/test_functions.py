@@ -19,7 +19,7 @@ def one(spark, value, f):
     (P.is_marker_only, "Chapter 3a", True), (P.is_marker_only, "Chapter three", False), (P.has_structural_marker, "1.2 Scope", True), (P.has_structural_marker, "Scope 1.2", False),
     (P.is_toc_listing, "Intro ..... 7", True), (P.is_toc_listing, "7", False), (P.is_visual_caption, "Figure 3. x", True), (P.is_page_marker, "- 12 -", True), (P.is_page_marker, "index", False),
     (P.is_reference_heading, "[References]", True), (P.is_reference_item, "1. Kasl", True), (P.is_formula_or_corrupt, "a = b", True), (P.is_noise, "www.x.y", True), (P.is_noise, "1.", False),
-    (P.is_bad_heading, "1) 1960", True), (P.is_bad_heading, "Methods and results", False), (P.is_number_prefix_only, "(1)", True), (P.is_bad_metadata_title, "x.hwp", True),
+    (P.is_bad_heading, "1) 1960", True), (P.is_bad_heading, "Methods and results", False), (P.is_number_prefix_only, "(1)", True),
 ])
 def test_text_and_predicates(spark, f, value, want):
     assert one(spark, value, f) == want
