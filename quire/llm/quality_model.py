@@ -32,7 +32,7 @@ STEPS, RATE, PENALTY = 400, 0.05, 1e-3
 #: A document is selected from this probability of the top grade on.
 TAIL = 0.5
 #: Bytes featurized at once.
-CHUNK = 4 << 20
+CHUNK = 1 << 19
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True

@@ -6,7 +6,7 @@ import numpy as np
 
 WIDTH = 5
 #: Bytes hashed at once; a longer text is a batch of its own.
-CHUNK = 4 << 20
+CHUNK = 1 << 19
 
 _rng = np.random.Generator(np.random.PCG64(20240611))
 _BYTE = _rng.integers(1, 2**64 - 1, 256, np.uint64)
