@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import books, chunked, headings, parsed, reviews, tables
+from . import books, chunked, headings, parsed, reviews, tables, written
 from . import oracles as O
 from .functions import numbers as N
 from .functions import predicates as P
@@ -312,8 +312,8 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return _QUERIES | books.QUERIES | chunked.QUERIES | headings.QUERIES | parsed.QUERIES | reviews.QUERIES | tables.QUERIES
+    return _QUERIES | books.QUERIES | chunked.QUERIES | headings.QUERIES | parsed.QUERIES | reviews.QUERIES | tables.QUERIES | written.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return _SQL | books.SQL | chunked.SQL | headings.SQL | parsed.SQL | reviews.SQL | tables.SQL
+    return _SQL | books.SQL | chunked.SQL | headings.SQL | parsed.SQL | reviews.SQL | tables.SQL | written.SQL

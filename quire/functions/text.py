@@ -131,7 +131,7 @@ def style_key_text(font: Column, ratio: Column) -> Column:
 
 def layout_tag(s: Column, r: Column, x: Column, y: Column, b: Column, i: Column, f: Column, text: Column) -> Column:
     """A line in the lower-case layout grammar."""
-    head = F.format_string("[L s=%.1f r=%.2f x=%.0f y=%.0f b=%d i=%d f=%s] ", s.cast("double"), r.cast("double"), x.cast("double"), y.cast("double"), b.cast("int"), i.cast("int"), f)
+    head = F.format_string("[L s=%.1f r=%.2f x=%.0f y=%.0f b=%d i=%d f=%s] ", F.bround(s.cast("double"), 1), F.bround(r.cast("double"), 2), F.bround(x.cast("double"), 0), F.bround(y.cast("double"), 0), b.cast("int"), i.cast("int"), f)
     return F.concat(head, text)
 
 
@@ -139,9 +139,10 @@ def elapsed_text(seconds: Column) -> Column:
     """1.5s, 2m 3.0s, 1h 2m 3.0s."""
     s = seconds.cast("double")
     m, h = F.floor(s / 60), F.floor(s / 3600)
-    rest = F.format_string("%.1fs", s - m * 60)
+    tenths = lambda c: F.format_string("%.1fs", F.bround(c, 1))  # noqa: E731  # ties go to the even digit
+    rest = tenths(s - m * 60)
     return (
-        F.when(s < 60, F.format_string("%.1fs", s))
+        F.when(s < 60, tenths(s))
         .when(s < 3600, F.concat(m.cast("string"), F.lit("m "), rest))
         .otherwise(F.concat(h.cast("string"), F.lit("h "), (m - h * 60).cast("string"), F.lit("m "), rest))
     )

@@ -105,7 +105,7 @@ def split_again(text: str, most: int, start: int, end: int, least: int = 5_000)
     """A chunk's parts by its pages: (first page, last page, text), the chunk's own pages where a part names none."""
     most = max(least, most)
     starts = [m.start() for m in re.finditer(r"(?m)^\[PAGE\s+\d+\]", text)]
-    segments = [text[a:b] for a, b in zip(starts, [*starts[1:], len(text)], strict=True)] or [text]
+    segments = [text[a:b] for a, b in zip(starts, [*starts[1:], len(text)], strict=False)] or [text]
     texts = pack([p for x in segments for p in split_segment(x, most)], most)
     return [(min(pages_in(t) or [start]), max(pages_in(t) or [end]), t) for t in texts]
 

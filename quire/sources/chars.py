@@ -107,7 +107,7 @@ def tag(column: Column | None = None, order: Column | None = None) -> Column:
     """A line in the lower-case grammar, with its column and its place if given."""
     number = F.lit("") if order is None else F.concat(F.lit("source_order="), order.cast("string"), F.lit(" "))
     side = F.lit("") if column is None else F.coalesce(F.concat(F.lit(" c="), column), F.lit(""))
-    head = F.format_string("s=%.1f r=%.2f x=%.0f y=%.0f b=%d i=%d f=%s", F.col("s").cast("double"), F.col("r").cast("double"), F.col("x").cast("double"), F.col("y").cast("double"), F.col("b").cast("int"), F.col("i").cast("int"), F.col("f"))
+    head = F.format_string("s=%.1f r=%.2f x=%.0f y=%.0f b=%d i=%d f=%s", *[F.bround(F.col(c).cast("double"), k) for c, k in (("s", 1), ("r", 2), ("x", 0), ("y", 0))], F.col("b").cast("int"), F.col("i").cast("int"), F.col("f"))
     return F.concat(F.lit("[L "), number, head, side, F.lit("] "), F.col("text"))
 
 
