@@ -35,8 +35,16 @@ def pages(spark: SparkSession, sf: str) -> DataFrame:
     return K.page_texts(book_lines(spark, sf))
 
 
-def bodies(spark: SparkSession, sf: str) -> DataFrame:
-    return pages(spark, sf).withColumn("text", F.regexp_replace("text", r"^\[PAGE \d+\]\n", ""))
+def volumes(spark: SparkSession, sf: str) -> DataFrame:
+    """(doc_id, page, text): 20 documents as one book, without heads."""
+    d = pages(spark, sf).withColumn("text", F.regexp_replace("text", r"^\[PAGE \d+\]\n", ""))
+    return d.select(F.floor(F.col("doc_id") / 20).alias("doc_id"), (F.col("doc_id") % 20 * 1000 + F.col("page")).cast("int").alias("page"), "text")
+
+
+def volume_texts(spark: SparkSession, sf: str) -> DataFrame:
+    t = F.concat(F.lit("[PAGE "), F.col("page").cast("string"), F.lit("]\n"), F.col("text"))
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", t.alias("t")))), lambda v: v["t"]), "\n\n")
+    return volumes(spark, sf).groupBy("doc_id").agg(whole.alias("text"))
 
 
 def parsed(spark: SparkSession, sf: str) -> DataFrame:
@@ -45,19 +53,21 @@ def parsed(spark: SparkSession, sf: str) -> DataFrame:
     return pages(spark, sf).groupBy("doc_id").agg(F.concat(F.lit("# head\n\n"), t).alias("text"))
 
 
+_VOL = "vol AS (SELECT doc_id // 20 AS doc_id, doc_id % 20 * 1000 + page AS page, '[PAGE ' || doc_id % 20 * 1000 + page || ']' || chr(10) || body AS text, row_number() OVER (PARTITION BY doc_id // 20 ORDER BY doc_id, page) AS k FROM pg)".replace("|| doc_id % 20 * 1000 + page ||", "|| (doc_id % 20 * 1000 + page) ||")
+
 #: A fold as a recursion: what a chunk holds so far, and the chunk's number.
-_PACK = """walk AS (SELECT doc_id, k, page, text, length(text) + 2 AS used, 1 AS chunk FROM pg WHERE k = 1
-  UNION ALL SELECT n.doc_id, n.k, n.page, n.text, CASE WHEN w.used + length(n.text) + 2 > {most} THEN length(n.text) + 2 ELSE w.used + length(n.text) + 2 END, CASE WHEN w.used + length(n.text) + 2 > {most} THEN w.chunk + 1 ELSE w.chunk END FROM walk w JOIN pg n ON n.doc_id = w.doc_id AND n.k = w.k + 1)"""
+_PACK = """walk AS (SELECT doc_id, k, page, text, length(text) + 2 AS used, 1 AS chunk FROM vol WHERE k = 1
+  UNION ALL SELECT n.doc_id, n.k, n.page, n.text, CASE WHEN w.used + length(n.text) + 2 > {most} THEN length(n.text) + 2 ELSE w.used + length(n.text) + 2 END, CASE WHEN w.used + length(n.text) + 2 > {most} THEN w.chunk + 1 ELSE w.chunk END FROM walk w JOIN vol n ON n.doc_id = w.doc_id AND n.k = w.k + 1)"""
 
 
-@query("WITH RECURSIVE " + ",".join([O.BOOK_LINES, _PG, _PACK.format(most=12000)]) + " SELECT doc_id, chunk, max(chunk) OVER (PARTITION BY doc_id) AS total, min(page) AS start_page, max(page) AS end_page, string_agg(text, chr(10) || chr(10) ORDER BY k) AS text FROM walk GROUP BY doc_id, chunk")
+@query("WITH RECURSIVE " + ",".join([O.BOOK_LINES, _PG, _VOL, _PACK.format(most=64000)]) + " SELECT doc_id, chunk, max(chunk) OVER (PARTITION BY doc_id) AS total, min(page) AS start_page, max(page) AS end_page, string_agg(text, chr(10) || chr(10) ORDER BY k) AS text FROM walk GROUP BY doc_id, chunk")
 def char_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    return K.char_chunks(bodies(spark, sf), 12_000, least=1)
+    return K.char_chunks(volumes(spark, sf), 64_000, least=1)
 
 
 @query()
 def overlap_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    return K.char_chunks(bodies(spark, sf), 3_000, 800, least=1)
+    return K.char_chunks(volumes(spark, sf), 30_000, 4_000, least=1)
 
 
 _TOK = """tk AS (SELECT *, CASE WHEN length(text) = 0 THEN 0 ELSE greatest(1, floor(length(text) / 2.2)) END::INT AS n FROM pg),
@@ -88,17 +98,17 @@ def page_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return K.token_counts(K.segments(parsed(spark, sf)))
 
 
-@query("WITH RECURSIVE " + ",".join([O.BOOK_LINES, _PG, _PACK.format(most=12000)]) + """, ch AS (SELECT doc_id, chunk, min(k) AS s, min(page) AS start_page FROM walk GROUP BY doc_id, chunk)
-SELECT c.doc_id, chunk, start_page, coalesce(string_agg(p.text, chr(10) || chr(10) ORDER BY p.k), '') AS context_text FROM ch c LEFT JOIN pg p ON p.doc_id = c.doc_id AND p.k BETWEEN c.s - 2 AND c.s - 1 GROUP BY c.doc_id, chunk, start_page""")
+@query("WITH RECURSIVE " + ",".join([O.BOOK_LINES, _PG, _VOL, _PACK.format(most=64000)]) + """, ch AS (SELECT doc_id, chunk, min(k) AS s, min(page) AS start_page FROM walk GROUP BY doc_id, chunk)
+SELECT c.doc_id, chunk, start_page, coalesce(string_agg(p.text, chr(10) || chr(10) ORDER BY p.k), '') AS context_text FROM ch c LEFT JOIN vol p ON p.doc_id = c.doc_id AND p.k BETWEEN c.s - 2 AND c.s - 1 GROUP BY c.doc_id, chunk, start_page""")
 def chunk_contexts(spark: SparkSession, sf: str) -> DataFrame:
-    c = K.char_chunks(bodies(spark, sf), 12_000, least=1)
-    return K.with_context(c, K.segments(parsed(spark, sf)), 2).select("doc_id", "chunk", "start_page", "context_text")
+    c = K.char_chunks(volumes(spark, sf), 64_000, least=1)
+    return K.with_context(c, K.segments(volume_texts(spark, sf)), 2).select("doc_id", "chunk", "start_page", "context_text")
 
 
-@query("WITH RECURSIVE " + ",".join([O.BOOK_LINES, _PG, _PACK.format(most=12000)]) + " SELECT doc_id, '7.' || chunk AS chunk, min(page) AS start_page, max(page) AS end_page, string_agg(text, chr(10) || chr(10) ORDER BY k) AS text FROM walk GROUP BY doc_id, chunk")
+@query("WITH RECURSIVE " + ",".join([O.BOOK_LINES, _PG, _VOL, _PACK.format(most=64000)]) + " SELECT doc_id, '7.' || chunk AS chunk, min(page) AS start_page, max(page) AS end_page, string_agg(text, chr(10) || chr(10) ORDER BY k) AS text FROM walk GROUP BY doc_id, chunk")
 def chunks_split_again(spark: SparkSession, sf: str) -> DataFrame:
-    whole = parsed(spark, sf).select("doc_id", F.lit(7).alias("chunk"), F.lit(1).alias("start_page"), F.lit(99).alias("end_page"), F.regexp_replace("text", r"^# head\n\n", "").alias("text"))
-    return K.resplit(whole, 12_000, least=1)
+    whole = volume_texts(spark, sf).select("doc_id", F.lit(7).alias("chunk"), F.lit(1).alias("start_page"), F.lit(99).alias("end_page"), "text")
+    return K.resplit(whole, 64_000, least=1)
 
 
 @query(O.query("SELECT doc_id, min(page) AS first_page, max(page) AS last_page FROM book_lines GROUP BY ALL", O.BOOK_LINES))

@@ -169,13 +169,13 @@ def strictly_validated(spark: SparkSession, sf: str) -> DataFrame:
     return G.validate_strict(raw)
 
 
-_SIZES = """szs AS (SELECT doc_id, list_sort(list(DISTINCT round(s, 1)), 'DESC') AS l FROM (SELECT doc_id, s * 1.1 - pos % 7 * 0.3 AS s FROM pieces) GROUP BY doc_id),
-cl AS (SELECT doc_id, l, 1 AS k, [l[1]] AS cur, []::DOUBLE[] AS done FROM szs UNION ALL SELECT doc_id, l, k + 1, CASE WHEN abs(l[k + 1] - list_avg(cur)) <= 0.6 THEN list_append(cur, l[k + 1]) ELSE [l[k + 1]] END, CASE WHEN abs(l[k + 1] - list_avg(cur)) <= 0.6 THEN done ELSE list_append(done, round(list_avg(cur), 1)) END FROM cl WHERE k < len(l))"""
+_SIZES = """szs AS (SELECT doc_id, list_sort(list(DISTINCT round(s, 1)), 'DESC') AS l FROM (SELECT doc_id, s * 1.2 - pos % 7 * 0.4 AS s FROM pieces) GROUP BY doc_id),
+cl AS (SELECT doc_id, l, 1 AS k, [l[1]] AS cur, []::DOUBLE[] AS done FROM szs UNION ALL SELECT doc_id, l, k + 1, CASE WHEN abs(l[k + 1] - (list_sum(cur) / len(cur))) <= 0.6 THEN list_append(cur, l[k + 1]) ELSE [l[k + 1]] END, CASE WHEN abs(l[k + 1] - (list_sum(cur) / len(cur))) <= 0.6 THEN done ELSE list_append(done, round((list_sum(cur) / len(cur)), 1)) END FROM cl WHERE k < len(l))"""
 
 
-@query("WITH RECURSIVE " + ",".join([O.PIECES, _SIZES]) + " SELECT doc_id, array_to_string(list_append(done, round(list_avg(cur), 1))[:5], ' ') AS clusters FROM cl WHERE k = len(l)")
+@query("WITH RECURSIVE " + ",".join([O.PIECES, _SIZES]) + " SELECT doc_id, array_to_string(list_append(done, round((list_sum(cur) / len(cur)), 1))[:5], ' ') AS clusters FROM cl WHERE k = len(l)")
 def size_clusters(spark: SparkSession, sf: str) -> DataFrame:
-    d = pieces(spark, sf).withColumn("s", F.col("s") * 1.1 - F.col("pos") % 7 * 0.3)
+    d = pieces(spark, sf).withColumn("s", F.col("s") * 1.2 - F.col("pos") % 7 * 0.4)
     return G.size_clusters(d).select("doc_id", F.array_join(F.transform("clusters", lambda x: x.cast("string")), " ").alias("clusters"))
 
 

@@ -26,7 +26,7 @@ def kind_of(name: Column) -> Column:
 
 
 def _newest(*fields: str) -> Column:
-    return F.max_by(F.struct(*fields), F.struct("modified", "name"))
+    return F.max_by(F.struct(*fields), F.struct("modified", "name", "path"))
 
 
 def discover(files: DataFrame, kind: str, hint: str | None = None) -> DataFrame:
@@ -72,7 +72,7 @@ def choose_source(candidates: DataFrame, entries: DataFrame, start: int, end: in
     facts = pages.groupBy("path").agg(F.max("page").alias("max_page"), F.bool_or(F.col("page").between(start, end)).alias("inside"))
     j = candidates.join(facts.where("inside"), "path")
     reaches = F.col("max_page") >= end
-    best = F.max_by(F.struct("path", "max_page"), F.struct(reaches, F.when(~reaches, F.col("max_page")).otherwise(0), "modified", "name"))
+    best = F.max_by(F.struct("path", "max_page"), F.struct(reaches, F.when(~reaches, F.col("max_page")).otherwise(0), "modified", "name", "path"))
     return j.groupBy("doc_path").agg(best.alias("m")).select("doc_path", "m.*")
 
 

@@ -49,14 +49,16 @@ doc_lines AS (
   FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS p FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))
 )"""
 
+_UNSEEN = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script>|<style\b[^>]*>.*?</style>|<title\b[^>]*>.*?</title>"
+_INLINE = r"(?i)</?(?:a|b|i|em|strong|span|u|small|sup|sub|code|font|mark|abbr|cite|q|time|img|label)(?:\s[^>]*)?/?>"
+_UNESCAPED = "replace(replace(replace(replace(replace(regexp_replace(m, '^<[^>]*>', ''), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&nbsp;', ' '), '&amp;', '&')"
 HTML_LINES = f"""
 html_lines AS (
   SELECT doc_id, n AS source_order, tag, s, s / 10 AS r, x, CASE WHEN tag = 'footer' THEN 780.0 ELSE 60.0 + 17.0 * (n % 40) END AS y, b, 0 AS i, 'f1' AS f, text FROM (
-    SELECT doc_id, n, tag, CASE tag WHEN 'h1' THEN 24.0 WHEN 'p' THEN 10.0 WHEN 'li' THEN 9.0 ELSE 8.0 END::DOUBLE AS s, CASE WHEN tag = 'li' THEN 40.0 ELSE 72.0 END::DOUBLE AS x, CASE WHEN tag = 'h1' THEN 1 ELSE 0 END AS b,
-      {clean("replace(replace(replace(replace(regexp_replace(m, '^<[^>]*>', ''), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&amp;', '&')")} AS text
-    FROM (SELECT doc_id, n, ms[n] AS m, regexp_extract(ms[n], '^<(h1|p|li|footer)>', 1) AS tag FROM (
+    SELECT doc_id, n, tag, CASE tag WHEN 'h1' THEN 24.0 WHEN 'h2' THEN 18.0 WHEN 'h3' THEN 14.0 WHEN 'li' THEN 9.0 WHEN 'td' THEN 9.0 WHEN 'footer' THEN 8.0 WHEN 'nav' THEN 8.0 ELSE 10.0 END::DOUBLE AS s, CASE WHEN tag IN ('li', 'nav') THEN 40.0 ELSE 72.0 END::DOUBLE AS x, CASE WHEN tag IN ('h1', 'h2', 'h3') THEN 1 ELSE 0 END AS b, {clean(_UNESCAPED)} AS text
+    FROM (SELECT doc_id, n, ms[n] AS m, lower(regexp_extract(ms[n], '^<(/?[A-Za-z][A-Za-z0-9]*)', 1)) AS tag FROM (
       SELECT doc_id, ms, unnest(range(1, len(ms) + 1)) AS n FROM (
-        SELECT page_id AS doc_id, regexp_extract_all(regexp_replace(coalesce(html, ''), '</?(?:a|b)(?: [^>]*)?>', '', 'g'), '<(?:h1|p|li|footer)>[^<]*') AS ms FROM pages)))) WHERE text <> ''
+        SELECT page_id AS doc_id, regexp_extract_all({sub(sub("coalesce(html, '')", _UNSEEN), _INLINE)}, '<(?:/?[A-Za-z][A-Za-z0-9]*)[^>]*>[^<]*') AS ms FROM pages)))) WHERE text <> ''
 )"""
 
 #: Titles with every kind of number in front.

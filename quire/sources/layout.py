@@ -67,20 +67,24 @@ def document_lines(docs: DataFrame) -> DataFrame:
     )
 
 
-#: Style of the elements of a page.
-ELEMENTS = {"h1": (24.0, 1, 72.0), "p": (10.0, 0, 72.0), "li": (9.0, 0, 40.0), "footer": (8.0, 0, 72.0)}
+#: Styles of the elements of a page: size, bold, indent; others are as p.
+ELEMENTS = {"h1": (24.0, 1, 72.0), "h2": (18.0, 1, 72.0), "h3": (14.0, 1, 72.0), "li": (9.0, 0, 40.0), "td": (9.0, 0, 72.0), "footer": (8.0, 0, 72.0), "nav": (8.0, 0, 40.0)}
+PLAIN = (10.0, 0, 72.0)
+#: What has no text of a page, elements that don't end a line, and an element with the text after it.
+UNSEEN = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script>|<style\b[^>]*>.*?</style>|<title\b[^>]*>.*?</title>"
+INLINE = r"(?i)</?(?:a|b|i|em|strong|span|u|small|sup|sub|code|font|mark|abbr|cite|q|time|img|label)(?:\s[^>]*)?/?>"
+ELEMENT = r"<(/?[A-Za-z][A-Za-z0-9]*)[^>]*>[^<]*"
 
 
 def html_lines(pages: DataFrame) -> DataFrame:
-    """Pages as styled lines, one for each h1, p, li and footer with text: doc_id, source_order, tag, s, r, x, y, b, i, f, text."""
-    bare = F.regexp_replace(F.coalesce("html", F.lit("")), r"</?(?:a|b)(?: [^>]*)?>", "")
-    found = F.regexp_extract_all(bare, F.lit(r"<(?:h1|p|li|footer)>[^<]*"), F.lit(0))
-    d = pages.select(F.col("page_id").alias("doc_id"), F.posexplode(found).alias("n", "m"))
+    """Pages as styled lines, one for each stretch of text between block elements, whatever their attributes: doc_id, source_order, tag (that before the text), s, r, x, y, b, i, f, text."""
+    bare = F.regexp_replace(F.regexp_replace(F.coalesce("html", F.lit("")), UNSEEN, ""), INLINE, "")
+    d = pages.select(F.col("page_id").alias("doc_id"), F.posexplode(F.regexp_extract_all(bare, F.lit(ELEMENT), F.lit(0))).alias("n", "m"))
     text = F.regexp_replace("m", "^<[^>]*>", "")
-    for name, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
+    for name, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", " "), ("&amp;", "&")):
         text = F.replace(text, F.lit(name), F.lit(ch))
-    d = d.select("doc_id", (F.col("n") + 1).alias("source_order"), F.regexp_extract("m", r"^<(h1|p|li|footer)>", 1).alias("tag"), clean_text(text).alias("text")).where("text <> ''")
-    pick = lambda i: F.coalesce(*[F.when(F.col("tag") == t, F.lit(v[i])) for t, v in ELEMENTS.items()])
+    d = d.select("doc_id", (F.col("n") + 1).alias("source_order"), F.lower(F.regexp_extract("m", "^<(/?[A-Za-z][A-Za-z0-9]*)", 1)).alias("tag"), clean_text(text).alias("text")).where("text <> ''")
+    pick = lambda i: F.coalesce(*[F.when(F.col("tag") == t, F.lit(v[i])) for t, v in ELEMENTS.items()], F.lit(PLAIN[i]))
     y = F.when(F.col("tag") == "footer", 780.0).otherwise(60.0 + 17.0 * (F.col("source_order") % 40))
     return d.select("doc_id", "source_order", "tag", pick(0).alias("s"), (pick(0) / 10).alias("r"), pick(2).alias("x"), y.alias("y"), pick(1).alias("b"), F.lit(0).alias("i"), F.lit("f1").alias("f"), "text")
 

@@ -227,7 +227,7 @@ _ENTRIES = "entries AS (SELECT '/out/' || p_partkey || '_toc.json' AS path, CASE
 
 
 @query("WITH " + _FILES + ", " + _ENTRIES + """, facts AS (SELECT path, max(coalesce(page, 0)) AS max_page FROM entries GROUP BY path HAVING bool_or(coalesce(page, 0) BETWEEN 20 AND 60))
-SELECT doc_path, path, max_page FROM (SELECT l.doc_path, t.path, max_page, row_number() OVER (PARTITION BY l.doc_path ORDER BY max_page >= 60 DESC, CASE WHEN max_page >= 60 THEN 0 ELSE max_page END DESC, t.modified DESC, t.name DESC) AS n FROM linked l JOIN tocs t USING (path) JOIN facts USING (path)) WHERE n = 1""")
+SELECT doc_path, path, max_page FROM (SELECT l.doc_path, t.path, max_page, row_number() OVER (PARTITION BY l.doc_path ORDER BY max_page >= 60 DESC, CASE WHEN max_page >= 60 THEN 0 ELSE max_page END DESC, t.modified DESC, t.name DESC, t.path DESC) AS n FROM linked l JOIN tocs t USING (path) JOIN facts USING (path)) WHERE n = 1""")
 def chosen_sources(spark: SparkSession, sf: str) -> DataFrame:
     docs, tocs = files(spark, sf)
     linked = jobs.match_documents(tocs, docs).join(tocs.select("path", "name", "modified"), "path")
