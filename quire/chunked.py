@@ -10,6 +10,7 @@ from .books import _MARKER, BOOK, STYLED, Query, book_lines, book_styled, book_t
 from .operators import chunks as K
 from .operators import lines as L
 from .operators import models, toc
+from .plans import pipelines
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -328,10 +329,7 @@ _SCORED = f"scored AS (SELECT *, CASE WHEN bad OR noise THEN -99.0 WHEN regexp_m
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
-    d = book_lines(spark, sf)
-    body = L.body_size(d)
-    d = d.withColumns({"page_height": F.lit(842.0), "page_width": F.lit(595.0), "y0": F.col("y"), "y1": F.col("y") + F.col("s"), "x0": F.col("x"), "x1": F.least(F.lit(560.0), F.col("x") + F.char_length("text") * F.col("s") / 2), "rel_y0": F.col("y") / 842.0})
-    return L.score(L.gaps(d).join(body, "doc_id"))
+    return pipelines.scored_lines(book_lines(spark, sf))
 
 
 @query(O.query("SELECT doc_id, line_index, score FROM scored", O.BOOK_LINES, _V, _BS, _GEO, _SCORED))
@@ -342,3 +340,10 @@ def line_scores(spark: SparkSession, sf: str) -> DataFrame:
 @query(O.query("SELECT doc_id, page, line_index, score FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, page, nk ORDER BY score DESC, s DESC, y0, line_index) AS n FROM scored WHERE score >= 7.5) WHERE n = 1", O.BOOK_LINES, _V, _BS, _GEO, _SCORED))
 def heading_candidates(spark: SparkSession, sf: str) -> DataFrame:
     return L.candidates(scored(spark, sf)).select("doc_id", "page", "line_index", "score")
+
+
+@query()
+def heuristic_chapters(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines to chapters without a model, end to end."""
+    d = book_lines(spark, sf)
+    return pipelines.heuristic_toc(d, d.select("doc_id").distinct().withColumn("title", F.lit("")))

@@ -12,7 +12,7 @@ from ..functions.numbering import decimal_path
 from ..functions.numbers import heading_style_score
 from ..functions.predicates import has_structural_marker, is_ancillary, is_running_header_footer, is_style_heading, is_toc_listing
 from ..functions.text import clean_text, match_key, number_path_text, short_title, style_key_text
-from .attach import best_layout, has_ancillary_context, layout_score, location_text, title_evidence, visual_context
+from .attach import best_layout, has_ancillary_context, layout_score, title_evidence, visual_context
 
 SNAPSHOT = ["level", "chapter", "page", "level_reason", "layout_page", "x", "y", "font_size", "size_ratio", "layout_text", "source_order", "merge_order"]
 
@@ -234,8 +234,3 @@ def prompt(base: DataFrame, **evidence: DataFrame) -> DataFrame:
         out = out.join(df.select("doc_id", F.nullif(F.trim("text"), F.lit("")).alias(f"_{name}")), "doc_id", "left")
     parts = [F.concat(F.lit(f"[{name.replace('_', ' ')}]\n"), F.col(f"_{name}")) for name in evidence]
     return out.select("doc_id", F.concat_ws("\n\n", "_base", *parts).alias("prompt"))
-
-
-def located(candidates: DataFrame) -> Column:
-    """Where a candidate (page, line_index, font_size, size_ratio, x, y) stands, in words."""
-    return location_text(page=F.col("page"), line_index=F.col("line_index"), s=F.col("font_size"), r=F.col("size_ratio"), x=F.col("x"), y=F.col("y"))

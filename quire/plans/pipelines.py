@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.predicates import is_bad_heading
-from ..operators.lines import body_size, candidates, gaps, remove_headers_footers, score, trim_front_back
+from ..operators.fragments import build_chapters
+from ..operators.lines import body_size, candidates, gaps, score
 from ..operators.rules import apply_rules, learn_rules
-from ..sources.layout import html_lines
+from ..sources.layout import html_lines, layout_texts, parse_layout
 
 
 def rule_toc(pages: DataFrame) -> DataFrame:
@@ -18,20 +18,22 @@ def rule_toc(pages: DataFrame) -> DataFrame:
     return apply_rules(lines, learn_rules(reference, lines))
 
 
-def scored_lines(pages: DataFrame) -> DataFrame:
-    """html_lines with geometry, gaps, body size and heading score."""
-    lines = html_lines(pages).withColumns({
-        "page": F.lit(1), "line_index": F.col("source_order"), "page_height": F.lit(842.0), "page_width": F.lit(595.0),
-        "y0": F.col("y"), "y1": F.col("y") + F.col("s"), "x0": F.col("x"), "x1": F.least(F.lit(560.0), F.col("x") + F.char_length("text") * F.col("s") / 2), "rel_y0": F.col("y") / 842.0,
+def scored_lines(lines: DataFrame, *, width: float = 595.0, height: float = 842.0) -> DataFrame:
+    """Styled lines with geometry, gaps, their document's body size and heading score."""
+    d = lines.withColumns({
+        "page_height": F.lit(height), "page_width": F.lit(width), "y0": F.col("y"), "y1": F.col("y") + F.col("s"), "x0": F.col("x"), "x1": F.least(F.lit(width - 35), F.col("x") + F.char_length("text") * F.col("s") / 2), "rel_y0": F.col("y") / height,
     })
-    return score(gaps(lines).join(body_size(lines), "doc_id"))
+    return score(gaps(d).join(body_size(lines), "doc_id"))
 
 
-def heuristic_toc(pages: DataFrame, least: float = 7.5) -> DataFrame:
-    """The candidates of scored_lines as level 1 entries."""
-    best = candidates(scored_lines(pages), least)
-    return best.where(~is_bad_heading(F.col("text"))).select("doc_id", F.col("source_order").alias("pos"), F.lit(1).alias("level"), F.col("text").alias("chapter"), "page", "score")
+def heuristic_toc(lines: DataFrame, titles: DataFrame, *, least: float = 7.5, max_depth: int = 4) -> DataFrame:
+    """Styled lines to a table of contents without a model: scored, the best of each title, labels and cut titles put together, levels
+    by number and type size, finished. titles: doc_id, title."""
+    best = candidates(scored_lines(lines), least).drop("body_size")
+    best = best.withColumn("pos", F.row_number().over(Window.partitionBy("doc_id").orderBy("page", "y0", "x0", "line_index")))
+    return build_chapters(best, titles, body_size(lines), max_depth)
 
 
-def cleaned_lines(lines: DataFrame) -> DataFrame:
-    return trim_front_back(remove_headers_footers(lines))
+def layout_lines_of(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of whole text files in a layout grammar."""
+    return parse_layout(layout_texts(spark, path))

@@ -19,6 +19,13 @@ def test_layout_grammars(spark):
     assert [(r.page, r.source_order, r.s, r.b, r.f, r.column, r.text) for r in got] == [(2, 1, 12.0, 1, "f1", "L", "Title"), (2, 3, 9.0, 0, "f2", None, "body"), (3, 7, 10.0, 0, "f3", None, "Up")]
 
 
+def test_layout_files(spark, tmp_path):
+    from quire.plans import pipelines
+
+    (tmp_path / "a.txt").write_text("[PAGE 1]\n[L s=12.0 r=1.20 x=72 y=60 b=1 i=0 f=f1] Title", encoding="utf-8")
+    assert [(r.doc_id, r.page, r.text) for r in pipelines.layout_lines_of(spark, str(tmp_path)).collect()] == [("a.txt", 1, "Title")]
+
+
 def test_headers_and_bounds(spark):
     rows = [(1, p * 10 + k, p, k, k / 10, (k + 1) / 10, "Head line" if k == 0 else f"- {p} -" if k == 9 else f"text {chr(97 + p)}{chr(97 + k)}") for p in (1, 2, 3) for k in range(10)]
     d = spark.createDataFrame(rows, "doc_id long, line_index int, page int, source_order int, rel_y0 double, rel_y1 double, text string")
