@@ -7,15 +7,17 @@
 3. Pairs whose signatures agree too little are dropped (the least agreement is six standard deviations
    below what a similarity of 0.75 gives), the rest confirmed on the full sets.
 4. Confirmed pairs are joined to components by large-star and small-star.
-5. Members of buckets that then still hold several components go through rounds of TREES bands of
-   adaptive length each: a band is a sequence of DEPTH minima, in an order of its own, by which the
-   members are sorted; each is paired with the NEXT ones after it that are in other components. Members
-   that share long prefixes lie side by side, so however many members a group has, a member meets those
-   most like it. Pairs whose finer signatures, of FINE minima, agree enough (4.5 standard deviations below
-   0.75) go through 3 and join components, until a round finds no link.
-
-At 0.75, all bands miss a pair with probability (1 - 0.75 ** ROWS) ** BANDS = 5e-6. Rows never exceed
-members times bands, or times trees and NEXT: a group of copies is never paired with itself.
+5. In buckets that then still hold several components, every two members of different ones are paired.
+   A bucket is cut into blocks: components that fill some have blocks of their own, the others share
+   blocks. Two blocks meet in a task, but for two of one component, so rows are members times blocks and
+   pairs are compared where they lie: by bitmaps with a bit per shingle. Each bit that differs stands for
+   a shingle that only one set has, so a pair with more of them than 0.75 allows is no link, for certain.
+   The others go through 3's confirmation and join components.
+
+So every two texts that share a band are in one component or were compared; no bucket is too large, and
+nothing is sampled. At 0.75, all bands miss a pair with probability (1 - 0.75 ** ROWS) ** BANDS = 5e-6;
+what 3 drops by signatures, 5 compares again. The work of 5 grows with the pairs of a bucket's members in
+different components, not with those of a group of copies, which are one component by then.
 """
 
 from __future__ import annotations
@@ -37,32 +39,28 @@ PERCENT = 75
 #: Least number of agreeing minima: 96 are expected at 0.75, with a standard deviation of 4.9.
 AGREE = int(HASHES * 0.75 - 6 * (HASHES * 0.75 * 0.25) ** 0.5)
 
-#: Bands of adaptive length in a round, minima in each, and neighbours that a member meets in one.
-TREES, DEPTH, NEXT = 48, 16, 12
-#: Minima of the finer signatures and the least number of agreeing ones.
-FINE = 512
-FINE_AGREE = int(FINE * 0.75 - 4.5 * (FINE * 0.75 * 0.25) ** 0.5)
+#: Members of a block; a bucket that would have more than MOST_BLOCKS has larger ones.
+BLOCK, MOST_BLOCKS = 512, 64
+#: Bits of a bitmap for each shingle, at least; a power of two of bits in all, from the least to the most. The most make
+#: the comparison of very long texts less sharp: more pairs are confirmed, none is lost.
+PER_SHINGLE, LEAST_BITS, MOST_BITS = 8, 2**9, 2**17
 #: So many of the largest ids stand for null ones.
 NULLS = 2**40
-#: Rounds at most; each joins components, so a bound is only against endless loops.
-MOST_ROUNDS = 50
 
 _rng = np.random.Generator(np.random.PCG64(77))
 _A = _rng.integers(1, 2**63, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _rng.integers(0, 2**63, HASHES, np.uint64)
-_FINE_A = _rng.integers(1, 2**63, FINE, np.uint64) * np.uint64(2) + np.uint64(1)
-_FINE_B = _rng.integers(0, 2**63, FINE, np.uint64)
 
 SIGNED = "id long, row long, n_shingles long, c1 long, c2 long, sig binary"
 
 
-def signature(s: np.ndarray, a: np.ndarray = _A, b: np.ndarray = _B) -> np.ndarray:
-    """Minima of len(a) multiply-shift hashes of a set."""
-    best = np.full(len(a), 2**32 - 1, np.uint64)
+def signature(s: np.ndarray) -> np.ndarray:
+    """Minima of HASHES multiply-shift hashes of a set."""
+    best = np.full(HASHES, 2**32 - 1, np.uint64)
     with np.errstate(over="ignore"):
         for at in range(0, len(s), 2048):
-            h = s[at : at + 2048, None] * a
-            h += b
+            h = s[at : at + 2048, None] * _A
+            h += _B
             h >>= np.uint64(32)
             np.minimum(best, h.min(axis=0), out=best)
     return best.astype("<u4")
@@ -115,58 +113,74 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield part.select(["u", "v"]).filter(pa.array([similar(sets[a], sets[b], PERCENT) for a, b in zip(part["tu"].to_pylist(), part["tv"].to_pylist(), strict=True)], pa.bool_()))
 
 
-def _finer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """sketch: a byte of each of FINE minima. Unequal minima pass for equal ones once in 256, which drops no pair."""
-    with np.errstate(over="ignore"):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                sketch = [mix(signature(s, _FINE_A, _FINE_B).astype(np.uint64)).astype(np.uint8).tobytes() for s in shingle_sets(part["data"].to_pylist())]
-                yield pa.RecordBatch.from_arrays([*(part[c] for c in ("id", "component", "sig")), pa.array(sketch, pa.binary())], ["id", "component", "sig", "sketch"])
-
-
-def _trees(seed: int):
-    """Each member's place in the round's bands: (tree and prefix, id, component, sketch)."""
-    orders = [np.random.Generator(np.random.PCG64([seed, t])).permutation(HASHES)[:DEPTH] for t in range(TREES)]
+def _bitmap(s: np.ndarray) -> bytes:
+    """A bit for each shingle of a set, by the lowest bits of its hash."""
+    n = min(max(1 << (PER_SHINGLE * len(s) - 1).bit_length(), LEAST_BITS), MOST_BITS)
+    bits = np.zeros(n, bool)
+    bits[s & np.uint64(n - 1)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
 
-    def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with np.errstate(over="ignore"):
-            for batch in batches:
-                for at in range(0, batch.num_rows, 500):
-                    part = batch.slice(at, 500)
-                    raw = b"".join(part["sig"].to_pylist())
-                    mixed = mix(np.frombuffer(raw, "<u4").astype(np.uint64)).reshape(-1, HASHES)
-                    high = (mixed >> np.uint64(48)).astype(">u2")
-                    for t, order in enumerate(orders):
-                        keys = pa.array([bytes([t]) + x.tobytes() for x in high[:, order]], pa.binary())
-                        yield pa.RecordBatch.from_arrays([keys, part["id"], part["component"], part["sketch"]], ["key", "id", "component", "sketch"])
 
-    return trees
+def _mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 500):
+            part = batch.slice(at, 500)
+            sizes, maps = [], []
+            for s in shingle_sets(part["data"].to_pylist()):
+                sizes.append(len(s))
+                maps.append(_bitmap(s))
+            yield pa.RecordBatch.from_arrays([part["id"], pa.array(sizes, pa.int64()), pa.array(maps, pa.binary())], ["id", "size", "map"])
+
+
+def _close(of: np.ndarray, size: np.ndarray, maps: list[bytes], left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(x, y) of left and right in different components, unless their bitmaps show that they aren't similar enough."""
+    width = np.array([len(m) for m in maps])
+    # Of two similar sets one is at most 4/3 of the other: its bitmap is as wide, or twice as wide and is folded.
+    for w in np.unique(width).tolist():
+        narrow, wide = width == w, width == 2 * w
+        whole, folded = (np.frombuffer(b"".join(maps[i] for i in np.flatnonzero(m)), np.uint64) for m in (narrow, wide))
+        flat = np.concatenate([whole.reshape(-1, w // 8), np.bitwise_or.reduce(folded.reshape(-1, 2, w // 8), axis=1)])
+        row = np.zeros(len(maps), np.int64)
+        row[np.concatenate([np.flatnonzero(narrow), np.flatnonzero(wide)])] = np.arange(len(flat))
+        some, others = left[(narrow | wide)[left]], right[(narrow | wide)[right]]
+        for at in range(0, len(some), 32):
+            x, y = some[at : at + 32, None], others[None]
+            fit = 100 * np.minimum(size[x], size[y]) >= PERCENT * np.maximum(size[x], size[y])
+            i, j = np.nonzero(fit & (of[x] != of[y]) & (narrow[x] | narrow[y]))
+            i, j = x[i, 0], y[0, j]
+            step = max(1, 2**19 // w)
+            for k in range(0, len(i), step):
+                x, y = i[k : k + step], j[k : k + step]
+                differ = np.bitwise_count(flat[row[x]] ^ flat[row[y]]).sum(axis=1, dtype=np.int64)
+                # With D shingles in one set only, of S in both together, the similarity is (S - D) / (S + D).
+                keep = (100 + PERCENT) * differ <= (100 - PERCENT) * (size[x] + size[y])
+                yield x[keep], y[keep]
+
+
+def _crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(u, v), u > v, of the members of a meeting on sides 0 and 1, or both on side 2, that _close gives; a meeting's rows lie together."""
+    held = None
 
+    def met(meeting: pa.Table) -> Iterator[pa.RecordBatch]:
+        side, ids, of, size = (meeting[c].to_numpy() for c in ("side", "id", "component", "size"))
+        maps = meeting["map"].to_pylist()
+        at = [np.flatnonzero(side == k) for k in range(3)]
+        for left, right in ((at[0], at[1]), (at[2], at[2])):
+            if len(left) and len(right):
+                for x, y in _close(of, size, maps, left, right):
+                    if len(x):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.maximum(ids[x], ids[y])), pa.array(np.minimum(ids[x], ids[y]))], ["u", "v"])
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(u, v), u > v, of members in order that are at most NEXT places apart in one tree, in different components and agree enough."""
-    held = None
     for batch in batches:
-        for at in range(0, batch.num_rows, 5_000):
-            part = batch.slice(at, 5_000)
-            now = (
-                np.frombuffer(b"".join(k[:1] for k in part["key"].to_pylist()), np.uint8),
-                part["id"].to_numpy(), part["component"].to_numpy(),
-                np.frombuffer(b"".join(part["sketch"].to_pylist()), np.uint8).reshape(-1, FINE),
-            )
-            before = 0 if held is None else len(held[0])
-            tree, ids, of, sketch = now if held is None else (np.concatenate([a, b]) for a, b in zip(held, now, strict=True))
-            held = tree[-NEXT:], ids[-NEXT:], of[-NEXT:], sketch[-NEXT:]
-            us, vs = [], []
-            for k in range(1, NEXT + 1):
-                later = np.arange(max(before, k), len(tree))
-                later = later[(tree[later] == tree[later - k]) & (of[later] != of[later - k])]
-                later = later[(sketch[later] == sketch[later - k]).sum(axis=1) >= FINE_AGREE]
-                us.append(np.maximum(ids[later], ids[later - k]))
-                vs.append(np.minimum(ids[later], ids[later - k]))
-            if len(u := np.concatenate(us)):
-                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(np.concatenate(vs))], ["u", "v"])
+        now = pa.Table.from_batches([batch])
+        held = now if held is None else pa.concat_tables([held, now])
+        meeting = held["meeting"].to_numpy()
+        cuts = [0, *(np.flatnonzero(meeting[1:] != meeting[:-1]) + 1).tolist()]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield from met(held.slice(a, b - a))
+        held = held.slice(cuts[-1])  # may go on
+    if held is not None:
+        yield from met(held)
 
 
 class Graph:
@@ -195,7 +209,7 @@ class Graph:
         return shared
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """The (u, v) of pairs, whose signatures agree, that are similar enough."""
+        """The (u, v) of pairs that are similar enough."""
         with_u = pairs.join(self.texts.withColumnsRenamed({"id": "u", "data": "tu"}), "u")
         both = with_u.join(self.texts.withColumnsRenamed({"id": "v", "data": "tv"}), "v").select("u", "v", "tu", "tv")
         return self.ws.write(both.mapInArrow(_confirm, "u long, v long").distinct(), "links")
@@ -208,14 +222,35 @@ class Graph:
         return self.ws.write(pairs.mapInArrow(_agree, "u long, v long"), "stars-agreeing")
 
     def _torn(self, label: DataFrame) -> DataFrame:
-        """(id, component, sig, sketch) of the members of buckets with several components. label: (id, component) where it isn't id."""
+        """(bucket, id, component, block) of the members of buckets with several components. label: (id, component) where it isn't id."""
         member = self.ws.write(_labelled(self.bands.select("bucket", "id"), label), "members")
-        torn = member.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("bucket")
-        rest = member.join(torn, "bucket", "left_semi").select("id", "component").distinct()
-        whole = rest.join(self.sigs, "id").join(self.texts, "id").select("id", "component", "sig", "data")
-        found = self.ws.write(whole.mapInArrow(_finer, "id long, component long, sig binary, sketch binary"), "torn")
-        self.ws.done(member)
-        return found
+        sizes = member.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+        torn = sizes.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.sum("n").alias("m")).where("a < b")
+        parts = sizes.join(torn.select("bucket", F.greatest(F.lit(BLOCK), F.ceil(F.col("m") / MOST_BLOCKS)).alias("size")), "bucket")
+        parts = self.ws.write(parts.withColumn("own", F.col("n") >= F.col("size")), "parts")
+        small = parts.where("not own").groupBy("bucket").agg(F.sum("n").alias("small"))
+        parts = parts.join(small, "bucket", "left")
+        # A component that fills blocks has its own, by id; the others are dealt whole.
+        cells = F.ceil(F.when(F.col("own"), F.col("n")).otherwise(F.col("small")) / F.col("size"))
+        key = F.when(F.col("own"), F.xxhash64("id")).otherwise(F.xxhash64("component"))
+        block = F.struct("own", F.when(F.col("own"), F.col("component")).otherwise(0).alias("of"), F.pmod(key, "cells").alias("cell"))
+        dealt = member.join(parts.select("bucket", "component", "own", cells.alias("cells")), ["bucket", "component"])
+        return self.ws.write(dealt.select("bucket", "id", "component", block.alias("block")), "torn")
+
+    def _rest(self, torn: DataFrame) -> DataFrame:
+        """(u, v): all members of one bucket that are in different components, but for those that can't be similar enough."""
+        ws, n = self.ws, shuffle_partitions(self.spark)
+        texts = self.texts.join(torn.select("id").distinct(), "id", "left_semi")
+        maps = ws.write(texts.mapInArrow(_mapped, "id long, size long, map binary"), "maps")
+        blocks = ws.write(torn.select("bucket", "block").distinct(), "blocks")
+        met = blocks.withColumnRenamed("block", "x").join(blocks.withColumnRenamed("block", "y"), "bucket")
+        met = met.where("x <= y and not (x.own and y.own and x.of = y.of)").withColumn("meeting", F.xxhash64("bucket", "x", "y"))
+        sides = F.when(F.col("x") == F.col("y"), F.array(F.struct(F.lit(2).alias("side"), F.col("x").alias("block"))))
+        sides = sides.otherwise(F.array(F.struct(F.lit(0).alias("side"), F.col("x").alias("block")), F.struct(F.lit(1).alias("side"), F.col("y").alias("block"))))
+        seats = met.select("bucket", "meeting", F.inline(sides))
+        placed = torn.join(seats, ["bucket", "block"]).select("meeting", "side", "id", "component").join(maps, "id")
+        together = placed.repartition(n, "meeting").sortWithinPartitions("meeting")
+        return together.mapInArrow(_crossed, "u long, v long").distinct()
 
     def _joined(self, label: DataFrame, links: DataFrame) -> DataFrame:
         """label after links joined components: only the components that links touch are a graph again."""
@@ -227,23 +262,13 @@ class Graph:
 
     def labels(self) -> DataFrame:
         """(c1, c2, component) of each class: the least id that links reach."""
-        ws, n = self.ws, shuffle_partitions(self.spark)
+        ws = self.ws
         tried = self._stars()
         label = _named(components(ws, self.confirmed(tried)))
-        torn = self._torn(label)
-        for seed in range(MOST_ROUNDS):
-            placed = torn.mapInArrow(_trees(seed), "key binary, id long, component long, sketch binary")
-            # Members with equal keys are dealt by id: a group of near copies is many tasks.
-            ordered = placed.repartitionByRange(n, "key", "id").sortWithinPartitions("key", "id")
-            fresh = ws.write(ordered.mapInArrow(_neighbours, "u long, v long").distinct().join(tried, ["u", "v"], "left_anti"), "pairs")
-            more = self.confirmed(fresh)
-            if not more.limit(1).count():
-                break
+        fresh = ws.write(self._rest(self._torn(label)).join(tried, ["u", "v"], "left_anti"), "pairs")
+        more = self.confirmed(fresh)
+        if more.limit(1).count():
             label = self._joined(label, more)
-            tried = ws.write(tried.unionByName(fresh), "tried")
-            torn = ws.write(_labelled(torn.drop("component"), label).select("id", "component", "sig", "sketch"), "torn")
-        else:
-            raise RuntimeError(f"components still grow after {MOST_ROUNDS} rounds")
         return ws.write(_labelled(self.classes.select("c1", "c2", "id"), label).select("c1", "c2", "component"), "labels")
 
 

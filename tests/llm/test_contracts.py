@@ -6,6 +6,7 @@ import re
 import struct
 import zlib
 
+import numpy as np
 import pytest
 
 from quire.llm import html_text, line_dedup, media, mixing, near_dedup, packing, pii, quality_model, quality_rules, suffix_dedup
@@ -348,6 +349,57 @@ def test_near_duplicates(spark, docs, edge, empty):
     assert near_dedup.keep_one(spark, edge).columns == edge.columns
 
 
+def crowd(n=2500, linked=12):
+    """A text, copies of it that are just linked to it and a crowd before them that just isn't; no two others are linked."""
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(120)]
+
+    def copy(k, run):  # run words replaced: run + 4 of the 116 shingles
+        at = rng.randrange(4, 116 - run)
+        return " ".join([*base[:at], *(f"x{k}y{i}" for i in range(run)), *base[at + run :]])
+
+    return [*((k, copy(k, 13)) for k in range(n)), (50_000, " ".join(base)), *((60_000 + k, copy(60_000 + k, 12)) for k in range(linked))]
+
+
+def test_near_duplicates_in_a_crowd(spark):
+    rows = crowd()
+    own, jaccard = shingles(rows[2500][1]), lambda a, b: len(a & b) / len(a | b)
+    assert all((jaccard(own, shingles(t)) >= 0.75) == (i >= 50_000) for i, t in rows)
+    assert max(jaccard(shingles(a), shingles(b)) for k, (_, a) in enumerate(rows[:200]) for _, b in rows[:k]) < 0.75
+    found = near_dedup.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: min(i, 50_000) for i, _ in rows}
+
+
+def test_near_duplicates_bitmaps(monkeypatch):
+    """No pair that is similar enough is lost, whatever the bitmaps' widths, and blocks that meet are what all pairs are."""
+    rng = np.random.default_rng(5)
+    sets = []
+    for n in (1, 3, 60, 64, 65, 100, 128, 129, 1000, 20_000):
+        base = rng.integers(0, 2**64, n, np.uint64)
+        for part in (0.7, 0.74, 0.75, 0.76, 0.9, 1.0):
+            sets.append(np.unique(base[: max(1, round(n * part))]))
+            swapped = rng.integers(0, 2**64, max(1, round(n * (1 - part) / 2)), np.uint64)
+            sets.append(np.unique(np.concatenate([base[len(swapped) :], swapped])))
+    of, size = np.arange(len(sets)), np.array([len(s) for s in sets])
+    want = {(i, j) for i in of.tolist() for j in range(i) if near_dedup.similar(sets[i], sets[j])}
+    for most in (near_dedup.MOST_BITS, 1024):  # a coarse bitmap gives more pairs, never fewer
+        monkeypatch.setattr(near_dedup, "MOST_BITS", most)
+        maps = [near_dedup._bitmap(s) for s in sets]
+        got = {(max(i, j), min(i, j)) for x, y in near_dedup._close(of, size, maps, of, of) for i, j in zip(x.tolist(), y.tolist(), strict=True)}
+        assert want <= got and len(want) > 100
+        halves = [(max(i, j), min(i, j)) for x, y in near_dedup._close(of // 3, size, maps, of[::2], of[1::2]) for i, j in zip(x.tolist(), y.tolist(), strict=True)]
+        assert set(halves) == {(i, j) for i, j in got if (i - j) % 2 and i // 3 != j // 3} and len(set(halves)) == len(halves)
+
+
+def test_near_duplicates_with_small_blocks(spark, monkeypatch):
+    """Buckets cut into many blocks, with components that fill blocks of their own, lose no link."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 3)
+    monkeypatch.setattr(near_dedup, "MOST_BLOCKS", 5)
+    rows = [*variants(), *crowd(60, 4)]
+    got = [(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert counted(got) == counted(brute_components(rows))
+
+
 # --- repeated strings -----------------------------------------------------------------------------------
 
 
