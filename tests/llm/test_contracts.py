@@ -711,6 +711,16 @@ def test_mixing(spark, docs, edge, empty):
     assert mixing.mix(spark, empty).count() == 0 and mixing.sample(spark, edge).columns == edge.columns
 
 
+def test_pipeline_near_dedup_in_a_crowd(spark, sf):
+    """Members of a bucket that aren't linked to its least one are still held against each other."""
+    import corpus_pipeline as C
+
+    near = dict(C.STAGES)["near dedup"]
+    d = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in crowd()], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = near(spark, d, sf)
+    assert kept.columns == d.columns and sorted(r.doc_id for r in kept.collect()) == [*range(2500), 50_000]
+
+
 def test_pipeline(spark, sf, docs):
     import corpus_pipeline as C
 
