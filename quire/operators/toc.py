@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from statistics import median
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from ..functions.numbering import decimal_path
 from ..functions.numbers import clamp, int_or, title_line_score
 from ..functions.predicates import has_heading_marker, has_structural_marker, is_generic_title, is_marker_only, is_repeated_running_title, is_running_header_footer, is_toc_listing
 from ..functions.text import clean_text, duplicate_title_key, match_key, norm, short_title
+from .folds import appended, folded
 
 
 def validate(toc: DataFrame, max_depth: int = 6) -> DataFrame:
@@ -97,34 +99,32 @@ def reference_examples(toc: DataFrame, most: int = 5) -> DataFrame:
 def level_references(toc: DataFrame, max_depth: int = 6, most: int = 5) -> DataFrame:
     """The running examples of each level (doc_id, level, rank, title, font_size, size_ratio, x, bold, italic) after all rows of toc (in order of pos, chunk after chunk).
 
-    A row adds its style unless its title is there already; then outliers go and the first `most` stay, as after each row: a fold per level.
+    A row adds its style unless its title is there already; then outliers go and the first `most` stay, as after each row: a fold per level,
+    which holds one row more than stay.
     """
-    import pandas as pd
-
-    t = toc.where(F.col("level").between(1, max_depth)).select("doc_id", "level", "pos", short_title("chapter").alias("title"), match_key(short_title("chapter")).alias("_key"), "font_size", "size_ratio", "x", "bold", "italic").where("title <> ''")
-    out = "doc_id long, level int, rank int, title string, font_size double, size_ratio double, x double, bold int, italic int"
+    style = ["font_size", "size_ratio", "x", "bold", "italic"]
+    t = toc.where(F.col("level").between(1, max_depth)).select("doc_id", "level", "pos", short_title("chapter").alias("title"), *style).where("title <> ''")
+    t = t.select("doc_id", "level", "pos", "title", match_key("title").alias("_key"), *style)
 
-    def outlier(e: dict, mf: float, mr: float) -> bool:
-        f, r = e["font_size"], e["size_ratio"]
+    def outlier(f: float | None, r: float | None, mf: float, mr: float) -> bool:
         if f is None or r is None:
             return False
         return mf >= 12 and f < mf * 0.7 and mr >= 1.25 and r < mr * 0.75 or mr >= 1.5 and r <= 1.12 and f < mf * 0.9 or mf >= 8 and mr >= 0.8 and f > mf * 1.8 and r > mr * 1.8
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        held: list[dict] = []
-        for e in pdf.sort_values("pos").astype(object).where(pdf.notna(), None).to_dict("records"):
-            if any(h["_key"] == e["_key"] for h in held):
+    def fold(rows):
+        held: list[tuple] = []
+        for e in rows:
+            if any(h[4] == e[4] for h in held):
                 continue
             held.append(e)
-            styled = [h for h in held if h["font_size"] is not None and h["size_ratio"] is not None]
+            styled = [h for h in held if h[5] is not None and h[6] is not None]
             if len(styled) >= 3:
-                mf, mr = (pd.Series([h[c] for h in styled]).median() for c in ("font_size", "size_ratio"))
-                held = [h for h in held if not outlier(h, mf, mr)] or held
+                mf, mr = (median(h[c] for h in styled) for c in (5, 6))
+                held = [h for h in held if not outlier(h[5], h[6], mf, mr)] or held
             held = held[:most]
-        rows = [(h["doc_id"], h["level"], k, *(h[c] for c in ("title", "font_size", "size_ratio", "x", "bold", "italic"))) for k, h in enumerate(held, 1)]
-        return pd.DataFrame(rows, columns=[x.split()[0] for x in out.split(", ")])
+        return [(h[0], h[1], k, h[3], *h[5:]) for k, h in enumerate(held, 1)]
 
-    return t.groupBy("doc_id", "level").applyInPandas(fold, out)
+    return folded(t, ["doc_id", "level"], ["pos"], fold, "doc_id long, level int, rank int, title string, font_size double, size_ratio double, x double, bold int, italic int")
 
 
 def numbering_gaps(toc: DataFrame) -> DataFrame:
@@ -177,19 +177,25 @@ def near_page_duplicates(toc: DataFrame) -> DataFrame:
     t = t.withColumns({"_rank": F.row_number().over(by.orderBy("_k._keep")), "_order": F.row_number().over(by.orderBy("_k._at")), "_rows": F.count("*").over(by)})
     once = t.where("_rows = 1 or _key = ''").select("doc_id", "pos")
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        kept: list = []
-        for r in pdf.sort_values("_order").itertuples(index=False):
-            twin = next((k for k in kept if k.level == r.level and abs(k.page - r.page) <= 1), None)
-            if twin is None:
-                kept.append(r)
-            elif r.rank < twin.rank:
-                kept.remove(twin)
-                kept.append(r)
-        return pd.DataFrame({"doc_id": [k.doc_id for k in kept], "pos": [k.pos for k in kept]})
-
-    several = t.where("_rows > 1 and _key <> ''").select("doc_id", "pos", "level", "page", "_key", F.col("_rank").alias("rank"), "_order")
-    stays = several.groupBy("doc_id", "_key").applyInPandas(fold, once.schema)
+    def fold(rows):
+        kept: dict[tuple, list] = {}  # by level and page, with the place among the kept
+        out: dict[int, tuple] = {}
+        for n, (doc, _, pos, level, page, rank, _) in enumerate(rows):
+            if level is None or page is None:
+                out[n] = doc, pos
+                continue
+            twin = min((k for p in (page - 1, page, page + 1) for k in kept.get((level, p), [])), default=None)
+            if twin is not None:
+                if rank >= twin[1]:
+                    continue
+                kept[level, twin[2]].remove(twin)
+                del out[twin[0]]
+            kept.setdefault((level, page), []).append((n, rank, page))
+            out[n] = doc, pos
+        return out.values()
+
+    several = t.where("_rows > 1 and _key <> ''").select("doc_id", "_key", "pos", "level", "page", "_rank", "_order")
+    stays = folded(several, ["doc_id", "_key"], ["_order"], fold, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in once.schema))
     return toc.join(once.unionByName(stays), ["doc_id", "pos"], "left_semi")
 
 
@@ -221,37 +227,52 @@ def level_examples(toc: DataFrame) -> DataFrame:
 
 
 def outline(toc: DataFrame, last_page: Column) -> DataFrame:
-    """toc with parent_pos (the nearest heading before of a smaller level), path (the open headings' pos, outermost first) and
-    end_page (the page of the next heading of no deeper level, else last_page). One pass with a stack per document."""
-    import pandas as pd
-
-    t = toc.withColumn("end_page", last_page.cast("long"))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in t.select("doc_id", "pos", "end_page").schema) + ", parent_pos bigint, path array<bigint>"
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos").reset_index(drop=True)
-        ends, parents, paths = pdf["end_page"].tolist(), [], []
-        stack: list[tuple[int, int, int]] = []  # level, pos, row
-        for k, (level, pos, page) in enumerate(zip(pdf["level"].tolist(), pdf["pos"].tolist(), pdf["page"].tolist(), strict=True)):
-            while stack and stack[-1][0] >= level:
-                ends[stack.pop()[2]] = page
-            parents.append(stack[-1][1] if stack else None)
-            paths.append([p for _, p, _ in stack])
-            stack.append((level, pos, k))
-        return pd.DataFrame({"doc_id": pdf["doc_id"], "pos": pdf["pos"], "end_page": ends, "parent_pos": pd.array(parents, "Int64"), "path": paths})
-
-    found = t.select("doc_id", "pos", "level", "page", "end_page").groupBy("doc_id").applyInPandas(fold, schema)
-    return toc.join(found, ["doc_id", "pos"])
+    """toc with end_page (the page of the next heading of no deeper level, else last_page), parent_pos (the nearest heading before of a
+    smaller level) and path (the open headings' pos, outermost first)."""
+    return ancestors(section_ends(toc, last_page))
 
 
 def ancestors(toc: DataFrame) -> DataFrame:
-    """toc with parent_pos and path, as outline has them."""
-    return outline(toc, F.lit(None)).drop("end_page")
+    """toc with parent_pos and path, as outline has them. One pass with a stack of the open headings."""
+
+    def start():
+        stack: list[tuple[int, int]] = []  # level, pos
+
+        def step(doc, level, pos):
+            if doc is None or level is None:
+                return None, []
+            while stack and stack[-1][0] >= level:
+                stack.pop()
+            path = [p for _, p in stack]
+            stack.append((level, pos))
+            return path[-1] if path else None, path
+
+        return step
+
+    return appended(toc, ["doc_id"], ["pos"], ["doc_id", "level", "pos"], start, "parent_pos bigint, path array<bigint>")
 
 
 def section_ends(toc: DataFrame, last_page: Column) -> DataFrame:
-    """toc with end_page, as outline has it."""
-    return outline(toc, last_page).drop("parent_pos", "path")
+    """toc with end_page, as outline has it. One pass from the end, with the next headings of each level that no later one hides."""
+
+    def start():
+        stack: list[tuple[int, int]] = []  # level, page
+
+        def step(doc, level, page, last):
+            if doc is None or level is None:
+                return (last,)
+            while stack and stack[-1][0] > level:
+                stack.pop()
+            end = stack[-1][1] if stack else last
+            if stack and stack[-1][0] == level:
+                stack.pop()
+            stack.append((level, page))
+            return (end,)
+
+        return step
+
+    t = toc.withColumn("_last", last_page.cast("long"))
+    return appended(t, ["doc_id"], [F.desc("pos")], ["doc_id", "level", "page", "_last"], start, "end_page bigint").drop("_last")
 
 
 def level_groups(max_level: int, size: int = 3) -> list[tuple[int, int]]:
