@@ -55,14 +55,16 @@ def discover(files: DataFrame, kind: str, hint: str | None = None) -> DataFrame:
 def match_documents(sources: DataFrame, documents: DataFrame) -> DataFrame:
     """sources (path, names array) with the document (doc_path, doc_stem) whose key begins one of their names' keys; the longest key, then the greatest path.
 
-    Every beginning of a name is a join key: an equi-join, not a comparison of all with all.
+    Every beginning of a name is a join key: an equi-join, not a comparison of all with all. Of documents of one key only the greatest path
+    can count, and names that are equal are looked up once, so a row for each is all that meets.
     """
     d = documents.select(F.col("path").alias("doc_path"), F.col("stem").alias("doc_stem"), document_key("stem").alias("_key")).where("_key <> ''")
+    d = d.groupBy("_key").agg(F.max_by(F.struct("doc_path", "doc_stem"), "doc_path").alias("d"))
     names = sources.select("path", F.explode("names").alias("_n")).select("path", document_key(stem_of(F.col("_n"))).alias("_n")).where("_n <> ''").distinct()
-    begin = F.transform(F.sequence(F.lit(1), F.char_length("_n")), lambda k: F.substring(F.col("_n"), F.lit(1), k))
-    j = names.select("path", F.explode(begin).alias("_key")).distinct().join(d, "_key")
-    best = F.max_by(F.struct("doc_path", "doc_stem"), F.struct(F.char_length("_key"), "doc_path"))
-    return j.groupBy("path").agg(best.alias("m")).select("path", "m.*")
+    begin = F.explode(F.transform(F.sequence(F.lit(1), F.char_length("_n")), lambda k: F.substring(F.col("_n"), F.lit(1), k)))
+    best = lambda n: F.max_by("d", F.struct(n, F.col("d.doc_path")))
+    known = names.select("_n").distinct().select("_n", begin.alias("_key")).join(d, "_key").groupBy("_n").agg(best(F.char_length("_key")).alias("d"), F.max(F.char_length("_key")).alias("_size"))
+    return names.join(known, "_n").groupBy("path").agg(best(F.col("_size")).alias("m")).select("path", "m.*")
 
 
 def choose_source(candidates: DataFrame, entries: DataFrame, start: int, end: int) -> DataFrame:
@@ -102,13 +104,16 @@ def resolve(references: DataFrame, chunks: DataFrame, parsed: DataFrame) -> Data
     of the run they name, else of the same document; its parsed text (path, name, modified, run) is that of the chunk's run, else of a document whose name begins as it."""
     r = references.select(F.col("path").alias("reference"), F.element_at(F.split("run", r"[/\\]"), -1).alias("run"), document_key(source_name(F.col("source_input"), F.col("title"), F.col("path"))).alias("_key"))
     c = chunks.select("path", "name", "modified", "run", F.nullif(clean_text("source_pdf"), F.lit("")).alias("source")).withColumn("_key", document_key(stem_of(F.col("source"))))
-    pick = F.max_by(F.struct("path", "run", "source"), F.struct("modified", "name")).alias("m")
-    own = r.join(c.drop("_key"), "run").groupBy("reference").agg(pick)
-    same = r.join(own.select("reference"), "reference", "left_anti").drop("run").join(c.where("_key <> ''"), "_key").groupBy("reference").agg(pick)
+    # What a run, a document or a name's beginning has is one newest row, before anything meets it: groups are as large as they like.
+    newest = lambda rows, by, order, *fields: rows.groupBy(by).agg(F.max_by(F.struct(*fields), F.struct(*order)).alias("m"), F.max(F.struct(*order)).alias("o"))
+    pick = F.max_by("m", "o").alias("m")
+    own = r.join(newest(c, "run", ["modified", "name"], "path", "run", "source"), "run").groupBy("reference").agg(pick)
+    same = r.join(own.select("reference"), "reference", "left_anti").join(newest(c.where("_key <> ''"), "_key", ["modified", "name"], "path", "run", "source"), "_key").groupBy("reference").agg(pick)
     found = own.unionByName(same).select("reference", F.col("m.path").alias("chunk"), F.col("m.run").alias("run"), F.coalesce(stem_of(F.col("m.source")), F.col("m.run")).alias("_source"))
-    p = parsed.select("path", "name", "modified", F.col("run").alias("_run"), document_key(stem_of(F.col("name"))).alias("_text"))
-    exact = found.join(p, F.col("run") == F.col("_run")).groupBy("reference", "chunk").agg(_newest("path", "name").alias("m"))
+    p = parsed.select("path", "name", "modified", "run", document_key(stem_of(F.col("name"))).alias("_text"))
+    order = ["modified", "name", "path"]
+    exact = found.join(newest(p, "run", order, "path", "name"), "run").groupBy("reference", "chunk").agg(pick)
     rest = found.join(exact.select("reference"), "reference", "left_anti").withColumn("_key", document_key("_source")).where("_key <> ''")
     begin = F.explode(F.transform(F.sequence(F.lit(1), F.char_length("_text")), lambda k: F.substring(F.col("_text"), F.lit(1), k)))
-    like = rest.join(p.where("_text <> ''").withColumn("_key", begin), "_key").groupBy("reference", "chunk").agg(_newest("path", "name").alias("m"))
+    like = rest.join(newest(p.where("_text <> ''").withColumn("_key", begin), "_key", order, "path", "name"), "_key").groupBy("reference", "chunk").agg(pick)
     return exact.unionByName(like).select("reference", "chunk", F.col("m.path").alias("parsed"))

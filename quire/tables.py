@@ -210,7 +210,9 @@ linked AS (SELECT path, doc_path, doc_stem FROM (SELECT t.path, d.path AS doc_pa
 
 def files(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """(documents, tables of contents with the names they go by)."""
-    p, text = spark.read.parquet(f"{sf}/part.parquet"), lambda *c: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in c])
+    from .session import spread
+
+    p, text = spread(spark.read.parquet(f"{sf}/part.parquet")), lambda *c: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in c])
     key = F.col("p_partkey").cast("string")
     docs = p.where("p_size < 12").select(text(F.col("p_name"), " ", F.col("p_brand")).alias("stem"), text("/in/", key, ".pdf").alias("path"))
     name = text(F.upper("p_name"), "-", F.col("p_brand"), "_", F.col("p_size").cast("string"), ".json")
@@ -281,7 +283,9 @@ alike AS (SELECT g.reference, g.chunk, p.path, row_number() OVER (PARTITION BY g
 
 @query("WITH " + _JOBS + " SELECT reference, chunk, path AS parsed FROM exact WHERE n = 1 UNION ALL SELECT reference, chunk, path FROM alike WHERE n = 1")
 def document_jobs(spark: SparkSession, sf: str) -> DataFrame:
-    p = spark.read.parquet(f"{sf}/part.parquet")
+    from .session import spread
+
+    p = spread(spark.read.parquet(f"{sf}/part.parquet"))
     key, n, name = F.col("p_partkey").cast("string"), F.col("p_size"), F.col("p_name")
     t = lambda *c: F.concat(*[F.lit(x) if isinstance(x, str) else x.cast("string") for x in c])
     refs = p.where("p_partkey % 4 = 0").select(t("/r/", key, "_chunk1.json").alias("path"), F.when(n % 2 == 0, t("C:\\in\\", name, ".pdf")).alias("source_input"), t(name, n).alias("title"), F.when(n % 3 == 0, t("/runs/run", n % 7)).alias("run"))

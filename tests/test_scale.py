@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from quire.operators import toc
+from quire.operators import chunks, jobs, toc
 
 
 def plan(df):
@@ -15,3 +15,52 @@ def test_outlines_are_one_pass(spark):
     assert "FlatMapGroupsInPandas" not in plan(o) and " Join " not in plan(o)
     got = {(r.doc_id, r.pos): (r.end_page, r.parent_pos, r.path) for r in o.collect()}
     assert got == {(1, 1): (40, None, []), (1, 2): (30, 1, [1]), (1, 3): (40, 1, [1]), (1, 4): (99, None, []), (2, 1): (99, None, []), (None, 1): (99, None, [])}
+
+
+def joined(df):
+    """The most rows that a join of df makes when it is run, and df's rows."""
+    rows = df.collect()
+    found = [0]
+
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan())
+        if "Join" in name and node.metrics().contains("numOutputRows"):
+            found.append(node.metrics().apply("numOutputRows").value())
+        for k in range(node.children().size()):
+            walk(node.children().apply(k))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return max(found), rows
+
+
+def test_files_of_one_name_meet_once(spark):
+    docs = spark.range(300).select(F.lit("Big book").alias("stem"), F.concat(F.lit("/in/"), F.lpad("id", 4, "0")).alias("path"))
+    sources = spark.range(300).select(F.concat(F.lit("/out/"), F.col("id")).alias("path"), F.array(F.lit("big_book_toc.json")).alias("names"))
+    most, rows = joined(jobs.match_documents(sources, docs))
+    assert len(rows) == 300 and {r.doc_path for r in rows} == {"/in/0299"}
+    assert most <= 600
+
+
+def test_runs_of_many_chunks_meet_once(spark):
+    text = lambda *c: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in c])
+    n, none = F.col("id"), F.lit(None).cast("string")
+    refs = spark.range(200).select(text("/r/", n).alias("path"), none.alias("source_input"), F.lit("book").alias("title"), F.when(n % 2 == 0, "run1").alias("run"))
+    chunks = spark.range(200).select(text("/c/", n).alias("path"), F.lpad("id", 4, "0").alias("name"), F.lit(1).alias("modified"), F.lit("run1").alias("run"), F.lit("/in/book.pdf").alias("source_pdf"))
+    parsed = spark.range(200).select(text("/p/", n).alias("path"), text("book", F.lpad("id", 4, "0"), "_parsed.txt").alias("name"), F.lit(1).alias("modified"), none.alias("run"))
+    most, rows = joined(jobs.resolve(refs, chunks, parsed))
+    assert len(rows) == 200 and {(r.chunk, r.parsed) for r in rows} == {("/c/199", "/p/199")}
+    assert most <= 400
+
+
+def test_long_pages_stay_whole(spark):
+    page = "word " * 20_000
+    d = spark.createDataFrame([(1, 1, "a"), (1, 2, page), (1, 3, "b")], "doc_id long, page int, text string")
+    whole = sorted(chunks.char_chunks(d, 64_000, least=1, whole=True).collect(), key=lambda r: r.chunk)
+    assert [(r.start_page, r.end_page, r.text) for r in whole] == [(1, 1, "[PAGE 1]\na"), (2, 2, "[PAGE 2]\n" + page), (3, 3, "[PAGE 3]\nb")]
+    assert all(len(r.text) <= 64_000 for r in chunks.char_chunks(d, 64_000, least=1).collect())
+    text = spark.createDataFrame([(1, 7, 1, 9, "\n\n".join(r.text for r in whole))], "doc_id long, chunk int, start_page int, end_page int, text string")
+    assert [r.text for r in chunks.resplit(text, 64_000, least=1, whole=True).collect()] == [r.text.strip() for r in whole]
