@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from . import oracles as O
 from .books import Query, book_lines
 from .functions import predicates as P
-from .functions.numbering import fixed_level, is_numbered, number_info, numbered_level, prefix_info
+from .functions.numbering import number_info, prefix_info
+from .functions.text import settled
 from .operators import fragments as G
+from .session import spread
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -33,11 +35,11 @@ def pieces(spark: SparkSession, sf: str) -> DataFrame:
     kind = (key * 7 + F.col("p_size")) % len(O._PIECES)
     # The texts' expressions are the same in both languages.
     text = F.expr("CASE kind " + " ".join(f"WHEN {k} THEN {v}" for k, v in enumerate(O._PIECES)) + " END")
-    d = spark.read.parquet(f"{sf}/part.parquet").withColumn("kind", kind)
+    d = settled(spread(spark.read.parquet(f"{sf}/part.parquet")).withColumn("kind", kind), {"text": text})
     n = F.col("p_size")
     return d.select(
         F.floor(key / 40).alias("doc_id"), pos.cast("int").alias("pos"), pos.cast("int").alias("line_index"), (F.floor(pos / 10) + 1).cast("int").alias("page"), (10 + n % 5).cast("double").alias("s"), (n % 2).cast("int").alias("b"), F.lit(0).alias("i"),
-        (60 + n % 3 * 40).cast("double").alias("x0"), y0.alias("y0"), (200 + n).cast("double").alias("x1"), (y0 + 12).alias("y1"), F.lit(595.0).alias("page_width"), (n % 11).cast("double").alias("score"), (n % 6 + 1).cast("int").alias("level"), text.alias("text"),
+        (60 + n % 3 * 40).cast("double").alias("x0"), y0.alias("y0"), (200 + n).cast("double").alias("x1"), (y0 + 12).alias("y1"), F.lit(595.0).alias("page_width"), (n % 11).cast("double").alias("score"), (n % 6 + 1).cast("int").alias("level"), "text",
     )
 
 
@@ -48,9 +50,10 @@ _PREFIX = r"^(\d+(?:\.\d+){1,5})\.?$"
 @query(O.query("SELECT doc_id, pos, is_numbered, fixed, CASE WHEN NOT bad THEN fixed END AS numbered, lone, after_number, after_plain, label, bad_fragment, bad, ref_head, ref_item FROM v", O.PIECES, V))
 def heading_numbers(spark: SparkSession, sf: str) -> DataFrame:
     t = F.col("text")
-    return pieces(spark, sf).select(
-        "doc_id", "pos", is_numbered(t).alias("is_numbered"), fixed_level(t).alias("fixed"), numbered_level(t).alias("numbered"), P.is_lone_number_fragment(t).alias("lone"), P.merges_after_number(t).alias("after_number"), P.merges_after_plain(t).alias("after_plain"),
-        G.label_kind(t).alias("label"), P.is_bad_numbered_fragment(t).alias("bad_fragment"), P.is_bad_heading(t).alias("bad"), P.is_reference_heading(t).alias("ref_head"), P.is_reference_item(t).alias("ref_item"),
+    d = settled(pieces(spark, sf).select("doc_id", "pos", "text"), {"f": P.heading_facts(t)})
+    return d.select(
+        "doc_id", "pos", F.col("f.numbered").alias("is_numbered"), F.col("f.fixed_level").alias("fixed"), F.col("f.numbered_level").alias("numbered"), F.col("f.lone").alias("lone"), P.merges_after_number(t).alias("after_number"), P.merges_after_plain(t).alias("after_plain"),
+        G.label_kind(t).alias("label"), F.col("f.bad_fragment").alias("bad_fragment"), F.col("f.bad").alias("bad"), F.col("f.reference_heading").alias("ref_head"), F.col("f.reference_item").alias("ref_item"),
     )
 
 
@@ -209,8 +212,8 @@ _DOCV = O.numbered("book_lines")
 
 @query(O.query("SELECT doc_id, line_index, noise, bad AS bad_heading, page_mark AS page_marker, formula FROM v", O.BOOK_LINES, _DOCV))
 def heading_vetoes(spark: SparkSession, sf: str) -> DataFrame:
-    t = F.col("text")
-    return book_lines(spark, sf).select("doc_id", "line_index", P.is_noise(t).alias("noise"), P.is_bad_heading(t).alias("bad_heading"), P.is_page_marker(t).alias("page_marker"), P.is_formula_or_corrupt(t).alias("formula"))
+    d = settled(book_lines(spark, sf).select("doc_id", "line_index", "text"), {"f": P.heading_facts(F.col("text"))})
+    return d.select("doc_id", "line_index", F.col("f.noise").alias("noise"), F.col("f.bad").alias("bad_heading"), F.col("f.page_marker").alias("page_marker"), F.col("f.formula").alias("formula"))
 
 
 @query(O.query("SELECT doc_id, line_index, style, number_text, body, num_level AS level FROM v", O.BOOK_LINES, _DOCV))
