@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from quire.operators import chunks, jobs, toc
+from quire.functions.predicates import is_bad_heading, is_noise
+from quire.functions.text import clean_text
+from quire.operators import attach, chunks, jobs, review, toc
 
 
 def plan(df):
@@ -64,3 +66,27 @@ def test_long_pages_stay_whole(spark):
     assert all(len(r.text) <= 64_000 for r in chunks.char_chunks(d, 64_000, least=1).collect())
     text = spark.createDataFrame([(1, 7, 1, 9, "\n\n".join(r.text for r in whole))], "doc_id long, chunk int, start_page int, end_page int, text string")
     assert [r.text for r in chunks.resplit(text, 64_000, least=1, whole=True).collect()] == [r.text.strip() for r in whole]
+
+
+def patterns(df):
+    """How often the plan of df replaces by a pattern or a table of characters."""
+    text = plan(df)
+    return text.count("regexp_replace(") + text.count("translate(")
+
+
+def test_a_line_is_cleaned_once(spark):
+    d = spark.createDataFrame([(1, "1. 서론"), (2, "1) 1960"), (3, "a  b c\x00")], "doc_id long, text string")
+    t = F.col("text")
+    assert patterns(d.select(is_bad_heading(t).alias("x"))) <= 15
+    assert patterns(d.select(is_noise(t).alias("x"))) <= 15
+    assert [r.x for r in d.select(clean_text("text").alias("x")).collect()] == ["1. 서론", "1) 1960", "a b c"]
+
+
+def test_filters_do_not_copy_keys(spark):
+    d = spark.createDataFrame([(1, 1, 1, "A title", 1, "A title", 5.0, 300.0, 14.0, 1.4)], "doc_id long, pos int, level int, chapter string, page int, layout_text string, x double, y double, font_size double, size_ratio double")
+    long = F.when(F.col("pos") % 2 == 0, F.concat("chapter", F.lit("!"))).when(F.col("pos") % 3 == 0, F.upper(clean_text("chapter"))).otherwise(clean_text("chapter"))
+    assert patterns(review.styled_entries(d.withColumn("chapter", long))) <= 40
+    lines = d.select("doc_id", "page", F.lit(0).alias("line_index"), F.lit(1).alias("source_order"), F.col("font_size").alias("s"), F.col("size_ratio").alias("r"), "x", "y", F.lit(0).alias("b"), F.lit(0).alias("i"), F.lit("f1").alias("f"), F.col("chapter").alias("text"))
+    best = attach.best_layout(d, lines)
+    assert patterns(best) <= 12
+    assert [(r.match_score, r.layout_text) for r in best.collect()] == [(570.0, "A title")]
