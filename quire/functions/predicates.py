@@ -64,7 +64,8 @@ def is_caption(text: Column) -> Column:
 
 
 def is_toc_listing(text: Column) -> Column:
-    return let(clean_text(text), lambda t: t.rlike(LISTING) | t.rlike(r"\S\s+\d{1,4}$"))
+    # Both shapes end in a digit, or in one before a last \x85, where Java's $ matches too: other texts aren't searched.
+    return let(clean_text(text), lambda t: F.substring(t, -1, 1).isin(*"0123456789\x85") & (t.rlike(LISTING) | t.rlike(r"\S\s+\d{1,4}$")))
 
 
 def is_existing_toc_line(title: Column, *, keep_listings: bool = True) -> Column:
